@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namesieve.functions.grams import ASCII_BITS, UNICODE_BITS
-from namesieve.functions.pairdots import score_batches
+from namesieve.functions.pairdots import score_batches, tile_scorer
 from namesieve.functions.vectors import dot, unit_length
 from namesieve.operators.blocking import (
     BLOCK_KEYS,
     FAST_GAPS,
     block_columns,
     blocking_features,
+    cut_blocks,
+    exact_key,
     same_block,
+    tasks_for,
     tiled_self_join,
     within_gaps,
 )
@@ -24,6 +27,7 @@ from namesieve.operators.tfidf import packed_vectors, vocabulary
 from namesieve.plans.storage import written
 
 DECIMALS = 6
+VECTOR_TILE_ROWS = 1024
 
 
 def sparse_cosine(pairs: DataFrame) -> DataFrame:
@@ -52,23 +56,20 @@ def text_pair_scores(variants: DataFrame, keys: Sequence[str] = BLOCK_KEYS, bits
     sizes = ["variant_tokens", "variant_len_chars"]
     nodes = features.groupBy(*block, "name_variant", *sizes).agg(F.expr("count(*) AS n"))
     vectors = packed_vectors(vocabulary(features), bits).selectExpr("variant AS name_variant", "codes", "weights")
-    located = nodes.join(vectors, "name_variant")
-
-    distinct = f"l.name_variant < r.name_variant AND {within_gaps('l', 'r', FAST_GAPS)}"
-    joined = tiled_self_join(located, block, ["name_variant"], distinct)
-    ends = [*[f"l.{k} AS {k}" for k in keys], "l.name_variant AS text_1", "r.name_variant AS text_2"]
-    unequal = sparse_cosine(
-        joined.selectExpr(
-            *ends,
-            "l.n * r.n AS pairs",
-            "l.codes AS codes_1",
-            "l.weights AS weights_1",
-            "r.codes AS codes_2",
-            "r.weights AS weights_2",
-        )
-    )
+    located = written(nodes.join(vectors, "name_variant"), "located-vectors")
+
+    # Each unordered pair of groups is one tile; a row is copied once per group of its block.
+    tile = exact_key([*block, "least(_group, _other)", "greatest(_group, _other)"])
+    tiles = cut_blocks(located, block, ["name_variant"], VECTOR_TILE_ROWS).selectExpr(
+        "*", "explode(sequence(0, _groups - 1)) AS _other"
+    ).withColumn("_tile", F.expr(tile)).repartition(tasks_for(variants), "_tile")
+    out = ", ".join([*[f"{k} STRING" for k in keys], "text_1 STRING, text_2 STRING, pairs BIGINT, dot DOUBLE"])
+    unequal = tiles.groupBy("_tile").applyInArrow(tile_scorer(list(keys), *FAST_GAPS), out)
+    unequal = unequal.selectExpr(*keys, "text_1", "text_2", "pairs", f"round(dot, {DECIMALS}) AS cosine_similarity")
     spelled = features.select("entity_id", *block, "name_variant", *sizes)
+    distinct = f"l.name_variant < r.name_variant AND {within_gaps('l', 'r', FAST_GAPS)}"
     inside = F.expr(f"{same_block('l', 'r', ['entity_id', *block])} AND {distinct}")
+    ends = [*[f"l.{k} AS {k}" for k in keys], "l.name_variant AS text_1", "r.name_variant AS text_2"]
     both = spelled.alias("l").join(spelled.alias("r"), inside).selectExpr(*ends)
     both = both.groupBy(*both.columns).agg(F.expr("count(*) AS together"))
     unequal = (
@@ -118,6 +119,7 @@ def entity_pair_scores(scores: DataFrame, variants: DataFrame, keys: Sequence[st
 
 def similarity_table(variants: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Scores per text pair (written once) and the entity-pair table that follows from them."""
+    variants = written(variants.select("entity_id", *BLOCK_KEYS, "name_variant", "variant_rule"), "variants")
     scores = written(text_pair_scores(variants), "text-pair-scores")
     return scores, entity_pair_scores(scores, variants)
 

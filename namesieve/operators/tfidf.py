@@ -10,8 +10,12 @@ from namesieve.operators.ranking import one_row
 
 
 def vocabulary(variants: DataFrame, text: str = "name_variant") -> DataFrame:
-    """Distinct non-null texts as column ``variant``."""
-    return variants.where(F.col(text).isNotNull()).select(F.col(text).alias("variant")).distinct()
+    """Distinct non-null texts as column ``variant``, hash-partitioned by text.
+
+    The number of tasks is given: the texts are few bytes, but each becomes some thirty gram rows.
+    """
+    texts = variants.where(f"{text} IS NOT NULL").selectExpr(f"{text} AS variant")
+    return texts.repartition(int(variants.sparkSession.conf.get("spark.sql.shuffle.partitions")), "variant").distinct()
 
 
 def term_counts(texts: DataFrame) -> DataFrame:

@@ -479,7 +479,7 @@ def top_matches(spark, folder):
 
 
 def _scores(spark, folder) -> DataFrame:
-    return similarity.text_pair_scores(views.variants(spark, folder))
+    return similarity.similarity_table(views.variants(spark, folder))[0]
 
 
 def _classified(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
