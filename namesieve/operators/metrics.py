@@ -4,35 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namesieve.operators.ranking import running_totals
 
 
-def _ratio(top: Column, bottom: Column) -> Column:
+def ratio(top: str, bottom: str) -> str:
     """Quotient that is 0 where the denominator is 0."""
-    return F.when(bottom == 0, F.lit(0.0)).otherwise(top / bottom)
+    return f"coalesce(try_divide({top}, {bottom}), 0D)"
 
 
 def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score, best first: positives and negatives at and above it.
 
-    Columns: tp, fp (counted down to and including the score), positives, negatives, here_pos, here_neg.
+    Columns: threshold, here_pos, here_neg, tp, fp (both include the score), positives, negatives.
     """
-    positive = (F.col(label) == 1).cast("long")
+    labelled = df.where(f"{label} IS NOT NULL")
     totals = running_totals(
-        df.where(F.col(label).isNotNull()), score, {"pos": positive, "neg": 1 - positive}, by, descending=True
+        labelled, score, {"pos": f"CAST({label} = 1 AS BIGINT)", "neg": f"CAST({label} <> 1 AS BIGINT)"}, by, descending=True
     )
-    return totals.select(
+    return totals.selectExpr(
         *by,
-        F.col(score).alias("threshold"),
-        F.col("pos").alias("here_pos"),
-        F.col("neg").alias("here_neg"),
-        (F.col("pos_before") + F.col("pos")).alias("tp"),
-        (F.col("neg_before") + F.col("neg")).alias("fp"),
-        F.col("pos_all").alias("positives"),
-        F.col("neg_all").alias("negatives"),
+        f"{score} AS threshold",
+        "pos AS here_pos",
+        "neg AS here_neg",
+        "pos_before + pos AS tp",
+        "neg_before + neg AS fp",
+        "pos_all AS positives",
+        "neg_all AS negatives",
     )
 
 
@@ -40,67 +40,59 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (
     """``roc_auc`` (ties count half; null with one class) and ``pr_auc`` (average precision) per group."""
     curve = score_curve(df, label, score, by)
     # Negatives at this score lose against all positives above it and half of those level with it.
-    won = F.col("here_neg") * (F.col("tp") - F.col("here_pos") / 2)
-    cells = F.max("positives") * F.max("negatives")
-    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    gained = F.sum(F.col("here_pos") * precision)
+    cells = "(max(positives) * max(negatives))"
     return curve.groupBy(*by).agg(
-        F.when(cells > 0, F.sum(won) / cells).alias("roc_auc"),
-        _ratio(gained, F.max("positives")).alias("pr_auc"),
+        F.expr(f"CASE WHEN {cells} > 0 THEN sum(here_neg * (tp - here_pos / 2)) / {cells} END AS roc_auc"),
+        F.expr(f"{ratio('sum(here_pos * tp / (tp + fp))', 'max(positives)')} AS pr_auc"),
     )
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate at each threshold."""
     curve = score_curve(df, label, score, by)
-    return curve.select(
-        *by,
-        "threshold",
-        F.try_divide("fp", "negatives").alias("fpr"),
-        F.try_divide("tp", "positives").alias("tpr"),
-    )
+    return curve.selectExpr(*by, "threshold", "try_divide(fp, negatives) AS fpr", "try_divide(tp, positives) AS tpr")
 
 
 def pr_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Precision and recall at each threshold, with the base rate of the group."""
     curve = score_curve(df, label, score, by)
-    return curve.select(
+    return curve.selectExpr(
         *by,
         "threshold",
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.try_divide("tp", "positives").alias("recall"),
-        (F.col("positives") / (F.col("positives") + F.col("negatives"))).alias("base_rate"),
+        "tp / (tp + fp) AS precision",
+        "try_divide(tp, positives) AS recall",
+        "positives / (positives + negatives) AS base_rate",
     )
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per (true, predicted) class, in class order."""
     keys = [*by, label, prediction]
-    return df.groupBy(*keys).agg(F.count("*").alias("count")).orderBy(*keys)
+    return df.groupBy(*keys).agg(F.expr("count(*) AS count")).orderBy(*keys)
 
 
 def class_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, precision, recall and F1 of class 1, unrounded; 0 where undefined."""
-    truth, guess = F.col(label) == 1, F.col(prediction) == 1
     counts = df.groupBy(*by).agg(
-        F.count_if(truth & guess).alias("tp"),
-        F.count_if(~truth & guess).alias("fp"),
-        F.count_if(truth & ~guess).alias("fn"),
-        F.count_if(F.col(label) == F.col(prediction)).alias("right"),
-        F.count("*").alias("n"),
+        F.expr(f"count_if({label} = 1 AND {prediction} = 1) AS tp"),
+        F.expr(f"count_if({label} <> 1 AND {prediction} = 1) AS fp"),
+        F.expr(f"count_if({label} = 1 AND {prediction} <> 1) AS fn"),
+        F.expr(f"count_if({label} = {prediction}) AS correct"),
+        F.expr("count(*) AS n"),
     )
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return counts.select(
+    return counts.selectExpr(
         *by,
-        _ratio(F.col("right"), F.col("n")).alias("accuracy"),
-        _ratio(tp, tp + fp).alias("precision"),
-        _ratio(tp, tp + fn).alias("recall_pos"),
-        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        f"{ratio('correct', 'n')} AS accuracy",
+        f"{ratio('tp', 'tp + fp')} AS precision",
+        f"{ratio('tp', 'tp + fn')} AS recall_pos",
+        f"{ratio('2 * tp', '2 * tp + fp + fn')} AS f1",
     )
 
 
+METRICS = ("accuracy", "precision", "recall_pos", "f1", "roc_auc", "pr_auc")
+
+
 def quality(df: DataFrame, label: str, prediction: str, score: str, by: Sequence[str], digits: int = 4) -> DataFrame:
     """All six metrics per group, rounded."""
-    both = class_metrics(df, label, prediction, by).join(ranking_metrics(df, label, score, by), list(by))
-    names = ("accuracy", "precision", "recall_pos", "f1", "roc_auc", "pr_auc")
-    return both.select(*by, *[F.round(n, digits).alias(n) for n in names])
+    both = class_metrics(df, label, prediction, by).join(ranking_metrics(df, label, score, by), list(by), "left")
+    return both.selectExpr(*by, *[f"round({n}, {digits}) AS {n}" for n in METRICS])

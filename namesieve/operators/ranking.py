@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HASH_DIGITS = 3  # 16**3 = 4096 buckets
-VALUE_BUCKETS = 1024
+VALUE_BUCKETS = 256
+EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def one_row(df: DataFrame) -> Column:
@@ -29,99 +28,81 @@ def shuffle_key(seed: int | str, *parts: Column) -> Column:
 
 
 def shuffled_rank(df: DataFrame, seed: int, ident: str, by: Sequence[str] = (), rank: str = "shuffled_rank") -> DataFrame:
-    """Add the 1-based rank of each row in seeded random order inside ``by``, and the group size.
+    """Add the 1-based rank of each row in seeded random order inside ``by``, and ``group_size``.
 
     ``ident`` must be unique in each group. ``by`` should have few values (labels, folds); the
     size of a group does not matter.
     """
     keyed = df.withColumn("_key", shuffle_key(seed, F.col(ident)))
     keyed = keyed.withColumn("_bucket", F.substring("_key", 1, HASH_DIGITS))
-    per_bucket = keyed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
-    by_group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    earlier = by_group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *[F.col(c).alias(f"_g_{c}") for c in by],
-        F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(by_group).alias("group_size"),
+    per_bucket = keyed.groupBy(*by, "_bucket").agg(F.expr("count(*) AS _n"))
+    group = ", ".join(by) or "1"
+    offsets = per_bucket.selectExpr(
+        *[f"{c} AS _g_{c}" for c in by],
+        "_bucket AS _b",
+        f"coalesce(sum(_n) OVER (PARTITION BY {group} ORDER BY _bucket {EARLIER}), 0) AS _offset",
+        f"sum(_n) OVER (PARTITION BY {group}) AS group_size",
     )
-    same = (F.col("_bucket") == F.col("_b"))
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    inside = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy("_key", ident))
-    ranked = keyed.withColumn("_inside", inside).join(offsets, same)
-    ranked = ranked.withColumn(rank, (F.col("_offset") + F.col("_inside")).cast("long"))
-    return ranked.drop("_key", "_bucket", "_b", "_offset", "_inside", *[f"_g_{c}" for c in by])
+    same = " AND ".join(["_bucket = _b", *[f"{c} <=> _g_{c}" for c in by]])
+    inside = f"row_number() OVER (PARTITION BY {', '.join([*by, '_bucket'])} ORDER BY _key, {ident}) AS _inside"
+    ranked = keyed.selectExpr("*", inside).join(offsets, F.expr(same))
+    return ranked.selectExpr(*df.columns, "group_size", f"_offset + _inside AS {rank}")
 
 
 def running_totals(
-    df: DataFrame,
-    value: str,
-    totals: dict[str, Column],
-    by: Sequence[str] = (),
-    descending: bool = False,
-    buckets: int = VALUE_BUCKETS,
+    df: DataFrame, value: str, totals: dict[str, str], by: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
     """One row per distinct ``value`` (and ``by``) with, for each named count in ``totals``:
 
     its own sum ``name``, ``name_before`` over the values that come earlier, and ``name_all``.
-    ``totals`` are integer expressions. Equal values are added up before the shuffle, and the value
+    ``totals`` are integer SQL expressions. Equal values are added up before the shuffle, and the value
     ranges come from approximate quantiles, so a value that holds a third of the rows is one row here.
     The result does not depend on how good the approximation is.
     """
-    counts = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = counts.groupBy(*by, value).agg(*[F.sum(c).cast("long").alias(n) for n, c in totals.items()])
-    probabilities = [i / buckets for i in range(1, buckets)]
-    number = counts.withColumn("_x", F.col(value).cast("double"))
-    edges = sorted(set(number.approxQuantile("_x", probabilities, 1 / (4 * buckets))))
-    splits = [float("-inf"), *edges, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket").transform(number)
-
-    order = F.col("_bucket").desc() if descending else F.col("_bucket")
-    by_group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    earlier = by_group.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    names = list(totals)
+    counts = df.where(f"{value} IS NOT NULL AND NOT isnan(CAST({value} AS DOUBLE))")
+    counts = counts.groupBy(*by, value).agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {n}") for n, c in totals.items()])
+    shares = ", ".join(f"{i / VALUE_BUCKETS}D" for i in range(1, VALUE_BUCKETS))
+    edges = counts.agg(F.expr(f"array_distinct(percentile_approx(CAST({value} AS DOUBLE), array({shares}), 10000)) AS edges"))
+    bucket = f"size(filter(_edges.edges, e -> e <= CAST({value} AS DOUBLE)))"
+    bucketed = counts.withColumn("_edges", one_row(edges)).selectExpr(*counts.columns, f"{bucket} AS _bucket")
+
+    names, direction, group = list(totals), "DESC" if descending else "ASC", ", ".join(by) or "1"
     offsets = (
         bucketed.groupBy(*by, "_bucket")
-        .agg(*[F.sum(n).alias(n) for n in names])
-        .select(
-            *[F.col(c).alias(f"_g_{c}") for c in by],
-            F.col("_bucket").alias("_b"),
-            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}_offset") for n in names],
-            *[F.sum(n).over(by_group).alias(f"{n}_all") for n in names],
+        .agg(*[F.expr(f"sum({n}) AS {n}") for n in names])
+        .selectExpr(
+            *[f"{c} AS _g_{c}" for c in by],
+            "_bucket AS _b",
+            *[f"coalesce(sum({n}) OVER (PARTITION BY {group} ORDER BY _bucket {direction} {EARLIER}), 0) AS _{n}_offset" for n in names],
+            *[f"sum({n}) OVER (PARTITION BY {group}) AS {n}_all" for n in names],
         )
     )
-    inside_order = F.col(value).desc() if descending else F.col(value)
-    inside = W.partitionBy(*by, "_bucket").orderBy(inside_order).rowsBetween(W.unboundedPreceding, -1)
-    partial = bucketed.withColumns({f"_{n}_inside": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in names})
-    same = F.col("_bucket") == F.col("_b")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    return partial.join(offsets, same).select(
+    inside = f"(PARTITION BY {', '.join([*by, '_bucket'])} ORDER BY {value} {direction} {EARLIER})"
+    partial = bucketed.selectExpr("*", *[f"coalesce(sum({n}) OVER {inside}, 0) AS _{n}_inside" for n in names])
+    same = " AND ".join(["_bucket = _b", *[f"{c} <=> _g_{c}" for c in by]])
+    return partial.join(offsets, F.expr(same)).selectExpr(
         *by,
         value,
         *names,
-        *[(F.col(f"_{n}_offset") + F.col(f"_{n}_inside")).alias(f"{n}_before") for n in names],
+        *[f"_{n}_offset + _{n}_inside AS {n}_before" for n in names],
         *[f"{n}_all" for n in names],
     )
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = (), weight: Column | None = None
+    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = (), weight: str = "1"
 ) -> DataFrame:
-    """Linearly interpolated quantiles, one column per name in ``probabilities``; nulls are left out.
+    """Linearly interpolated quantiles, one column per name in ``probabilities``; nulls and NaN are left out.
 
     Holds no value list in one task, unlike ``percentile``.
     """
-    totals = running_totals(df, value, {"n": weight if weight is not None else F.lit(1)}, by)
+    totals = running_totals(df, value, {"n": weight}, by)
     wanted = []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("n_all") - 1)
-        low, high = F.floor(position), F.ceil(position)
-        at = {}
-        for side, target in (("lo", low), ("hi", high)):
-            holds = (F.col("n_before") <= target) & (target < F.col("n_before") + F.col("n"))
-            at[side] = F.max(F.when(holds, F.col(value).cast("double")))
-        share = F.max(position - low)
-        wanted.append((at["lo"] + (at["hi"] - at["lo"]) * share).alias(name))
+        at = f"({float(p)}D * (n_all - 1))"
+        ends = [
+            f"max(CASE WHEN n_before <= {side}({at}) AND {side}({at}) < n_before + n THEN CAST({value} AS DOUBLE) END)"
+            for side in ("floor", "ceil")
+        ]
+        wanted.append(F.expr(f"{ends[0]} + ({ends[1]} - {ends[0]}) * max({at} - floor({at})) AS {name}"))
     return totals.groupBy(*by).agg(*wanted)

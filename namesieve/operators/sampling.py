@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from namesieve.operators.metrics import ranking_metrics
-from namesieve.operators.ranking import one_row, shuffle_key
+from namesieve.operators.ranking import one_row
 
 SEED = 42
 SAMPLE_PER_CLASS = 20
@@ -17,8 +16,12 @@ ANYWHERE = "*"
 
 
 def _usable(variants: DataFrame) -> DataFrame:
-    text = F.col("name_variant").cast("string")
-    return variants.where(text.isNotNull() & (F.length(text) > 0))
+    return variants.where("length(name_variant) > 0")
+
+
+def _key(seed: int, *columns: str) -> str:
+    """Seeded pseudo-random text of some columns."""
+    return f"md5(concat_ws('|', '{seed}', {', '.join(f'CAST({c} AS STRING)' for c in columns)}))"
 
 
 def positive_pairs(variants: DataFrame, size: int = SAMPLE_PER_CLASS, seed: int = SEED) -> DataFrame:
@@ -28,20 +31,15 @@ def positive_pairs(variants: DataFrame, size: int = SAMPLE_PER_CLASS, seed: int
     selections, so nothing is sorted as a whole.
     """
     usable = _usable(variants)
-    several = usable.groupBy("entity_id").agg(F.count("*").alias("n")).where(F.col("n") >= 2)
-    chosen = several.orderBy(shuffle_key(seed, F.col("entity_id")), "entity_id").limit(size).select("entity_id")
-    drawn = usable.join(chosen, "entity_id", "left_semi")
-    order = W.partitionBy("entity_id").orderBy(
-        shuffle_key(seed, F.col("entity_id"), F.col("name_variant"), F.col("variant_rule")), "name_variant"
+    several = usable.groupBy("entity_id").agg(F.expr("count(*) AS n")).where("n >= 2")
+    chosen = several.orderBy(F.expr(_key(seed, "entity_id")), "entity_id").limit(size).select("entity_id")
+    order = f"PARTITION BY entity_id ORDER BY {_key(seed, 'entity_id', 'name_variant', 'variant_rule')}, name_variant"
+    two = usable.join(chosen, "entity_id", "left_semi").selectExpr("*", f"row_number() OVER ({order}) AS _place").where("_place <= 2")
+    pairs = two.groupBy("entity_id").agg(
+        F.expr("max(CASE WHEN _place = 1 THEN name_variant END) AS variant_a"),
+        F.expr("max(CASE WHEN _place = 2 THEN name_variant END) AS variant_b"),
     )
-    two = drawn.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= 2)
-    return two.groupBy("entity_id").agg(
-        F.max(F.when(F.col("_place") == 1, F.col("name_variant"))).alias("variant_a"),
-        F.max(F.when(F.col("_place") == 2, F.col("name_variant"))).alias("variant_b"),
-    ).select(
-        "variant_a", "variant_b", F.col("entity_id").alias("entity_id_a"), F.col("entity_id").alias("entity_id_b"),
-        F.lit(1).alias("same_entity"),
-    )
+    return pairs.selectExpr("variant_a", "variant_b", "entity_id AS entity_id_a", "entity_id AS entity_id_b", "1 AS same_entity")
 
 
 def negative_pairs(variants: DataFrame, draws: DataFrame, seed: int = SEED) -> DataFrame:
@@ -50,50 +48,46 @@ def negative_pairs(variants: DataFrame, draws: DataFrame, seed: int = SEED) -> D
     Each draw takes a random country-and-type bucket with at least two entities and two of its entities;
     without such a bucket, any two entities. Only two rows per draw and task reach the shuffle.
     """
-    usable = _usable(variants)
-    bucket = F.concat_ws("||", F.coalesce("country_code", F.lit("None")), F.coalesce("entity_type", F.lit("None")))
-    one_spelling = usable.groupBy("entity_id", bucket.alias("bucket")).agg(
-        F.min_by(
-            "name_variant",
-            F.struct(shuffle_key(seed, F.col("entity_id"), F.col("name_variant"), F.col("variant_rule")), "name_variant"),
-        ).alias("variant")
+    usable = _usable(variants).withColumn(
+        "bucket", F.expr("concat_ws('||', coalesce(country_code, 'None'), coalesce(entity_type, 'None'))")
     )
-    buckets = one_spelling.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= 2).select("bucket")
-    found = one_row(buckets.agg(F.count("*").alias("n")))["n"]
-    placed = one_spelling.withColumn("bucket", F.when(found > 0, F.col("bucket")).otherwise(F.lit(ANYWHERE)))
-    # Few buckets times few draws: the pick of a bucket is a minimum per draw.
-    options = draws.join(buckets, F.lit(True), "left").withColumn("bucket", F.coalesce("bucket", F.lit(ANYWHERE)))
-    picked = options.groupBy("draw").agg(F.min_by("bucket", shuffle_key(seed, F.col("draw"), F.col("bucket"))).alias("bucket"))
-    order = W.partitionBy("draw").orderBy(shuffle_key(seed, F.col("draw"), F.col("entity_id")), "entity_id")
+    spelling = f"struct({_key(seed, 'entity_id', 'name_variant', 'variant_rule')}, name_variant)"
+    one_spelling = usable.groupBy("entity_id", "bucket").agg(F.expr(f"min_by(name_variant, {spelling}) AS variant"))
+    buckets = one_spelling.groupBy("bucket").agg(F.expr("count(*) AS n")).where("n >= 2").select("bucket")
+    found = one_row(buckets.agg(F.expr("count(*) AS n")))
+    placed = one_spelling.withColumn("_found", found).selectExpr(
+        "entity_id", "variant", f"if(_found.n > 0, bucket, '{ANYWHERE}') AS bucket"
+    )
+    # Countries times types times draws: a short list, and each draw keeps the smallest hash.
+    options = draws.join(buckets, F.lit(True), "left").selectExpr("draw", f"coalesce(bucket, '{ANYWHERE}') AS bucket")
+    picked = options.groupBy("draw").agg(F.expr(f"min_by(bucket, {_key(seed, 'draw', 'bucket')}) AS bucket"))
+    order = f"PARTITION BY draw ORDER BY {_key(seed, 'draw', 'entity_id')}, entity_id"
     two = (
         placed.join(F.broadcast(picked), "bucket")  # one row per draw
-        .withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= 2)
+        .selectExpr("*", f"row_number() OVER ({order}) AS _place")
+        .where("_place <= 2")
     )
-
-    def at(place: int, column: str):
-        return F.max(F.when(F.col("_place") == place, F.col(column)))
-
     pairs = two.groupBy("draw").agg(
-        at(1, "variant").alias("variant_a"),
-        at(2, "variant").alias("variant_b"),
-        at(1, "entity_id").alias("entity_id_a"),
-        at(2, "entity_id").alias("entity_id_b"),
+        *[
+            F.expr(f"max(CASE WHEN _place = {place} THEN {column} END) AS {name}_{side}")
+            for column, name in (("variant", "variant"), ("entity_id", "entity_id"))
+            for place, side in ((1, "a"), (2, "b"))
+        ]
     )
-    return pairs.where(F.col("entity_id_b").isNotNull()).withColumn("same_entity", F.lit(0))
+    return pairs.where("entity_id_b IS NOT NULL").selectExpr(*pairs.columns, "0 AS same_entity")
 
 
 def validation_pairs(variants: DataFrame, size: int = SAMPLE_PER_CLASS, seed: int = SEED) -> DataFrame:
     """As many negative as positive pairs, at most ``size`` each, in random order (column ``position``)."""
     positive = positive_pairs(variants, size, seed)
-    draws = variants.sparkSession.range(size).select(F.col("id").alias("draw"))
-    wanted = one_row(positive.agg(F.count("*").alias("n")))["n"]
-    negative = negative_pairs(variants, draws, seed).where(F.col("draw") < wanted)
-    both = positive.withColumn("draw", F.lit(-1).cast("long")).unionByName(negative)
-    key = shuffle_key(seed, F.col("same_entity"), F.col("draw"), F.col("entity_id_a"))
+    draws = variants.sparkSession.range(size).withColumnRenamed("id", "draw")
+    wanted = one_row(positive.agg(F.expr("count(*) AS n")))
+    negative = negative_pairs(variants, draws, seed)
+    negative = negative.withColumn("_wanted", wanted).where("draw < _wanted.n").drop("_wanted")
+    both = positive.withColumn("draw", F.expr("-1L")).unionByName(negative)
     # At most 2 * size rows.
-    position = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(key, "entity_id_a"))
-    return both.withColumn("position", position).drop("draw")
+    position = f"row_number() OVER (PARTITION BY 1 ORDER BY {_key(seed, 'same_entity', 'draw', 'entity_id_a')}, entity_id_a)"
+    return both.selectExpr(*positive.columns, f"{position} AS position")
 
 
 def backend_comparison(pairs: DataFrame, backends: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
@@ -113,19 +107,19 @@ def backend_comparison(pairs: DataFrame, backends: dict[str, Callable[[DataFrame
         for s in scored[1:]:
             every = every.unionByName(s)
         spread = every.groupBy("backend").agg(
-            F.count("*").alias("pairs_scored"),
-            F.round(F.avg("cosine_similarity"), 6).alias("mean_similarity"),
-            F.round(F.stddev_samp("cosine_similarity"), 6).alias("std_similarity"),
+            F.expr("count(*) AS pairs_scored"),
+            F.expr("round(avg(cosine_similarity), 6) AS mean_similarity"),
+            F.expr("round(stddev_samp(cosine_similarity), 6) AS std_similarity"),
         )
         curve = ranking_metrics(every, "same_entity", "cosine_similarity", by=["backend"])
-        out = spread.join(curve, "backend").select(
+        out = spread.join(curve, "backend").selectExpr(
             "backend",
             "pairs_scored",
-            F.round("roc_auc", 6).alias("roc_auc"),
-            F.round("pr_auc", 6).alias("pr_auc"),
+            "round(roc_auc, 6) AS roc_auc",
+            "round(pr_auc, 6) AS pr_auc",
             "mean_similarity",
             "std_similarity",
-            F.lit(None).cast("string").alias("error"),
+            "CAST(NULL AS STRING) AS error",
         )
     if failed:
         rows = pairs.sparkSession.createDataFrame(failed, "backend string, pairs_scored long, error string")
@@ -135,8 +129,8 @@ def backend_comparison(pairs: DataFrame, backends: dict[str, Callable[[DataFrame
 
 def backend_ranking(comparison: DataFrame) -> DataFrame:
     """Best representation first: ROC-AUC, then PR-AUC, then pairs; missing values last."""
-    order = [F.desc_nulls_last(c) for c in ("roc_auc", "pr_auc", "pairs_scored")]
+    order = "roc_auc DESC NULLS LAST, pr_auc DESC NULLS LAST, pairs_scored DESC NULLS LAST, backend"
     # One row per representation.
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order, "backend"))
-    ranked = comparison.withColumn("error", F.coalesce("error", F.lit(""))).withColumn("place", place)
-    return ranked.withColumn("suggested", F.col("place") == 1).orderBy("place")
+    ranked = comparison.withColumn("error", F.expr("coalesce(error, '')"))
+    ranked = ranked.selectExpr("*", f"row_number() OVER (PARTITION BY 1 ORDER BY {order}) AS place")
+    return ranked.selectExpr("*", "place = 1 AS suggested").orderBy("place")

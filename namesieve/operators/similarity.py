@@ -126,7 +126,7 @@ def similarity_table(variants: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def score_pairs(pairs: DataFrame, bits: int = UNICODE_BITS) -> DataFrame:
     """Cosine of ``variant_a, variant_b`` with weights fitted on the texts of ``pairs`` only."""
-    texts = pairs.selectExpr("inline(array(struct(variant_a), struct(variant_b))) AS (name_variant)")
+    texts = pairs.selectExpr("explode(array(variant_a, variant_b)) AS name_variant")
     vectors = packed_vectors(vocabulary(texts), bits).select("variant", "codes", "weights")
     out = pairs
     for side, n in (("a", 1), ("b", 2)):

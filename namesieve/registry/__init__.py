@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from namesieve.registry import resolution
+    from namesieve.registry import evaluation, modelling, resolution, risk
 
-    return (resolution,)
+    return (resolution, risk, evaluation, modelling)
 
 
 def registered() -> dict:
