@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namesieve.operators.ranking import one_row, shuffle_key
+from namesieve.plans.storage import written
 
 MOST_CELLS = 256
 SLACK = "1e-9D"
@@ -36,6 +37,7 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None =
         .groupBy("vector")
         .agg(F.expr("array_sort(collect_list(struct(id, label))) AS members"))  # at most k entries
     )
+    per_point = written(per_point, "training-points")
     if cells is None:
         cells = max(1, min(MOST_CELLS, math.isqrt(per_point.count())))
     centres = per_point.orderBy(shuffle_key(seed, F.col("vector")), "vector").limit(cells)

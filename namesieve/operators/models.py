@@ -23,9 +23,10 @@ from pyspark.util import inheritable_thread_target
 from namesieve.operators import knn
 from namesieve.operators.facts import LABEL
 from namesieve.operators.features import feature_pipeline
-from namesieve.operators.metrics import quality, ranking_metrics
-from namesieve.operators.ranking import one_row
+from namesieve.operators.metrics import class_metrics, quality, ranking_metrics
+from namesieve.operators.ranking import one_row, shuffled_rank
 from namesieve.operators.splits import class_weights, stratified_folds
+from namesieve.plans.storage import written
 
 SEED = 42
 ID = "entity_id"
@@ -108,7 +109,7 @@ def fit_model(kind: str, train: DataFrame, params: dict | None = None, label: st
     if kind == "baseline_0_dummy":
         return majority_model(train, label), None
     if kind == "baseline_6_knn":
-        points = train.select(F.col(ID).alias("id"), F.col(label).alias("label"), vector_to_array("features").alias("vector"))
+        points = knn_points(train, label)
 
         def predict(df: DataFrame) -> DataFrame:
             asked = df.select(F.col(ID).alias("query_id"), vector_to_array("features").alias("vector"))
@@ -167,6 +168,18 @@ def stacking_model(train: DataFrame, params: dict[str, dict], label: str = LABEL
     return predict
 
 
+def knn_points(train: DataFrame, label: str) -> DataFrame:
+    return train.select(F.col(ID).alias("id"), F.col(label).alias("label"), vector_to_array("features").alias("vector"))
+
+
+def union_written(parts: Sequence[DataFrame]) -> DataFrame:
+    """All predictions in one written table, so that metrics do not run the models again."""
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return written(every, "predictions")
+
+
 def grid_points(grids: dict[str, dict[str, list]] = GRIDS) -> list[tuple[str, dict]]:
     return [(kind, {name: v}) for kind, grid in grids.items() for name, values in grid.items() for v in values]
 
@@ -179,7 +192,7 @@ def grid_search(
     The feature steps are fitted once per fold, not per point; the fits run at the same time; all
     predictions are scored by one job.
     """
-    folded = stratified_folds(train, folds, label, ID).persist()
+    folded = written(stratified_folds(train, folds, label, ID), "folds")
     points = grid_points(grids)
 
     def prepare(fold: int) -> tuple[DataFrame, DataFrame, int]:
@@ -191,17 +204,29 @@ def grid_search(
 
     prepared = in_parallel([lambda f=f: prepare(f) for f in range(folds)])
 
-    def score(fold: int, kind: str, params: dict) -> DataFrame:
+    def scores(fold: int, kind: str, every: list[dict]) -> list[tuple[dict, DataFrame]]:
         fitted, held, rows = prepared[fold]
-        predict, _ = fit_model(kind, fitted, params, label, rows)
-        text = json.dumps(params)
-        return predict(held).selectExpr(f"'{kind}' AS model", f"'{text}' AS params", f"{fold} AS fold", label, "y_score")
-
-    cells = [(f, kind, params) for f in range(folds) for kind, params in points]
-    scored = in_parallel([lambda c=c: score(*c) for c in cells])
-    every = scored[0]
-    for s in scored[1:]:
-        every = every.unionByName(s)
+        if kind == "baseline_6_knn":
+            # The nearest of the largest k contain those of every smaller one.
+            asked = held.select(F.col(ID).alias("query_id"), vector_to_array("features").alias("vector"))
+            found = knn.neighbours(knn_points(fitted, label), asked, max(p["k"] for p in every))
+            found = written(found, "neighbours")
+            votes = [knn.vote(found.where(f"rank <= {p['k']}")).withColumnRenamed("query_id", ID) for p in every]
+            return [(p, held.join(v, ID)) for p, v in zip(every, votes)]
+        return [(p, fit_model(kind, fitted, p, label, rows)[0](held)) for p in every]
+
+    # A model with several points per fold is one task for nearest neighbours and one task per point otherwise.
+    tasks = [(f, kind, [p]) for f in range(folds) for kind, p in points if kind != "baseline_6_knn"]
+    neighbours = [p for kind, p in points if kind == "baseline_6_knn"]
+    tasks += [(f, "baseline_6_knn", neighbours) for f in range(folds) if neighbours]
+    tasks.sort(key=lambda t: t[1] != "baseline_4_gb")  # the longest first
+    done = in_parallel([lambda t=t: scores(*t) for t in tasks])
+    parts = [
+        df.selectExpr(f"'{kind}' AS model", f"'{json.dumps(params)}' AS params", f"{fold} AS fold", label, "y_score")
+        for (fold, kind, _), result in zip(tasks, done)
+        for params, df in result
+    ]
+    every = union_written(parts)
     per_fold = ranking_metrics(every, label, "y_score", ["model", "params", "fold"])
     out = per_fold.groupBy("model", "params").agg(F.expr("round(avg(pr_auc), 4) AS cv_pr_auc"))
     return out.orderBy("model", F.desc("cv_pr_auc"), "params")
@@ -228,12 +253,9 @@ def evaluate_models(
     train = data.where("split = 'train'")
     rows = train.count()
     fits = in_parallel([lambda k=k: fit_model(k, train, None, label, rows)[0] for k in kinds])
-    every = None
-    for kind, predict in zip(kinds, fits):
-        scored = predict(data.where("split IN ({})".format(", ".join(f"'{s}'" for s in splits))))
-        scored = scored.selectExpr(f"'{kind}' AS model", "split", label, "y_score", "y_pred")
-        every = scored if every is None else every.unionByName(scored)
-    return quality(every, label, "y_pred", "y_score", ["model", "split"])
+    asked = data.where("split IN ({})".format(", ".join(f"'{s}'" for s in splits)))
+    parts = [p(asked).selectExpr(f"'{k}' AS model", "split", label, "y_score", "y_pred") for k, p in zip(kinds, fits)]
+    return quality(union_written(parts), label, "y_pred", "y_score", ["model", "split"])
 
 
 def compare_models(
@@ -258,10 +280,8 @@ def compare_models(
         start = time.perf_counter()
         fitted[name] = build(train, params, label, rows=count)
         runs.append((name, None, round(time.perf_counter() - start, 4)))
-    every = None
-    for name, predict in fitted.items():
-        scored = predict(data.where("split = 'validation'")).selectExpr(f"'{name}' AS model", label, "y_score", "y_pred")
-        every = scored if every is None else every.unionByName(scored)
+    asked = data.where("split = 'validation'")
+    every = union_written([p(asked).selectExpr(f"'{n}' AS model", label, "y_score", "y_pred") for n, p in fitted.items()])
     times = rows.sparkSession.createDataFrame(runs, "model string, best_score_cv_pr_auc double, train_time_seconds double")
     metrics = quality(every, label, "y_pred", "y_score", ["model"])
     table = times.join(metrics, "model").select(
@@ -274,11 +294,7 @@ def learning_curve(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], sizes=(0.2, 0.4, 0.6, 0.8, 1.0), folds: int = 3, label: str = LABEL
 ) -> DataFrame:
     """F1 of the logistic model on growing parts of the training folds and on the held-out folds."""
-    from namesieve.operators.metrics import class_metrics
-    from namesieve.operators.ranking import shuffled_rank
-
-    folded = shuffled_rank(stratified_folds(train, folds, label, ID), SEED + 2, ID, ["fold"], "_place").persist()
-    folded.count()
+    folded = written(shuffled_rank(stratified_folds(train, folds, label, ID), SEED + 2, ID, ["fold"], "_place"), "folds")
 
     def cell(fold: int, size: float) -> DataFrame:
         part = folded.where(f"fold <> {fold} AND _place <= group_size * {size}")
@@ -289,10 +305,7 @@ def learning_curve(
         scored = predict(steps.transform(both).select(ID, label, "part", "features"))
         return scored.selectExpr(f"{size}D AS share", f"{fold} AS fold", "part", label, "y_pred")
 
-    cells = in_parallel([lambda f=f, s=s: cell(f, s) for s in sizes for f in range(folds)])
-    every = cells[0]
-    for c in cells[1:]:
-        every = every.unionByName(c)
+    every = union_written(in_parallel([lambda f=f, s=s: cell(f, s) for s in sizes for f in range(folds)]))
     by_fold = class_metrics(every, label, "y_pred", ["share", "fold", "part"])
     train_rows = every.where("part = 'train'").groupBy("share").agg(F.expr(f"CAST(count(*) / {folds} AS BIGINT) AS train_size"))
     means = by_fold.groupBy("share").pivot("part", ["train", "val"]).agg(F.avg("f1"))
@@ -318,11 +331,9 @@ def complexity_check(prepared: DataFrame, label: str = LABEL) -> DataFrame:
     train = data.where("split = 'train'")
     rows = train.count()
     fits = in_parallel([lambda v=v: fit_model(*[v[0], train, v[1], label, rows])[0] for v in VARIANTS.values()])
-    every = None
-    for name, predict in zip(VARIANTS, fits):
-        scored = predict(data.where("split <> 'test'")).selectExpr(f"'{name}' AS model", "split", label, "y_score", "y_pred")
-        every = scored if every is None else every.unionByName(scored)
-    q = quality(every, label, "y_pred", "y_score", ["model", "split"])
+    asked = data.where("split <> 'test'")
+    parts = [p(asked).selectExpr(f"'{n}' AS model", "split", label, "y_score", "y_pred") for n, p in zip(VARIANTS, fits)]
+    q = quality(union_written(parts), label, "y_pred", "y_score", ["model", "split"])
     at = {s: f"max(CASE WHEN split = '{s}' THEN {{0}} END)" for s in ("train", "validation")}
     out = q.groupBy("model").agg(
         F.expr(at["train"].format("f1") + " AS train_f1"),

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from namesieve.plans.storage import written
+
 HASH_DIGITS = 3  # 16**3 = 4096 buckets
 VALUE_BUCKETS = 256
 EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
@@ -57,10 +59,12 @@ def running_totals(
     its own sum ``name``, ``name_before`` over the values that come earlier, and ``name_all``.
     ``totals`` are integer SQL expressions. Equal values are added up before the shuffle, and the value
     ranges come from approximate quantiles, so a value that holds a third of the rows is one row here.
-    The result does not depend on how good the approximation is.
+    The result does not depend on how good the approximation is. The distinct values are written once, since
+    they are read three times and are far fewer than the rows behind them.
     """
     counts = df.where(f"{value} IS NOT NULL AND NOT isnan(CAST({value} AS DOUBLE))")
     counts = counts.groupBy(*by, value).agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {n}") for n, c in totals.items()])
+    counts = written(counts, "value-counts")
     shares = ", ".join(f"{i / VALUE_BUCKETS}D" for i in range(1, VALUE_BUCKETS))
     edges = counts.agg(F.expr(f"array_distinct(percentile_approx(CAST({value} AS DOUBLE), array({shares}), 10000)) AS edges"))
     bucket = f"size(filter(_edges.edges, e -> e <= CAST({value} AS DOUBLE)))"

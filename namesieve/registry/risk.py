@@ -66,7 +66,7 @@ def entity_facts_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labelled_facts(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.risk_label(entity_facts_of(spark, folder))
+    return facts.risk_label(tables.written(entity_facts_of(spark, folder), "entity-facts"))
 
 
 @query(with_ctes("SELECT * FROM facts", *FACTS))
@@ -122,7 +122,7 @@ def priority_score(spark, folder):
 
 
 def scored_facts(spark: SparkSession, folder: str) -> DataFrame:
-    return risk.risk_score(risk.priority_from_counts(entity_facts_of(spark, folder)))
+    return risk.risk_score(risk.priority_from_counts(tables.written(entity_facts_of(spark, folder), "entity-facts")))
 
 
 RISK = [
