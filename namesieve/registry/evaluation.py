@@ -42,7 +42,7 @@ MM = [
         "ELSE 0.0::DOUBLE END) AS roc_auc FROM pred a JOIN pred b ON a.model = b.model AND a.split = b.split AND a.y_true = 1 AND b.y_true = 0 "
         "GROUP BY a.model, a.split",
     ),
-    ("ap", "SELECT model, split, sum(p * tp / (tp + fp)) / max(pos) AS pr_auc FROM curve GROUP BY model, split"),
+    ("ap", "SELECT model, split, coalesce(sum(p * tp / (tp + fp)) / nullif(max(pos), 0), 0) AS pr_auc FROM curve GROUP BY model, split"),
     (
         "counts",
         "SELECT model, split, count(*) FILTER (y_true = 1 AND y_pred = 1) AS tp, count(*) FILTER (y_true = 0 AND y_pred = 1) AS fp, "
@@ -52,7 +52,7 @@ MM = [
         "mm",
         "SELECT model, split, round(accuracy, 4) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS precision, "
         "round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS recall_pos, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS f1, "
-        "round(roc_auc, 4) AS roc_auc, round(pr_auc, 4) AS pr_auc FROM counts JOIN auc USING (model, split) JOIN ap USING (model, split)",
+        "round(roc_auc, 4) AS roc_auc, round(pr_auc, 4) AS pr_auc FROM counts LEFT JOIN auc USING (model, split) LEFT JOIN ap USING (model, split)",
     ),
 ]
 
@@ -85,7 +85,7 @@ def average_precision(spark, folder):
 
 
 @query(
-    with_ctes("SELECT model, split, threshold, round(fp / neg, 6) AS fpr, round(tp / pos, 6) AS tpr FROM curve", *CURVE)
+    with_ctes("SELECT model, split, threshold, round(fp / nullif(neg, 0), 6) AS fpr, round(tp / nullif(pos, 0), 6) AS tpr FROM curve", *CURVE)
 )
 def roc_curve(spark, folder):
     out = metrics.roc_curve(views.predictions(spark, folder), "y_true", "y_score", BY)
@@ -94,7 +94,7 @@ def roc_curve(spark, folder):
 
 @query(
     with_ctes(
-        "SELECT model, split, threshold, round(tp / (tp + fp), 6) AS precision, round(tp / pos, 6) AS recall, "
+        "SELECT model, split, threshold, round(tp / (tp + fp), 6) AS precision, round(tp / nullif(pos, 0), 6) AS recall, "
         "round(pos / (pos + neg), 6) AS base_rate FROM curve",
         *CURVE,
     )
