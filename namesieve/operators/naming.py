@@ -30,7 +30,6 @@ def metric_rows(one: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def normalization_report(normalized: DataFrame) -> DataFrame:
     """Row and distinct counts, average lengths and the share of companies that lost a legal form."""
-    removed = (F.col("entity_type") == COMPANY) & (F.col("removed_legal_suffix_pattern_count") > 0)
     distinct = [
         normalized.groupBy(F.col(c)).agg(F.lit(1).alias("one")).agg(F.count("*").alias(name))
         for c, name in (
@@ -39,12 +38,14 @@ def normalization_report(normalized: DataFrame) -> DataFrame:
             ("name_base", "distinct_base_names"),
         )
     ]
+    # Rounded as binary numbers: the decimal rounding of Spark would lift 4.145, which is below the tie.
     averages = normalized.agg(
-        F.count("*").alias("rows"),
-        F.round(F.avg("name_token_count"), 2).alias("avg_token_count"),
-        F.round(F.avg("name_char_count"), 2).alias("avg_char_count"),
-        F.round(F.avg(F.coalesce(removed, F.lit(False)).cast("double")) * 100, 2).alias(
-            "pct_moral_with_legal_suffix_removed"
+        F.expr("count(*) AS rows"),
+        F.expr("rint(avg(name_token_count) * 100) / 100 AS avg_token_count"),
+        F.expr("rint(avg(name_char_count) * 100) / 100 AS avg_char_count"),
+        F.expr(
+            f"rint(avg(CAST(coalesce(entity_type = '{COMPANY}' AND removed_legal_suffix_pattern_count > 0, false) AS DOUBLE)) * 100 * 100) / 100 "
+            "AS pct_moral_with_legal_suffix_removed"
         ),
     )
     out = metric_rows(averages)
