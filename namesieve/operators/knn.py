@@ -11,25 +11,29 @@ from namesieve.operators.ranking import one_row, shuffle_key
 from namesieve.plans.storage import written
 
 MOST_CELLS = 256
-SLACK = "1e-9D"
+DIGITS = 9  # distances that agree to this digit are ties
+SLACK = "1e-8D"
 
-_DISTANCE = "sqrt(aggregate(zip_with({0}, {1}, (x, y) -> (x - y) * (x - y)), 0D, (acc, d) -> acc + d))"
+UNROLLED = 64
 
 
-def distance(left: str, right: str) -> str:
-    return _DISTANCE.format(left, right)
+def distance(left: str, right: str, size: int) -> str:
+    """SQL of the Euclidean distance; short vectors are written out, which compiles to plain arithmetic."""
+    if size <= UNROLLED:
+        return "sqrt(" + " + ".join(f"({left}[{i}] - {right}[{i}]) * ({left}[{i}] - {right}[{i}])" for i in range(size)) + ")"
+    return f"sqrt(aggregate(zip_with({left}, {right}, (x, y) -> (x - y) * (x - y)), 0D, (acc, d) -> acc + d))"
 
 
 def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None = None, seed: int = 42) -> DataFrame:
-    """The k training rows nearest to each query: ``query_id, id, label, distance, rank``; ties by id.
+    """The k training rows nearest to each query: ``query_id, distance, id, label, rank``; ties by id.
 
-    Input: ``train(id, label, vector)`` and ``queries(query_id, vector)`` with arrays of doubles.
+    Input: ``train(id, label, vector)`` and ``queries(query_id, vector)`` with arrays of doubles of one length.
 
     Equal training vectors are one point with their k smallest ids, which is all that any query can need.
-    Points belong to the nearest of at most 256 reference points. A query knows its distance to each
-    reference point, hence a bound for its k-th neighbour (cells sorted by distance plus radius until they
-    hold k points) and, by the triangle inequality, the cells that can hold a nearer point. It is joined
-    with these cells only. Nothing is approximated, and only reference points and radii are broadcast.
+    Points belong to the nearest of at most 256 reference points. The cells around a query that hold k points
+    give a bound for its k-th neighbour. By the triangle inequality a nearer point lies in a cell no farther
+    than bound plus radius, and its distance to the reference point differs from the query's by at most the
+    bound; only such points are measured. Nothing is approximated.
     """
     per_point = (
         train.selectExpr("id", "label", "vector", "row_number() OVER (PARTITION BY vector ORDER BY id) AS _copy")
@@ -38,41 +42,49 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None =
         .agg(F.expr("array_sort(collect_list(struct(id, label))) AS members"))  # at most k entries
     )
     per_point = written(per_point, "training-points")
+    shape = per_point.agg(F.expr("count(*) AS n"), F.expr("max(size(vector)) AS size")).first()
+    size = shape["size"] or 0
     if cells is None:
-        cells = max(1, min(MOST_CELLS, math.isqrt(per_point.count())))
+        cells = max(1, min(MOST_CELLS, math.isqrt(shape["n"])))
     centres = per_point.orderBy(shuffle_key(seed, F.col("vector")), "vector").limit(cells)
     centres = one_row(centres.agg(F.expr("collect_list(vector) AS vectors")))
-    to_centres = f"transform(_centres.vectors, c -> {distance('vector', 'c')})"
-    placed = (
+    to_centres = f"transform(_centres.vectors, c -> {distance('vector', 'c', size)})"
+    placed = written(
         per_point.withColumn("_centres", centres)
         .selectExpr("vector", "members", f"{to_centres} AS _d")
-        .selectExpr("vector", "members", "CAST(array_position(_d, array_min(_d)) AS INT) AS cell", "array_min(_d) AS _near")
+        .selectExpr("vector", "members", "CAST(array_position(_d, array_min(_d)) AS INT) AS cell", "array_min(_d) AS near"),
+        "placed-points",
     )
-    radii = placed.groupBy("cell").agg(F.expr("max(_near) AS radius"), F.expr("sum(size(members)) AS points"))
+    radii = placed.groupBy("cell").agg(F.expr("max(near) AS radius"), F.expr("sum(size(members)) AS points"))
     radii = one_row(radii.agg(F.expr("collect_list(struct(cell, radius, points)) AS cells")))
-    # (upper bound, points) of every cell, nearest bound first; the bound at which k points are covered.
-    bounds = "array_sort(transform(_radii.cells, c -> struct(_d[c.cell - 1] + c.radius AS bound, c.points AS points)))"
-    reach = (
-        f"aggregate({bounds}, struct(0L AS held, CAST(NULL AS DOUBLE) AS bound), "
-        f"(acc, b) -> if(acc.held >= {k}, acc, struct(acc.held + b.points AS held, b.bound AS bound)), acc -> acc.bound)"
+    by_distance = "array_sort(transform(_radii.cells, c -> struct(_d[c.cell - 1] AS d, c.cell AS cell, c.points AS points)))"
+    nearest = (
+        f"aggregate({by_distance}, struct(0L AS held, CAST(array() AS ARRAY<INT>) AS cells), "
+        f"(acc, b) -> if(acc.held >= {k}, acc, struct(acc.held + b.points AS held, concat(acc.cells, array(b.cell)) AS cells)), acc -> acc.cells)"
     )
-    asked = (
+    asked = written(
         queries.withColumn("_centres", centres)
         .withColumn("_radii", radii)
-        .selectExpr("query_id", "vector AS query", "_radii", f"{to_centres} AS _d")
-        .selectExpr("query_id", "query", "_radii", "_d", f"{reach} AS _reach")
-        .selectExpr(
-            "query_id",
-            "query",
-            f"explode(filter(_radii.cells, c -> _d[c.cell - 1] - c.radius <= _reach + {SLACK}).cell) AS cell",
-        )
+        .selectExpr("query_id", "vector AS query", "_radii.cells AS _cells", "_radii", f"{to_centres} AS _d")
+        .selectExpr("query_id", "query", "_cells", "_d", f"{nearest} AS _first"),
+        "placed-queries",
     )
-    measured = (
-        asked.join(placed, "cell")
-        .selectExpr("query_id", f"round({distance('query', 'vector')}, 9) AS distance", "inline(members)")
-        .selectExpr("*", "row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank")
+
+    def measured(of: DataFrame, condition: str = "true") -> DataFrame:
+        found = of.join(placed.withColumnRenamed("cell", "_cell"), F.expr(f"cell = _cell AND {condition}"))
+        found = found.selectExpr("query_id", f"round({distance('query', 'vector', size)}, {DIGITS}) AS distance", "inline(members)")
+        found = found.selectExpr("*", "row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank")
+        return found.where(f"rank <= {k}")
+
+    first = measured(asked.selectExpr("query_id", "query", "explode(_first) AS cell"))
+    bound = first.groupBy("query_id").agg(F.expr(f"max(distance) + {SLACK} AS bound"))
+    reachable = "filter(_cells, c -> _d[c.cell - 1] - c.radius <= bound)"
+    again = (
+        asked.join(bound, "query_id")
+        .selectExpr("query_id", "query", "bound", f"explode(transform({reachable}, c -> struct(c.cell, _d[c.cell - 1] AS away))) AS c")
+        .selectExpr("query_id", "query", "bound", "c.cell", "c.away")
     )
-    return measured.where(f"rank <= {k}")
+    return measured(again, "abs(away - near) <= bound")
 
 
 def vote(found: DataFrame) -> DataFrame:

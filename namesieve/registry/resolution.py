@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from namesieve.functions.names import LEGAL_FORMS, normalize_whitespace, strip_accents
 from namesieve.functions.variants import CORPORATE_NOISE, RULES
 from namesieve.functions.vectors import unit_length
-from namesieve.operators import blocking, decisions, naming, sampling, similarity, tfidf
+from namesieve.operators import blocking, decisions, naming, similarity, tfidf
 from namesieve.operators.catalog import entity_catalog
+from namesieve.plans.storage import written
 from namesieve.registry import views
 from namesieve.registry.views import ctes, with_ctes
 
@@ -430,9 +431,10 @@ def pair_cosine_dense(spark, folder):
     )
 )
 def top_neighbors(spark, folder):
-    texts = _vocabulary(spark, folder)
+    texts = written(_vocabulary(spark, folder), "vocabulary")
     demo = texts.agg(F.min("variant")).first()[0]
-    return similarity.top_neighbors(tfidf.tfidf_weights(texts), demo, texts, k=10)
+    weights = written(tfidf.tfidf_weights(texts), "weights")  # the index that every lookup reads
+    return similarity.top_neighbors(weights, demo, texts, k=10)
 
 
 @query(
