@@ -259,12 +259,18 @@ def evaluate_models(
 
 
 def compare_models(
-    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], grids=GRIDS, label: str = LABEL
+    rows: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    grids=GRIDS,
+    label: str = LABEL,
+    kinds: Sequence[str] = tuple(DEFAULTS),
 ) -> tuple[DataFrame, dict[str, Predictor], dict]:
-    """Tune, refit and time every model and both ensembles; validation metrics, best PR-AUC first.
+    """Tune, refit and time the models of ``kinds`` and both ensembles; validation metrics, best PR-AUC first.
 
     Returns the table, the fitted predictors and the fitted MLlib models (with the feature steps as ``"features"``).
     """
+    grids = {k: g for k, g in grids.items() if k in kinds}
     best = best_params(grid_search(rows.where("split = 'train'"), numeric, categorical, grids, label=label))
     steps, prepared = prepared_rows(rows, numeric, categorical, label)
     data = prepared.persist()
@@ -272,7 +278,7 @@ def compare_models(
     count = train.count()
     params = {name: best[name][0] for name in best}
     fitted, models, runs = {}, {"features": steps}, []
-    for kind in DEFAULTS:
+    for kind in kinds:
         start = time.perf_counter()
         fitted[kind], models[kind] = fit_model(kind, train, params.get(kind), label, count)
         runs.append((kind, best[kind][1] if kind in best else None, round(time.perf_counter() - start, 4)))

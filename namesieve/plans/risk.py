@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,14 @@ def scored_entities(labelled: DataFrame) -> DataFrame:
     return risk.risk_levels(risk.risk_score(risk.priority_from_counts(labelled)))
 
 
-def run(spark: SparkSession, source_results: str, evidence_items: str, out: str, grids=models.GRIDS) -> DataFrame:
+def run(
+    spark: SparkSession,
+    source_results: str,
+    evidence_items: str,
+    out: str,
+    grids=models.GRIDS,
+    kinds: Sequence[str] = tuple(models.DEFAULTS),
+) -> DataFrame:
     """Whole phase on two CSV files; writes comparison, test metrics, predictions, model, manifest and scores.
 
     Returns the model comparison.
@@ -36,7 +45,7 @@ def run(spark: SparkSession, source_results: str, evidence_items: str, out: str,
     numeric, categorical = features.route_columns(modelled, candidates)
     rows = tables.written(splits.stratified_split(modelled), "split-entities")
 
-    table, fitted, kept = models.compare_models(rows, numeric, categorical, grids)
+    table, fitted, kept = models.compare_models(rows, numeric, categorical, grids, kinds=kinds)
     table = tables.written(table, "model-comparison")
     best = selection.best_by_pr_auc(table).first()["model"]
     tables.write_csv(table.orderBy(F.desc_nulls_last("pr_auc"), "model"), f"{out}/metrics_comparison")
