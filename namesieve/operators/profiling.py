@@ -98,7 +98,7 @@ def feature_catalog(df: DataFrame, target: str = LABEL, excluded: Sequence[str]
 def duplicate_report(df: DataFrame, key: str) -> DataFrame:
     """Rows that repeat an earlier row, and rows that repeat an earlier key (null is a key)."""
     rows = df.groupBy(*df.columns).agg(F.expr("count(*) AS n")).agg(F.expr("coalesce(sum(n - 1), 0) AS n"))
-    keys = df.groupBy(key).agg(F.expr("count(*) AS n")).agg(F.expr(f"coalesce(sum(n - 1), 0) AS n"))
+    keys = df.groupBy(key).agg(F.expr("count(*) AS n")).agg(F.expr("coalesce(sum(n - 1), 0) AS n"))
     both = rows.selectExpr("n AS duplicate_rows").join(keys.selectExpr("n AS duplicate_keys"), F.lit(True))
     return metric_rows(both)
 

@@ -9,7 +9,7 @@ from namesieve.operators import facts, profiling, risk, sampling, similarity, sp
 from namesieve.operators.facts import LABEL
 from namesieve.operators.profiling import LEAKING
 from namesieve.registry import views
-from namesieve.registry.resolution import _TFIDF, FEAT, SIM, VAR, _metric_rows, _norm_ctes
+from namesieve.registry.resolution import _TFIDF, VAR, _metric_rows
 from namesieve.registry.views import ctes, with_ctes
 from namesieve.sources import tables
 
