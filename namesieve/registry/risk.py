@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from namesieve.operators import facts, profiling, risk, sampling, similarity, splits
 from namesieve.operators.facts import LABEL
 from namesieve.operators.profiling import LEAKING
+from namesieve.operators.ranking import one_row
 from namesieve.registry import views
 from namesieve.registry.resolution import _TFIDF, VAR, _metric_rows
 from namesieve.registry.views import ctes, with_ctes
@@ -460,7 +461,10 @@ def score_labelled_pairs(spark, folder):
 def stored_vectors(spark: SparkSession, folder: str, texts: DataFrame) -> DataFrame:
     """A stored dense vector for each text: the embedding whose number is a hash of the text."""
     vectors = views.dense_vectors(spark, folder)
-    numbered = texts.selectExpr("variant", "CAST(conv(substr(md5(variant), 1, 8), 16, 10) AS BIGINT) % 400 AS vec_id")
+    total = one_row(vectors.agg(F.expr("count(*) AS n")))
+    numbered = texts.withColumn("_all", total).selectExpr(
+        "variant", "CAST(conv(substr(md5(variant), 1, 8), 16, 10) AS BIGINT) % _all.n AS vec_id"
+    )
     return numbered.join(vectors, "vec_id").select("variant", "vector")
 
 
@@ -484,7 +488,7 @@ def _comparison(spark: SparkSession, folder: str) -> DataFrame:
 _DOT = "list_dot_product({0}.embedding::DOUBLE[], {1}.embedding::DOUBLE[])"
 _COMPARED = [
     *_LABELLED_COSINE,
-    ("stored", "SELECT variant, embedding FROM texts JOIN embeddings ON vec_id = CAST('0x' || substr(md5(variant), 1, 8) AS BIGINT) % 400"),
+    ("stored", "SELECT variant, embedding FROM texts JOIN embeddings ON vec_id = CAST('0x' || substr(md5(variant), 1, 8) AS BIGINT) % (SELECT count(*) FROM embeddings)"),
     (
         "every",
         "SELECT 'tfidf' AS backend, same_entity AS y, cosine_similarity AS s FROM sparse UNION ALL SELECT 'dense', same_entity, "

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from namesieve.operators.naming import name_variants, normalize_names
 
 
+# Columns that stand for findings and evidence; the same text serves both engines.
+EVIDENCE_COUNT = (
+    "CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END"
+)
+IDENTITY_SCORE = (
+    "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) "
+    "ELSE CAST(l_discount AS DOUBLE) * CAST(l_quantity AS DOUBLE) / CAST(5 AS DOUBLE) END"
+)
+REVIEW_REQUIRED = (
+    "CASE WHEN l_returnflag = 'R' AND l_quantity >= 43 THEN 'True' WHEN l_returnflag = 'A' THEN 'False' ELSE '1.0' END"
+)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -20,7 +33,7 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
     )
     return table(spark, folder, "documents").selectExpr(
         "doc_id AS entity_id",
-        rf"concat(regexp_extract(substr(text, 1, 400), r'^\s*(\S+(?:\s+\S+){{0,3}})', 1), {suffix}) AS entity_name",
+        rf"concat(regexp_extract(text, r'^\s*(\S+(?:\s+\S+){{0,3}})', 1), {suffix}) AS entity_name",
         "CASE WHEN doc_id % 3 = 0 THEN 'MORAL' ELSE 'FISICA' END AS entity_type",
         "nullif(lang, 'de') AS country_code",
     )
@@ -47,26 +60,19 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 def sources(spark: SparkSession, folder: str) -> DataFrame:
     """Source results per entity, with null evidence counts."""
-    return (
-        table(spark, folder, "orders")
-        .where("o_orderkey % 3 = 0")
-        .selectExpr(
-            "o_custkey AS entity_id",
-            "o_orderpriority AS source",
-            "CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS evidence_count",
-        )
+    return table(spark, folder, "orders").selectExpr(
+        "o_custkey AS entity_id", "o_orderpriority AS source", f"{EVIDENCE_COUNT} AS evidence_count"
     )
 
 
 def evidence(spark: SparkSession, folder: str) -> DataFrame:
     """Evidence items per entity, with null and NaN scores and a text that is not a review flag."""
-    lineitem = table(spark, folder, "lineitem").where("l_orderkey % 7 = 0")
+    lineitem = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "o_custkey AS entity_id",
-        "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) "
-        "ELSE l_discount * CAST(10 AS DOUBLE) END AS identity_score",
-        "CASE l_returnflag WHEN 'R' THEN 'True' WHEN 'A' THEN 'False' ELSE '1.0' END AS review_required",
+        f"{IDENTITY_SCORE} AS identity_score",
+        f"{REVIEW_REQUIRED} AS review_required",
     )
 
 
@@ -91,7 +97,7 @@ def dense_vectors(spark: SparkSession, folder: str) -> DataFrame:
 SQL = {
     "ent": r"""
 SELECT doc_id AS entity_id,
-  concat(regexp_extract(substr(text, 1, 400), '^\s*(\S+(?:\s+\S+){0,3})', 1),
+  concat(regexp_extract(text, '^\s*(\S+(?:\s+\S+){0,3})', 1),
     CASE WHEN doc_id % 3 <> 0 THEN '' WHEN doc_id % 5 = 0 THEN ' S.A.' WHEN doc_id % 5 = 1 THEN ' S. de R.L. de C.V.'
          WHEN doc_id % 5 = 2 THEN ' LLC' WHEN doc_id % 5 = 3 THEN ' Group Holdings' ELSE ' & Co.' END) AS entity_name,
   CASE WHEN doc_id % 3 = 0 THEN 'MORAL' ELSE 'FISICA' END AS entity_type,
@@ -101,16 +107,9 @@ FROM documents""",
 SELECT c_custkey AS entity_id, c_name AS entity_name,
   CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'MORAL' ELSE 'FISICA' END AS entity_type, n_name AS country_code
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "src": """
-SELECT o_custkey AS entity_id, o_orderpriority AS source,
-  CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS evidence_count
-FROM orders WHERE o_orderkey % 3 = 0""",
-    "evd": """
-SELECT o_custkey AS entity_id,
-  CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE)
-       ELSE l_discount * CAST(10 AS DOUBLE) END AS identity_score,
-  CASE l_returnflag WHEN 'R' THEN 'True' WHEN 'A' THEN 'False' ELSE '1.0' END AS review_required
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 7 = 0""",
+    "src": f"SELECT o_custkey AS entity_id, o_orderpriority AS source, {EVIDENCE_COUNT} AS evidence_count FROM orders",
+    "evd": f"SELECT o_custkey AS entity_id, {IDENTITY_SCORE} AS identity_score, {REVIEW_REQUIRED} AS review_required "
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
     "pred": """
 SELECT d.doc_id AS id, d.lang AS model, CASE WHEN d.doc_id % 2 = 0 THEN 'train' ELSE 'validation' END AS split,
   l.quality AS y_true, round(least(CAST(d.n_chars AS DOUBLE) / 2000, CAST(1 AS DOUBLE)), 2) AS y_score,
