@@ -18,20 +18,21 @@ from namesieve.llm.texts import SPACES, Chunk, chunks, mixed, owners, segment_ha
 from namesieve.plans.storage import written
 
 SYMBOLS = b"#*$%&|<>"
-#: rule -> (column, bad below, bad above, good from, good to); between the two ranges the rule abstains.
+#: rule -> (column, bad below, bad above, good from, good to). Outside both ranges the rule abstains; one without a good
+#: range never votes good, as the absence of junk says little.
 RULES = {
     "length": ("n_words", 20, None, 60, None),
-    "symbols": ("symbols_per_word", None, 0.1, None, 0.02),
-    "dup_lines": ("dup_line_share", None, 0.3, None, 0.05),
-    "repeats": ("repeat_share", None, 0.3, None, 0.1),
-    "word_length": ("mean_word", 2.0, 13.0, 3.0, 10.0),
-    "capitals": ("capital_share", None, 0.5, None, 0.2),
-    "letters": ("letter_share", 0.6, None, 0.8, None),
-    "exclaims": ("exclaim_share", None, 0.2, None, 0.02),
-    "distinct": ("distinct_share", 0.1, None, 0.2, None),
+    "distinct": ("distinct_share", 1.0, None, 1.5, None),
+    "letters": ("letter_share", 0.75, None, 0.9, None),
+    "symbols": ("symbols_per_word", None, 0.1, None, None),
+    "exclaims": ("exclaim_share", None, 0.2, None, None),
+    "capitals": ("capital_share", None, 0.5, None, None),
+    "repeats": ("repeat_share", None, 0.4, None, None),
+    "dup_lines": ("dup_line_share", None, 0.5, None, None),
+    "word_length": ("mean_word", 2.0, 13.0, None, None),
 }
-#: Prior rates of the votes bad, none and good on texts of either class.
-GOOD_VOTES, BAD_VOTES = (0.02, 0.18, 0.8), (0.3, 0.2, 0.5)
+#: Believed rates of bad and good votes on good and on bad texts, of rules that vote both ways and of those that only vote bad.
+TWO_SIDED, BAD_ONLY = ((0.03, 0.9), (0.4, 0.5)), ((0.005, 0.0), (0.3, 0.0))
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_letters", "n_exclaims", "n_distinct"]
 STATS = "doc_id {id}, " + ", ".join(f"{c} bigint" for c in COUNTS)
 
@@ -140,12 +141,11 @@ def _ratios(df: DataFrame) -> DataFrame:
 def _vote(rule: tuple) -> F.Column:
     column, bad_below, bad_above, good_from, good_to = rule
     c = F.col(column)
-    bad = F.lit(False)
+    bad, good = F.lit(False), F.lit(_two_sided(rule))
     if bad_below is not None:
         bad = bad | (c < bad_below)
     if bad_above is not None:
         bad = bad | (c > bad_above)
-    good = F.lit(True)
     if good_from is not None:
         good = good & (c >= good_from)
     if good_to is not None:
@@ -153,24 +153,32 @@ def _vote(rule: tuple) -> F.Column:
     return F.when(bad, 0).when(good, 2).otherwise(1)
 
 
-def learn(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: float = 0.85, strength: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of good for each pattern, and ``rates[class, rule, vote]``: how often a rule votes so on good or bad texts.
+def _two_sided(rule: tuple) -> bool:
+    return rule[3] is not None or rule[4] is not None
 
-    ``patterns`` holds 0 (bad), 1 (none) or 2 (good) per rule. A rule has a rate for each vote and class, as most rules
-    vote good on nearly every text and that must not outweigh one well-founded bad vote. Rates are smoothed by a prior
-    worth ``strength`` of the corpus, from which they start; it ties the classes to their names.
+
+def believed(rules: dict) -> np.ndarray:
+    return np.array([[(TWO_SIDED if _two_sided(r) else BAD_ONLY)[c] for r in rules.values()] for c in (0, 1)])
+
+
+def learn(patterns: np.ndarray, counts: np.ndarray, believed: np.ndarray, rounds: int = 100, prior: float = 0.8, strength: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of good for each pattern, and ``rates[class, rule, vote]``: how often a rule votes bad or good on a class.
+
+    ``patterns`` holds 0 (bad), 1 (none) or 2 (good) per rule. Accuracy is learned for each class on its own, since most
+    texts are good and a vote that nearly all texts get is weak evidence. An abstention is none. Rates start at
+    ``believed`` and are smoothed towards it as by a ``strength`` of the corpus, which ties the classes to their names.
     """
-    rules = patterns.shape[1]
-    votes = np.stack([patterns == v for v in (0, 1, 2)], axis=2).astype(float)
+    votes = np.stack([patterns == 0, patterns == 2], axis=2).astype(float)
     total = max(counts.sum(), 1.0)
-    start = np.stack([np.tile(GOOD_VOTES, (rules, 1)), np.tile(BAD_VOTES, (rules, 1))])
-    rates, share, post = start, prior, np.zeros(len(patterns))
+    floor = 1e-3
+    rates, share, post = np.maximum(believed, floor), prior, np.zeros(len(patterns))
+    weight = strength * total * np.array([prior, 1 - prior])[:, None, None]
     for _ in range(rounds):
         logit = np.log(share) - np.log1p(-share) + np.einsum("prv,rv->p", votes, np.log(rates[0]) - np.log(rates[1]))
         post = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
         mass = np.stack([counts * post, counts * (1 - post)])
-        seen = np.einsum("cp,prv->crv", mass, votes) + strength * total * start
-        rates = seen / seen.sum(axis=2, keepdims=True)
+        seen = np.einsum("cp,prv->crv", mass, votes) + weight * believed
+        rates = np.clip(seen / (mass.sum(axis=1)[:, None, None] + weight), floor, 1 - floor)
         share = (mass[0].sum() + prior * strength * total) / (total * (1 + strength))
     return post, rates
 
@@ -189,7 +197,7 @@ def weak_quality(docs: DataFrame, keep_from: float = 0.5, rounds: int = 100, rul
     voted = _ratios(counts).withColumn("pattern", F.concat(*(_vote(r).cast("string") for r in rules.values())))
     seen = voted.groupBy("pattern").count().orderBy("pattern").collect()
     votes = np.array([[int(d) for d in r["pattern"]] for r in seen], dtype=np.int64).reshape(len(seen), len(rules))
-    post, _ = learn(votes, np.array([r["count"] for r in seen], dtype=float), rounds)
+    post, _ = learn(votes, np.array([r["count"] for r in seen], dtype=float), believed(rules), rounds)
     table = spark.createDataFrame([(r["pattern"], float(p)) for r, p in zip(seen, post)], "pattern string, quality double")
     return voted.join(F.broadcast(table), "pattern", "left").select("doc_id", *COUNTS, "pattern", "quality", (F.col("quality") >= keep_from).alias("good"))
 
