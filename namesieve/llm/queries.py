@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from namesieve.llm import language, quality
+from namesieve.llm import language, packing, quality
 
 QUERIES = {
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op9_weak_supervision": quality.op9_weak_supervision,
     "op10_language_id": language.op10_language_id,
 }
