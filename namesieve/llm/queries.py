@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from namesieve.llm import language, packing, quality
+from namesieve.llm import archives, language, packing, pages, quality
 
 QUERIES = {
+    "op2_template_removal": pages.op2_template_removal,
+    "op3_warc": archives.op3_warc,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op9_weak_supervision": quality.op9_weak_supervision,
     "op10_language_id": language.op10_language_id,
