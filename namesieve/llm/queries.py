@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from namesieve.llm import archives, language, packing, pages, quality
+from namesieve.llm import archives, language, packing, pages, quality, scoring
 
 QUERIES = {
+    "op1_context_tree": scoring.op1_context_tree,
     "op2_template_removal": pages.op2_template_removal,
     "op3_warc": archives.op3_warc,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
