@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from namesieve.plans.storage import written
 
@@ -198,7 +199,7 @@ def assigned(pieces: DataFrame, longest: int = LONGEST, group_rows: int = 20_000
                 sequence[rows], offset[rows] = first[slot] + at - start[slot], place[slot]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, pieces.schema.add("sequence_id", "bigint").add("offset", "bigint"))
+    return ranked.mapInArrow(run, T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
 
 
 def pack(docs: DataFrame, path: str | None = None, longest: int = LONGEST, keep_ids: bool = False) -> DataFrame:
