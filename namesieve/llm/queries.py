@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from namesieve.llm import archives, language, packing, pages, quality, scoring
+from namesieve.llm import archives, language, neardups, packing, pages, privacy, quality, scoring
 
 QUERIES = {
+    "op4_private_data": privacy.op4_private_data,
+    "op5_probminhash": neardups.op5_probminhash,
     "op1_context_tree": scoring.op1_context_tree,
     "op2_template_removal": pages.op2_template_removal,
     "op3_warc": archives.op3_warc,
