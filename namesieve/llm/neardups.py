@@ -60,7 +60,7 @@ def registers(texts: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int,
     while len(keys):
         for _ in range(block):
             drawn += 1
-            draw = mixed(keys + np.uint64(drawn) * MULT)
+            draw = mixed(keys + np.uint64(drawn * int(MULT) & 0xFFFFFFFFFFFFFFFF))
             time = time - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53) / rate
             slot = texts * size + (mixed(draw) % np.uint64(size)).astype(np.int64)
             np.minimum.at(first, slot, time)

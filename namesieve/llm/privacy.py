@@ -47,14 +47,23 @@ FEATURES = {"kind": 4, "digits": 6, "separators": 3, "groups": 5, "cue": 2, "bef
 _BLOCK = 64
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _starts(pieces: Column) -> Column:
     """Offset of each piece: sums in blocks, so that many matches in one text stay cheap."""
-    lengths = F.transform(pieces, lambda p: F.length(p).cast("long"))
     zero, add = F.lit(0).cast("long"), lambda a, x: a + x
-    part = lambda b, n: F.aggregate(F.slice(lengths, b * _BLOCK + 1, n), zero, add)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _BLOCK).cast("int")), lambda b: part(b, F.lit(_BLOCK)))
-    before = F.aggregate(blocks, F.array(zero), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
-    return F.transform(pieces, lambda p, i: F.get(before, F.floor(i / _BLOCK).cast("int")) + part(F.floor(i / _BLOCK).cast("int"), i % _BLOCK))
+    block_of = lambda i: F.floor(i / _BLOCK).cast("int")
+    part = lambda lengths, b, n: F.aggregate(F.slice(lengths, b * _BLOCK + 1, n), zero, add)
+    sums = lambda lengths: F.transform(F.sequence(F.lit(0), block_of(F.size(lengths) - 1)), lambda b: part(lengths, b, F.lit(_BLOCK)))
+    running = lambda blocks: F.aggregate(blocks, F.array(zero), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+
+    def offsets(lengths: Column) -> Column:
+        return _let(running(sums(lengths)), lambda before: F.transform(lengths, lambda _, i: F.get(before, block_of(i)) + part(lengths, block_of(i), i % _BLOCK)))
+
+    return _let(F.transform(pieces, lambda p: F.length(p).cast("long")), offsets)
 
 
 def _matches(df: DataFrame, text: str, pattern: str, out: str, needs: Column) -> DataFrame:
@@ -105,42 +114,60 @@ def _needs(text: str, kind: str) -> Column:
     return F.col(text).rlike({"email": r"@|[(\[{]at[)\]}]", "ip": "[0-9]"}.get(kind, "[0-9]"))
 
 
+# Lambdas of array functions must not have default arguments, which would count as parameters; these bind a kind.
+def _checked(kind: str):
+    return lambda m: _valid(kind, m["match"])
+
+
+def _span_of(k: int):
+    return lambda m: F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end"))
+
+
+def _describer(k: int):
+    return lambda m: _described(m, k)
+
+
+def _of_kind(k: int):
+    return lambda s: s["kind"] == k
+
+
 def strict_spans(df: DataFrame, text: str, out: str = "strict") -> DataFrame:
     """Adds ``out``: confirmed spans, ``start``, ``kind`` (index in ``KINDS``), ``end``, in this order."""
     for k, kind in enumerate(KINDS):
         df = _matches(df, text, STRICT[kind], f"__s{k}", _needs(text, kind))
-        kept = F.filter(f"__s{k}", lambda m, kind=kind: _valid(kind, m["match"]))
-        df = df.withColumn(f"__s{k}", F.transform(kept, lambda m, k=k: F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end"))))
+        kept = F.filter(f"__s{k}", _checked(kind))
+        df = df.withColumn(f"__s{k}", F.transform(kept, _span_of(k)))
     return df.withColumn(out, F.array_sort(F.concat(*(f"__s{k}" for k in range(len(KINDS)))))).drop(*(f"__s{k}" for k in range(len(KINDS))))
 
 
 def _described(m: Column, k: int) -> Column:
     """The proposal with its description."""
     match, before, after = m["match"], m["before"], m["after"]
-    digits = _digits(match)
-    n = F.length(digits)
-    separators = F.regexp_replace(match, "[0-9A-Za-z]", "")
-    mixed = F.length(F.regexp_replace(separators, r"^(.)\1*", ""))
-    groups = F.size(F.array_remove(F.split(match, "[^0-9A-Za-z]+"), ""))
     edge = lambda c, inside: F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike(inside), 1).otherwise(2)
-    codes = {
-        "kind": F.lit(k),
-        "digits": F.when(n < 7, 0).when(n < 9, 1).when(n < 12, 2).when(n < 16, 3).when(n < 20, 4).otherwise(5),
-        "separators": F.when(separators == "", 0).when(mixed == 0, 1).otherwise(2),
-        "groups": F.least(F.greatest(groups, F.lit(1)), F.lit(5)) - 1,
-        "cue": before.rlike(CUES[KINDS[k]]).cast("int"),
-        "before": edge(F.right(before, F.lit(1)), r"^[(\[{<\"':;,.]$"),
-        "after": edge(after, r"^[)\]}>\"':;,.!?]$"),
-        "luhn": F.when(n.between(12, 19), _luhn(digits)).otherwise(False).cast("int"),
-    }
-    return F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end"), F.struct(*(c.cast("int").alias(f) for f, c in codes.items())).alias("x"))
+
+    def codes(digits: Column, n: Column, separators: Column) -> Column:
+        groups = F.size(F.array_remove(F.split(match, "[^0-9A-Za-z]+"), ""))
+        found = {
+            "kind": F.lit(k),
+            "digits": F.when(n < 7, 0).when(n < 9, 1).when(n < 12, 2).when(n < 16, 3).when(n < 20, 4).otherwise(5),
+            "separators": F.when(separators == "", 0).when(F.length(F.regexp_replace(separators, r"^(.)\1*", "")) == 0, 1).otherwise(2),
+            "groups": F.least(F.greatest(groups, F.lit(1)), F.lit(5)) - 1,
+            "cue": before.rlike(CUES[KINDS[k]]).cast("int"),
+            "before": edge(F.right(before, F.lit(1)), r"^[(\[{<\"':;,.]$"),
+            "after": edge(after, r"^[)\]}>\"':;,.!?]$"),
+            "luhn": F.when(n.between(12, 19), _luhn(digits)).otherwise(False).cast("int"),
+        }
+        return F.struct(*(c.cast("int").alias(f) for f, c in found.items()))
+
+    x = _let(F.struct(_digits(match).alias("d"), F.regexp_replace(match, "[0-9A-Za-z]", "").alias("s")), lambda v: codes(v["d"], F.length(v["d"]), v["s"]))
+    return F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end"), x.alias("x"))
 
 
 def proposals(df: DataFrame, text: str, out: str = "proposed") -> DataFrame:
     """Adds ``out``: ``start``, ``kind``, ``end`` and the description ``x`` of every match of a generous pattern."""
     for k, kind in enumerate(KINDS):
         df = _matches(df, text, GENEROUS[kind], f"__g{k}", _needs(text, kind))
-        df = df.withColumn(f"__g{k}", F.transform(f"__g{k}", lambda m, k=k: _described(m, k)))
+        df = df.withColumn(f"__g{k}", F.transform(f"__g{k}", _describer(k)))
     return df.withColumn(out, F.concat(*(f"__g{k}" for k in range(len(KINDS))))).drop(*(f"__g{k}" for k in range(len(KINDS))))
 
 
@@ -318,7 +345,7 @@ def _listed(spans: str) -> Column:
 def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans in every document."""
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    counts = [F.size(F.filter("strict", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    counts = [F.size(F.filter("strict", _of_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_listed("strict"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
