@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from namesieve.llm.language import language_stage
+from namesieve.llm.mixing import mixing_stage
+from namesieve.llm.neardups import near_duplicate_stage
+from namesieve.llm.packing import packing_stage
+from namesieve.llm.privacy import private_data_stage
 from namesieve.plans.storage import written
 
-STAGES: list = []
+STAGES = [
+    ("language", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("private_data", private_data_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+#: Trained models, hashed signatures and tokenizers are beyond SQL: the tests compare with brute force instead.
 ORACLE_SQL = None
 
 

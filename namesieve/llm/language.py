@@ -204,3 +204,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_languages(docs.where(part != 2))
     found = identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay, labelled with it; rejected ones go. Learns from the labels that there are."""
+    found = identify(docs, fit_languages(docs.select("doc_id", "text", "lang")))
+    return found.where(~F.col("rejected")).withColumn("lang", F.col("lang_pred")).select(*docs.columns)

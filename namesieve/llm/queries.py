@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from namesieve.llm import archives, language, neardups, neighbours, packing, pages, privacy, quality, scoring
+from namesieve.llm import archives, language, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring
 
 QUERIES = {
+    "op7_mixing": mixing.op7_mixing,
     "op8_nn_descent": neighbours.op8_nn_descent,
     "op4_private_data": privacy.op4_private_data,
     "op5_probminhash": neardups.op5_probminhash,
