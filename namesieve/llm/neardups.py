@@ -7,8 +7,9 @@ bands; texts that share a band are candidates, and only pairs whose similarity,
 threshold are links.
 
 Copies count once: bands, links and components are between distinct texts. A bucket is never paired with itself: its texts
-meet one leader, then other leaders while some are still apart, and only those left over meet the rest of the bucket, where
-the triangle inequality (one minus this similarity is a metric) does not rule them out.
+meet the most central of them (the one whose buckets are largest), which links nearly all texts that belong together. Where
+a leader's texts are still in several classes, those outside the largest class meet all of the leader's texts in tiles: a
+task counts common shingles by their postings and emits no more links than join two classes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from namesieve.plans.storage import written
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 25, 5
-ROUNDS = 3
+#: Texts and shingles on one side of a tile, about.
+TILE_TEXTS, TILE_SHINGLES = 4096, 1_000_000
 
 
 def shingles(chunk: Chunk, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,47 +180,108 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     ``nodes``: ``node``, ``low`` (smallest ``doc_id``) and ``bands``, one row per distinct text; ``docs`` has the texts.
     """
     members = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = written(members.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("n > 1"), "buckets")
-    crowded = written(members.join(buckets.where("n > 2").select("band", "low"), "band"), "crowded")
-    pairs = buckets.where("n = 2").select(F.col("low").alias("x"), F.col("high").alias("y"))
-    first = crowded.where("node <> low").select(F.col("low").alias("x"), F.col("node").alias("y"))
-    pairs = written(pairs.union(first).distinct(), "pairs")
-    used = written(pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct(), "used")
+    buckets = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(members.join(buckets, "band"), "shared")
+    central = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    leaders = shared.join(central, "node").groupBy("band").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
+    groups = written(shared.select("node", "band").join(leaders, "band").select("leader", "node").distinct(), "groups")
+
     # By id as well as text: the many copies of one text do not meet in one task.
-    holders = used.join(nodes.select("node", "low"), "node")
+    holders = central.select("node").join(nodes.select("node", "low"), "node")
     holder = (F.col("d.node") == F.col("h.node")) & F.col("d.doc_id").eqNullSafe(F.col("h.low"))
     wanted = docs.withColumn("node", F.unhex(F.md5("text"))).alias("d").join(holders.alias("h"), holder, "left_semi").dropDuplicates(["node"])
     sets = written(weighted_sets(wanted), "sets")
-    scored = written(similarities(pairs, sets), "similarities")
-    labels = _relabel(used.select("node", F.col("node").alias("label")), scored.where(F.col("sim") >= least))
-
-    for turn in range(1, ROUNDS + 1):
-        open_ones = _open(crowded, labels)
-        leader = open_ones.groupBy("band").agg(F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "node", "band")).alias("leader"))
-        pairs = open_ones.join(leader, "band").where("label <> leader.label").select(F.least("node", "leader.node").alias("x"), F.greatest("node", "leader.node").alias("y")).distinct()
-        fresh = written(similarities(written(pairs, "pairs"), sets), "similarities")
-        if fresh.isEmpty():
-            return labels
-        labels = _relabel(labels, fresh.where(F.col("sim") >= least))
-
-    # What is still apart meets every text of its buckets that can be near enough, judged by the distances to the first leader.
-    open_ones = written(_open(crowded, labels), "open")
-    far = scored.select(F.col("x").alias("low"), F.col("y").alias("node"), (1 - F.col("sim")).alias("far"))
-    placed = written(open_ones.join(far, ["low", "node"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))), "placed")
-    most = placed.groupBy("band", "label").count().groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
-    few = placed.join(most, "band").where("label <> most").select("band", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("far").alias("x_far"))
-    near = (F.col("label") != F.col("x_label")) & (F.abs(F.col("far") - F.col("x_far")) <= 1 - least + 1e-9)
-    # A pair of two that are both not of the most frequent label comes up twice; distinct takes one.
-    pairs = few.join(placed.select("band", "node", "label", "far"), "band").where(near).select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y")).distinct()
-    fresh = written(similarities(written(pairs, "pairs"), sets), "similarities")
-    return _relabel(labels, fresh.where(F.col("sim") >= least))
-
-
-def _open(crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``crowded`` with their labels, of buckets that hold more than one label."""
-    known = crowded.join(labels, "node")
-    apart = known.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("band")
-    return known.join(apart, "band")
+
+    stars = groups.where("leader <> node").select(F.col("leader").alias("x"), F.col("node").alias("y"))
+    near = written(similarities(stars, sets).where(F.col("sim") >= least).select("x", "y"), "links")
+    labels = _relabel(central.select("node", F.col("node").alias("label")), near)
+
+    known = groups.join(labels, "node")
+    apart = known.groupBy("leader").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("leader")
+    placed = written(known.join(apart, "leader"), "placed")
+    return _relabel(labels, written(_tiles(placed, sets, least), "links"))
+
+
+def _tiles(placed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links between the labels of each leader's texts, enough to join what belongs together.
+
+    ``placed`` has ``leader``, ``node`` and ``label``. Texts outside the leader's most frequent label are on one side of the
+    tiles, all of its texts on the other; both sides are dealt into parts of bounded size by hash.
+    """
+    sizes = written(sets.select("node", F.octet_length("keys").alias("bytes")), "set-sizes")
+    sized = placed.join(sizes, "node")
+    often = sized.groupBy("leader", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    sides = often.groupBy("leader").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max_by(F.struct("n", "bytes"), F.struct("n", "label")).alias("whole"))
+    parts = lambda n, size: F.greatest(F.ceil(n / TILE_TEXTS), F.ceil(size / (4 * TILE_SHINGLES)), F.lit(1)).cast("int")
+    sides = sides.select("leader", "most", parts(F.col("n"), F.col("bytes")).alias("columns"), parts(F.col("n") - F.col("whole.n"), F.col("bytes") - F.col("whole.bytes")).alias("rows"))
+    dealt = placed.join(sides, "leader").withColumn("own", F.xxhash64("node"))
+    column = F.pmod("own", "columns").cast("int")
+    row = F.pmod("own", "rows").cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    left = dealt.where("label <> most").select("leader", row.alias("i"), F.explode(every("columns")).alias("j"), "node", "label", F.lit(True).alias("left"))
+    right = dealt.select("leader", F.explode(every("rows")).alias("i"), column.alias("j"), "node", "label", F.lit(False).alias("left"))
+    filled = left.unionByName(right).join(sets, "node")
+
+    def run(tile: pa.Table) -> pa.Table:
+        pairs = tile_links(tile, least)
+        node = tile["node"].combine_chunks()
+        x, y = (node.take(pa.array(np.array(side, dtype=np.int64))) for side in (zip(*pairs) if pairs else ((), ())))
+        return pa.table([x, y], names=["x", "y"])
+
+    return filled.groupBy("leader", "i", "j").applyInArrow(run, "x binary, y binary")
+
+
+def tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Pairs of rows of ``tile`` (``left``, ``label``, ``keys``, ``weights``) with at least this similarity, a left row first.
+
+    Of all pairs whose labels differ, only those that join classes which no pair before them joined. A pair's similarity is
+    at most the weight that the two share, each one's weights scaled to sum to one; where all weights are one it follows from
+    the number of common shingles, and elsewhere it is computed for pairs that pass this bound.
+    """
+    left = np.asarray(tile["left"]).astype(bool)
+    keys = [np.frombuffer(x.as_buffer(), dtype="<u4") for x in tile["keys"]]
+    weights = [np.frombuffer(x.as_buffer(), dtype="<u4").astype(float) for x in tile["weights"]]
+    labels = tile["label"].to_pylist()
+    plain = np.array([bool((w == 1).all()) for w in weights])
+    size = np.array([len(k) for k in keys])
+    total = np.array([w.sum() for w in weights])
+    right = np.flatnonzero(~left)
+    flat = np.concatenate([keys[r] for r in right]) if len(right) else np.zeros(0, dtype="<u4")
+    share = np.concatenate([weights[r] / total[r] for r in right]) if len(right) else np.zeros(0)
+    owner = np.repeat(np.arange(len(right)), size[right])
+    order = np.argsort(flat, kind="stable")
+    flat, share, owner = flat[order], share[order], owner[order]
+    code = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    root = list(range(len(code)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    label = np.array([code[x] for x in labels])
+    out = []
+    for row in np.flatnonzero(left):
+        first, last = np.searchsorted(flat, keys[row], side="left"), np.searchsorted(flat, keys[row], side="right")
+        count = last - first
+        at = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+        own = np.repeat(weights[row] / total[row], count)
+        common = np.bincount(owner[at], np.minimum(share[at], own), len(right))
+        for k in np.flatnonzero((common >= least - 1e-9) & (label[right] != label[row])):
+            other = right[k]
+            a, b = find(label[row]), find(label[other])
+            if a == b:
+                continue
+            if plain[row] and plain[other]:
+                same = round(common[k] * max(size[row], size[other]))
+                sim = same / (size[row] + size[other] - same)
+            else:
+                sim = probability_jaccard(keys[row], weights[row], keys[other], weights[other])
+            if sim >= least:
+                root[max(a, b)] = min(a, b)
+                out.append((int(row), int(other)))
+    return out
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
