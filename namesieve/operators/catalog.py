@@ -41,9 +41,10 @@ def first_per_entity(df: DataFrame, order: str) -> DataFrame:
     return usable.groupBy("entity_id").agg(first.alias("_first")).select("entity_id", "_first.*")
 
 
-def entity_catalog(sources: DataFrame, literal: str = "query_used", order: str | None = None) -> DataFrame:
-    """One row per entity: id, name, type and country. ``order`` defines "first"; default is file order."""
-    if order is None:
-        order = "_order"
-        sources = sources.withColumn(order, F.monotonically_increasing_id())
+def entity_catalog(sources: DataFrame, order: str, literal: str = "query_used") -> DataFrame:
+    """One row per entity: id, name, type and country of the first item by the column ``order``.
+
+    A table has no order of its own, and partitions do not follow the order of files; the readers in ``sources.tables`` give
+    the place of each row as a column.
+    """
     return first_per_entity(parsed_queries(sources.select(literal, order), literal), order)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from namesieve.operators.ranking import one_row, shuffle_key
 from namesieve.plans.storage import written
 
-MOST_CELLS = 256
 DIGITS = 9  # distances that agree to this digit are ties
 SLACK = "1e-8D"
 
@@ -30,7 +29,7 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None =
     Input: ``train(id, label, vector)`` and ``queries(query_id, vector)`` with arrays of doubles of one length.
 
     Equal training vectors are one point with their k smallest ids, which is all that any query can need.
-    Points belong to the nearest of at most 256 reference points. The cells around a query that hold k points
+    Points belong to the nearest of as many reference points as the root of their number, so cells stay small as the table grows. The cells around a query that hold k points
     give a bound for its k-th neighbour. By the triangle inequality a nearer point lies in a cell no farther
     than bound plus radius, and its distance to the reference point differs from the query's by at most the
     bound; only such points are measured. Nothing is approximated.
@@ -45,7 +44,7 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None =
     shape = per_point.agg(F.expr("count(*) AS n"), F.expr("max(size(vector)) AS size")).first()
     size = shape["size"] or 0
     if cells is None:
-        cells = max(1, min(MOST_CELLS, math.isqrt(shape["n"])))
+        cells = max(1, math.isqrt(shape["n"]))
     centres = per_point.orderBy(shuffle_key(seed, F.col("vector")), "vector").limit(cells)
     centres = one_row(centres.agg(F.expr("collect_list(vector) AS vectors")))
     to_centres = f"transform(_centres.vectors, c -> {distance('vector', 'c', size)})"

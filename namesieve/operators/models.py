@@ -29,6 +29,8 @@ from namesieve.operators.splits import class_weights, stratified_folds
 from namesieve.plans.storage import written
 
 SEED = 42
+# Trees grow as deep as the library allows unless told otherwise, on that many candidate splits of a feature.
+DEEPEST, MAX_BINS = 30, 128
 ID = "entity_id"
 
 # Names, default parameters and parameter grids of the compared models.
@@ -83,11 +85,11 @@ def _estimator(kind: str, params: dict, rows: int, label: str):
         penalty = 1.0 / (params["C"] * max(rows, 1))
         return LogisticRegression(**common, weightCol="class_weight", maxIter=1000, regParam=penalty, standardization=False)
     if kind == "baseline_2_tree":
-        return DecisionTreeClassifier(**common, maxDepth=params["max_depth"], minInstancesPerNode=params["min_leaf"], seed=SEED)
+        return DecisionTreeClassifier(**common, maxDepth=params["max_depth"], minInstancesPerNode=params["min_leaf"], maxBins=MAX_BINS, seed=SEED)
     if kind == "baseline_3_rf":
-        return RandomForestClassifier(**common, numTrees=params["trees"], maxDepth=params.get("max_depth", 15), seed=SEED)
+        return RandomForestClassifier(**common, numTrees=params["trees"], maxDepth=params.get("max_depth", DEEPEST), maxBins=MAX_BINS, seed=SEED)
     if kind == "baseline_4_gb":
-        return GBTClassifier(**common, maxIter=params["rounds"], stepSize=0.1, maxDepth=3, seed=SEED)
+        return GBTClassifier(**common, maxIter=params["rounds"], stepSize=0.1, maxDepth=3, maxBins=MAX_BINS, seed=SEED)
     if kind == "baseline_5_svm":
         return LinearSVC(**common, maxIter=100, regParam=1.0 / (params["C"] * max(rows, 1)), standardization=False)
     raise ValueError(f"unknown model: {kind}")

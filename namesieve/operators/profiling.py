@@ -39,9 +39,10 @@ def _as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_columns(df: DataFrame, head: int = 30) -> DataFrame:
+def profile_columns(df: DataFrame, head: int | None = None) -> DataFrame:
     """Per column: type, nulls, distinct values, shares and whether it is constant; suspicious ones first.
 
+    All columns, or the first ``head`` of that order. Exact distinct counts need every value once:
     One pass: each (column, value) is counted, equal values are combined before the shuffle.
     """
     names = df.columns
@@ -52,7 +53,7 @@ def profile_columns(df: DataFrame, head: int = 30) -> DataFrame:
         F.expr("sum(n) AS n_rows"),
     )
     types = "map({})".format(", ".join(f"'{c}', '{t}'" for c, t in df.dtypes))
-    return (
+    profile = (
         per_column.selectExpr(
             "column",
             f"{types}[column] AS dtype",
@@ -63,14 +64,17 @@ def profile_columns(df: DataFrame, head: int = 30) -> DataFrame:
             "n_unique + CAST(null_count > 0 AS INT) <= 1 AS is_constant",
         )
         .orderBy(F.desc("is_constant"), F.desc("null_pct"), "n_unique", "column")
-        .limit(head)
     )
+    return profile if head is None else profile.limit(head)
 
 
 def constant_columns(df: DataFrame) -> list[str]:
-    """Names of columns with one value (nulls count as a value); a list as long as the schema at most."""
-    found = profile_columns(df, head=len(df.columns)).where("is_constant").select("column").collect()
-    return [r["column"] for r in found]
+    """Names of columns with one value (nulls count as a value); one aggregate over the table, no distinct counts."""
+    if not df.columns:
+        return []
+    ends = [F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.count(c).alias("n")).alias(c) for c in df.columns]
+    found = _as_text(df).agg(F.count("*").alias("_rows"), *ends).first()
+    return [c for c in df.columns if found[c]["n"] == 0 or found[c]["n"] == found["_rows"] and found[c]["low"] == found[c]["high"]]
 
 
 def candidate_features(df: DataFrame, target: str = LABEL, excluded: Sequence[str] = LEAKING) -> list[str]:
@@ -79,20 +83,19 @@ def candidate_features(df: DataFrame, target: str = LABEL, excluded: Sequence[st
     return [c for c in df.columns if c not in out]
 
 
+# The reasons in the feature catalog.
+REASONS = {"target": "objetivo", "constant": "constante", "leaking": "leakage/identificador/texto-json crudo", "candidate": "candidata para modelado"}
+
+
 def feature_catalog(df: DataFrame, target: str = LABEL, excluded: Sequence[str] = LEAKING) -> DataFrame:
-    """Role of each column and why."""
-    listed = ", ".join(f"'{c}'" for c in excluded)
-    return (
-        profile_columns(df, head=len(df.columns))
-        .selectExpr(
-            "column AS feature",
-            f"CASE WHEN column = '{target}' THEN 'target' WHEN is_constant OR column IN ({listed}) THEN 'excluded' "
-            "ELSE 'candidate' END AS role",
-            f"CASE WHEN column = '{target}' THEN 'objetivo' WHEN is_constant THEN 'constante' "
-            f"WHEN column IN ({listed}) THEN 'leakage/identificador/texto-json crudo' ELSE 'candidata para modelado' END AS reason",
-        )
-        .orderBy("role", "feature")
-    )
+    """Role of each column and why; one row per column."""
+    constant = set(constant_columns(df))
+    rows = []
+    for c in df.columns:
+        kind = "target" if c == target else "constant" if c in constant else "leaking" if c in excluded else "candidate"
+        role = {"target": "target", "candidate": "candidate"}.get(kind, "excluded")
+        rows.append((c, role, REASONS[kind]))
+    return df.sparkSession.createDataFrame(rows, "feature string, role string, reason string").orderBy("role", "feature")
 
 
 def duplicate_report(df: DataFrame, key: str) -> DataFrame:

@@ -7,6 +7,7 @@ the inside of a bucket is ordered by a window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from namesieve.plans.storage import written
 
-HASH_DIGITS = 3  # 16**3 = 4096 buckets
-VALUE_BUCKETS = 256
+HASH_DIGITS = 4  # 16**4 = 65,536 buckets: some 150,000 rows in each of them at ten thousand million rows
+LEAST_BUCKETS, ROOT_SHARE = 256, 64
 EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
@@ -51,6 +52,16 @@ def shuffled_rank(df: DataFrame, seed: int, ident: str, by: Sequence[str] = (),
     return ranked.selectExpr(*df.columns, "group_size", f"_offset + _inside AS {rank}")
 
 
+def ordered_rank(df: DataFrame, column: str, rank: str = "ordered_rank") -> DataFrame:
+    """Distinct non-null values of ``column`` and their place in its order, counted from 1; works for any type that has an order."""
+    values = df.where(f"{column} IS NOT NULL").select(column).distinct()
+    ranged = written(values.repartitionByRange(column).withColumn("_part", F.spark_partition_id()), "ranged-values")
+    sizes = ranged.groupBy("_part").agg(F.expr("count(*) AS _n"))
+    offsets = sizes.selectExpr("_part", f"coalesce(sum(_n) OVER (ORDER BY _part {EARLIER}), 0) AS _offset")  # one row per task
+    inside = ranged.selectExpr("*", f"row_number() OVER (PARTITION BY _part ORDER BY {column}) AS _inside")
+    return inside.join(offsets, "_part").selectExpr(column, f"_offset + _inside AS {rank}")
+
+
 def running_totals(
     df: DataFrame, value: str, totals: dict[str, str], by: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
@@ -65,7 +76,9 @@ def running_totals(
     counts = df.where(f"{value} IS NOT NULL AND NOT isnan(CAST({value} AS DOUBLE))")
     counts = counts.groupBy(*by, value).agg(*[F.expr(f"CAST(sum({c}) AS BIGINT) AS {n}") for n, c in totals.items()])
     counts = written(counts, "value-counts")
-    shares = ", ".join(f"{i / VALUE_BUCKETS}D" for i in range(1, VALUE_BUCKETS))
+    # Each row is compared with all edges, so their number grows with the root of the number of values.
+    buckets = max(LEAST_BUCKETS, math.isqrt(counts.count()) // ROOT_SHARE)
+    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     edges = counts.agg(F.expr(f"array_distinct(percentile_approx(CAST({value} AS DOUBLE), array({shares}), 10000)) AS edges"))
     bucket = f"size(filter(_edges.edges, e -> e <= CAST({value} AS DOUBLE)))"
     bucketed = counts.withColumn("_edges", one_row(edges)).selectExpr(*counts.columns, f"{bucket} AS _bucket")

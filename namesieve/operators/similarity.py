@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namesieve.functions.grams import ASCII_BITS, UNICODE_BITS
-from namesieve.functions.pairdots import score_batches, tile_scorer
+from namesieve.functions.pairdots import nearest_of_batches, score_batches, tile_scorer
 from namesieve.functions.vectors import dot, unit_length
 from namesieve.operators.blocking import (
     BLOCK_KEYS,
@@ -23,11 +26,13 @@ from namesieve.operators.blocking import (
     tiled_self_join,
     within_gaps,
 )
+from namesieve.operators.ranking import one_row
 from namesieve.operators.tfidf import packed_vectors, vocabulary
 from namesieve.plans.storage import written
 
 DECIMALS = 6
 VECTOR_TILE_ROWS = 1024
+QUERY_BLOCK = 2048
 
 
 def sparse_cosine(pairs: DataFrame) -> DataFrame:
@@ -55,8 +60,9 @@ def text_pair_scores(variants: DataFrame, keys: Sequence[str] = BLOCK_KEYS, bits
     block = block_columns(keys, second_char=True)
     sizes = ["variant_tokens", "variant_len_chars"]
     nodes = features.groupBy(*block, "name_variant", *sizes).agg(F.expr("count(*) AS n"))
-    vectors = packed_vectors(vocabulary(features), bits).selectExpr("variant AS name_variant", "codes", "weights")
-    located = written(nodes.join(vectors, "name_variant"), "located-vectors")
+    vectors = packed_vectors(vocabulary(features), bits).select("text_key", "codes", "weights")
+    keyed = nodes.withColumn("text_key", F.md5("name_variant"))
+    located = written(keyed.join(vectors, "text_key").drop("text_key"), "located-vectors")
 
     # Each unordered pair of groups is one tile; a row is copied once per group of its block.
     tile = exact_key([*block, "least(_group, _other)", "greatest(_group, _other)"])
@@ -127,12 +133,12 @@ def similarity_table(variants: DataFrame) -> tuple[DataFrame, DataFrame]:
 def score_pairs(pairs: DataFrame, bits: int = UNICODE_BITS) -> DataFrame:
     """Cosine of ``variant_a, variant_b`` with weights fitted on the texts of ``pairs`` only."""
     texts = pairs.selectExpr("explode(array(variant_a, variant_b)) AS name_variant")
-    vectors = packed_vectors(vocabulary(texts), bits).select("variant", "codes", "weights")
-    out = pairs
+    vectors = packed_vectors(vocabulary(texts), bits).select("text_key", "codes", "weights")
+    out = pairs.withColumns({"_key_a": F.md5("variant_a"), "_key_b": F.md5("variant_b")})
     for side, n in (("a", 1), ("b", 2)):
-        looked_up = vectors.selectExpr(f"variant AS variant_{side}", f"codes AS codes_{n}", f"weights AS weights_{n}")
-        out = out.join(looked_up, f"variant_{side}")
-    return sparse_cosine(out)
+        looked_up = vectors.selectExpr(f"text_key AS _key_{side}", f"codes AS codes_{n}", f"weights AS weights_{n}")
+        out = out.join(looked_up, f"_key_{side}")
+    return sparse_cosine(out.drop("_key_a", "_key_b"))
 
 
 def score_pairs_dense(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -149,39 +155,56 @@ def score_pairs_dense(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 def top_neighbors(weights: DataFrame, query: str, texts: DataFrame, k: int = 10) -> DataFrame:
     """The k texts nearest to one known text; a one-row message for an unknown text.
 
-    Only the grams of the query are read from the long weight table, partial sums are formed before
-    the shuffle and the k best are taken per task.
+    ``weights`` is long (``text_key, gram, weight``), ``texts`` names the keys. Partial sums are formed before the shuffle,
+    and only the k best are looked up by name. Ties go to the smaller text, so all texts of the k-th score are looked up.
     """
-    known = F.col("variant") == query
-    asked = weights.where(known).select("gram", F.col("weight").alias("asked"))
+    key = hashlib.md5(query.encode()).hexdigest()
+    known = F.col("text_key") == key
+    if texts.where(known).isEmpty():
+        message = F.lit(f"unknown variant: {query}").alias("message")
+        return texts.sparkSession.range(1).select(message)
+    asked = weights.where(known).select("gram", F.col("weight").alias("asked"))  # at most one row per gram of one text
     sums = (
         weights.where(~known)
-        .join(F.broadcast(asked), "gram")  # at most one row per gram of one name
-        .groupBy("variant")
+        .join(asked, "gram")
+        .groupBy("text_key")
         .agg(F.round(F.expr("sum(weight * asked)"), DECIMALS).alias("cosine_similarity"))
     )
-    best = sums.orderBy(F.desc("cosine_similarity"), "variant").limit(k)
-    if texts.where(known).isEmpty():
-        message = F.lit(f"unknown variant: {query}").alias("message")
-        return texts.sparkSession.range(1).select(message)
+    sums = written(sums, "neighbour-scores")
+    last = one_row(sums.orderBy(F.desc("cosine_similarity")).limit(k).agg(F.min("cosine_similarity").alias("least")))
+    near = sums.withColumn("_last", last).where("cosine_similarity >= _last.least").join(texts, "text_key")
+    best = near.orderBy(F.desc("cosine_similarity"), "variant").limit(k)
     return best.select(F.lit(query).alias("query_variant"), F.col("variant").alias("neighbor_variant"), "cosine_similarity")
 
 
 def top_neighbors_dense(vectors: DataFrame, query_ids: DataFrame, k: int = 10) -> DataFrame:
-    """The k nearest rows of ``vec_id, vector`` for each id of a short query list, itself left out."""
-    unit = vectors.selectExpr("vec_id", f"{unit_length('vector')} AS unit")
-    queries = unit.join(F.broadcast(query_ids), "vec_id", "left_semi").selectExpr("vec_id AS query_id", "unit AS query")
-    pairs = unit.join(F.broadcast(queries), F.expr("vec_id <> query_id"))  # the query list is short by definition
-    scored = pairs.selectExpr(
-        "query_id", "vec_id AS neighbor_id", f"round({dot('unit', 'query')}, {DECIMALS}) AS cosine_similarity"
-    )
+    """The k nearest rows of ``vec_id, vector`` for each id of a query list, itself left out.
+
+    Queries go to the tasks in blocks of at most about ``QUERY_BLOCK``; each block is one pass over the vectors, a matrix
+    product per batch, of which k rows per query and batch leave the task. Vectors have one length; null ones take no part.
+    """
+    held = vectors.where("vector IS NOT NULL").select("vec_id", "vector")
+    asked = written(held.join(query_ids.select("vec_id").distinct(), "vec_id", "left_semi"), "query-vectors")
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    schema = f"query_id {dict(held.dtypes)['vec_id']}, neighbor_id {dict(held.dtypes)['vec_id']}, cosine_similarity double"
+    found = []
+    for block in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).collect()
+        if rows:
+            x = np.array([r["vector"] for r in rows], dtype=np.float64)
+            norm = np.sqrt((x * x).sum(axis=1))
+            unit = x / np.where(norm == 0, 1, norm)[:, None]
+            found.append(held.mapInArrow(nearest_of_batches([r["vec_id"] for r in rows], unit, k, DECIMALS), schema))
+    if not found:
+        return vectors.sparkSession.createDataFrame([], f"{schema}, rank int")
     order = "PARTITION BY query_id ORDER BY cosine_similarity DESC, neighbor_id"
-    return scored.selectExpr("*", f"row_number() OVER ({order}) AS rank").where(f"rank <= {k}")
+    return reduce(DataFrame.unionByName, found).selectExpr("*", f"row_number() OVER ({order}) AS rank").where(f"rank <= {k}")
 
 
-def similarity_matrix(vectors: DataFrame, first: int = 12) -> DataFrame:
-    """All cosines among the ``first`` texts in alphabetical order; ``vectors`` comes packed."""
-    few = vectors.orderBy("variant").limit(first)
+def similarity_matrix(texts: DataFrame, first: int = 12) -> DataFrame:
+    """All cosines among the ``first`` texts in alphabetical order; weights are fitted on all ``texts``."""
+    vectors = packed_vectors(texts).select("text_key", "codes", "weights")
+    few = written(texts.orderBy("variant").limit(first).join(vectors, "text_key"), "few-vectors")
     left = few.selectExpr("variant AS variant_a", "codes AS codes_1", "weights AS weights_1")
     right = few.selectExpr("variant AS variant_b", "codes AS codes_2", "weights AS weights_2")
     return sparse_cosine(left.join(right, F.lit(True)))

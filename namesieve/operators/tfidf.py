@@ -7,25 +7,28 @@ from pyspark.sql import functions as F
 
 from namesieve.functions.grams import UNICODE_BITS, char_grams, gram_code
 from namesieve.operators.ranking import one_row
+from namesieve.plans.storage import written
 
 
 def vocabulary(variants: DataFrame, text: str = "name_variant") -> DataFrame:
-    """Distinct non-null texts as column ``variant``, hash-partitioned by text.
+    """Distinct non-null texts: ``text_key`` (md5) and ``variant``, hash-partitioned by the key.
 
-    The number of tasks is given: the texts are few bytes, but each becomes some thirty gram rows.
+    Texts can be long; the key stands for them wherever there is more than one row per text. The number of
+    tasks is given: the texts are few bytes, but each becomes many gram rows.
     """
-    texts = variants.where(f"{text} IS NOT NULL").selectExpr(f"{text} AS variant")
-    return texts.repartition(int(variants.sparkSession.conf.get("spark.sql.shuffle.partitions")), "variant").distinct()
+    texts = variants.where(f"{text} IS NOT NULL").selectExpr(f"md5({text}) AS text_key", f"{text} AS variant")
+    tasks = int(variants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.repartition(tasks, "text_key").groupBy("text_key").agg(F.first("variant").alias("variant"))
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """How often each gram occurs in each distinct text.
+    """How often each gram occurs in each distinct text: ``text_key, gram, tf``.
 
-    ``texts`` comes hash-partitioned by text out of ``distinct``, which also serves this grouping,
-    so the 25-fold longer gram table is not shuffled.
+    ``texts`` comes hash-partitioned by key out of ``vocabulary``, which also serves this grouping,
+    so the far longer gram table is not shuffled.
     """
-    grams = texts.selectExpr("variant", f"explode({char_grams('variant')}) AS gram")
-    return grams.groupBy("variant", "gram").agg(F.expr("count(*) AS tf"))
+    grams = texts.selectExpr("text_key", f"explode({char_grams('variant')}) AS gram")
+    return grams.groupBy("text_key", "gram").agg(F.expr("count(*) AS tf"))
 
 
 def document_frequencies(terms: DataFrame) -> DataFrame:
@@ -33,23 +36,23 @@ def document_frequencies(terms: DataFrame) -> DataFrame:
 
 
 def packed_vectors(texts: DataFrame, bits: int = UNICODE_BITS) -> DataFrame:
-    """One row per text: sorted gram codes and their unit-length weights.
+    """One row per text: ``text_key``, sorted gram codes and their unit-length weights.
 
     weight = tf * (ln((1 + texts) / (1 + df)) + 1), divided by the Euclidean norm of the text.
-    The join on the gram carries no hint: the planner broadcasts the gram table when it is small.
+    The table of grams is written, so that the planner knows its size when it chooses the join.
     """
     terms = term_counts(texts)
     total = one_row(texts.agg(F.expr("count(*) AS n")))
     weighted = (
-        terms.join(document_frequencies(terms), "gram")
+        terms.join(written(document_frequencies(terms), "document-frequencies"), "gram")
         .withColumn("_total", total)
-        .selectExpr("variant", "gram", f"{gram_code('gram', bits)} AS code", "tf * (ln((_total.n + 1) / (df + 1)) + 1) AS weight")
+        .selectExpr("text_key", "gram", f"{gram_code('gram', bits)} AS code", "tf * (ln((_total.n + 1) / (df + 1)) + 1) AS weight")
     )
-    rows = weighted.groupBy("variant").agg(F.expr("sort_array(collect_list(struct(code, gram, weight))) AS _e"))
+    rows = weighted.groupBy("text_key").agg(F.expr("sort_array(collect_list(struct(code, gram, weight))) AS _e"))
     norm = "sqrt(aggregate(_e, 0D, (acc, e) -> acc + e.weight * e.weight))"
     bound = f"array(named_struct('e', _e, 'n', {norm}))"
     return rows.selectExpr(
-        "variant",
+        "text_key",
         "_e.code AS codes",
         "_e.gram AS grams",
         f"get(transform({bound}, b -> transform(b.e, e -> e.weight / b.n)), 0) AS weights",
@@ -57,15 +60,15 @@ def packed_vectors(texts: DataFrame, bits: int = UNICODE_BITS) -> DataFrame:
 
 
 def tfidf_weights(texts: DataFrame) -> DataFrame:
-    """Long form of the vectors: variant, gram, weight."""
+    """Long form of the vectors: ``text_key, gram, weight``."""
     vectors = packed_vectors(texts)
-    return vectors.selectExpr("variant", "inline(arrays_zip(grams, weights)) AS (gram, weight)")
+    return vectors.selectExpr("text_key", "inline(arrays_zip(grams, weights)) AS (gram, weight)")
 
 
 def tfidf_shape(texts: DataFrame) -> DataFrame:
     """Rows and columns of the text-by-gram matrix, and whether every text has a row."""
     terms = term_counts(texts)
-    rows = one_row(terms.agg(F.countDistinct("variant").alias("n")))["n"]
+    rows = one_row(terms.agg(F.countDistinct("text_key").alias("n")))["n"]
     grams = one_row(document_frequencies(terms).agg(F.count("*").alias("n")))["n"]
     return texts.agg(F.count("*").alias("texts")).select(
         rows.alias("rows"), grams.alias("vocabulary_size"), (rows == F.col("texts")).alias("rows_match_texts")

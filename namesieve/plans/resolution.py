@@ -44,9 +44,9 @@ def compare_backends(variants: DataFrame, dense_vectors: DataFrame | None = None
 
 
 def run(spark: SparkSession, source_results: str, out: str) -> Resolution:
-    """Read source results as CSV, resolve their entities and write the similarity table and the queue."""
-    sources = tables.read_csv(spark, source_results, tables.SOURCE_RESULTS)
-    result = resolve(tables.written(entity_catalog(sources), "catalog"))
+    """Read source results (CSV, or Parquet by its name), resolve their entities and write the similarity table and the queue."""
+    sources = tables.read_input(spark, source_results, tables.SOURCE_RESULTS, position="_place")
+    result = resolve(tables.written(entity_catalog(sources, "_place"), "catalog"))
     tables.write_csv(result.similarity, f"{out}/similarity_results")
     tables.write_csv(result.review_queue, f"{out}/manual_review_queue")
     return result

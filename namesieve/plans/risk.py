@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +33,14 @@ def run(
     grids=models.GRIDS,
     kinds: Sequence[str] = tuple(models.DEFAULTS),
 ) -> DataFrame:
-    """Whole phase on two CSV files; writes comparison, test metrics, predictions, model, manifest and scores.
+    """Whole phase on two inputs (CSV, or Parquet by the name); writes comparison, test metrics, predictions, model, manifest and scores.
 
     Returns the model comparison.
     """
-    sources = tables.read_csv(spark, source_results, tables.SOURCE_RESULTS)
-    evidence = tables.read_csv(spark, evidence_items, tables.EVIDENCE_ITEMS)
-    labelled = tables.written(labelled_entities(entity_catalog(sources), sources, evidence), "labelled-entities")
+    sources = tables.read_input(spark, source_results, tables.SOURCE_RESULTS, position="_place")
+    evidence = tables.read_input(spark, evidence_items, tables.EVIDENCE_ITEMS)
+    catalog = entity_catalog(sources, "_place")
+    labelled = tables.written(labelled_entities(catalog, sources.drop("_place"), evidence), "labelled-entities")
     # The urgent-review count only serves the risk score.
     modelled = labelled.drop("review_items_high")
     candidates = profiling.candidate_features(modelled)
@@ -63,6 +65,10 @@ def run(
     counts = scored.groupBy(LABEL, "y_pred").agg(F.expr("count(*) AS n")).collect()  # at most four rows
     cells = {(r[LABEL], r["y_pred"]): r["n"] for r in counts}
     manifest = {
+        "timestamp": datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"),
+        "inputs": {"source_results": source_results, "evidence_items": evidence_items},
+        "project_root": out,
+        "parameters": {"grids": grids, "kinds": list(kinds)},
         "candidate_features": candidates,
         "selected_model": best,
         "model_path": model_path,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -223,12 +224,17 @@ def run_manifest(spark, folder):
     """Metadata of a run with the confusion matrix of its test predictions."""
     scored = predictions(spark, folder)
     cells = {(r["y_true"], r["y_pred"]): r["n"] for r in scored.groupBy("y_true", "y_pred").agg(F.expr("count(*) AS n")).collect()}
+    path = f"{shared_folder(spark)}/namesieve/manifest-{uuid.uuid4().hex}"
     manifest = {
+        "timestamp": datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"),
+        "project_root": path,
+        "inputs": {"tables": folder},
+        "parameters": {"baseline_3_rf": models.DEFAULTS["baseline_3_rf"]},
         "candidate_features": [*NUMERIC, *CATEGORICAL],
         "selected_model": "baseline_3_rf",
         "confusion_matrix": [[cells.get((t, p), 0) for p in (0, 1)] for t in (0, 1)],
     }
-    return tables.write_manifest(spark, f"{shared_folder(spark)}/namesieve/manifest-{uuid.uuid4().hex}", manifest)
+    return tables.write_manifest(spark, path, manifest)
 
 
 # ---- interpretability ----------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,10 @@ from namesieve.functions.variants import CORPORATE_NOISE, RULES
 from namesieve.functions.vectors import unit_length
 from namesieve.operators import blocking, decisions, naming, similarity, tfidf
 from namesieve.operators.catalog import entity_catalog
-from namesieve.plans.storage import written
+from namesieve.plans.storage import shared_folder, written
 from namesieve.registry import views
 from namesieve.registry.views import ctes, with_ctes
+from namesieve.sources import tables
 
 QUERIES = {}
 ORACLES = {}
@@ -167,30 +170,33 @@ def _metric_rows(source: str, **metrics: str) -> str:
 # ---- catalog and names ---------------------------------------------------------------------
 
 
+# Names that a careless reader of literals would change: keywords, commas, both quotes, brackets.
+_ODD_NAME = (
+    "CASE entity_id % 4 WHEN 0 THEN '' WHEN 1 THEN ', None, True Inc' WHEN 2 THEN ' \"Quoted\" (x,)' ELSE ' O''Neil [1, 2]' END"
+)
+
+
 def literal_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """The catalog as query texts: Python-style literals, each entity twice, plus unreadable rows."""
+    """The catalog as query texts: Python-style literals, each entity twice, plus unreadable rows; in this order in its files."""
     country = F.when(F.col("entity_id") % 11 == 0, F.lit("None")).otherwise(F.concat(F.lit("'"), "country_code", F.lit("'")))
     code = F.when(F.col("entity_type") == "MORAL", "PM").otherwise("PF")
+    odd = F.expr(_ODD_NAME.replace("''Neil", "\\'Neil"))
+    quote = F.when(F.col("entity_id") % 4 == 3, '"').otherwise("'")
     literal = F.concat(
-        F.lit("[{'entity_id': "), "entity_id", F.lit(", 'query_value': '"), "entity_name",
-        F.lit("', 'metadata': {'country_code': "), country, F.lit(", 'entity_type': '"), code, F.lit("', 'active': True}}]"),
+        F.lit("[{'entity_id': "), "entity_id", F.lit(", 'query_value': "), quote, "entity_name", odd, quote,
+        F.lit(", 'seen': (1, None, 'a, (b',), 'metadata': {'country_code':"), country, F.lit(", 'entity_type': '"), code, F.lit("', 'active': True}},]"),
     )
     cat = views.catalog(spark, folder).withColumn("query_used", literal)
-    first = cat.select("query_used", F.col("entity_id").alias("position"))
-    later = cat.select(
-        F.replace("query_used", F.lit("'query_value': '"), F.lit("'query_value': 'Later ")).alias("query_used"),
-        (F.col("entity_id") + 1_000_000_000).alias("position"),
-    )
-    broken = cat.select(
-        F.when(F.col("entity_id") % 2 == 0, "[]").otherwise("{'entity_id': 1, 'query_value': 'x'}").alias("query_used"),
-        (F.col("entity_id") - 1_000_000_000).alias("position"),
-    )
-    return first.unionByName(later).unionByName(broken)
+    later = cat.select(F.replace("query_used", F.lit("Customer"), F.lit("Later")).alias("query_used"))
+    broken = cat.select(F.when(F.col("entity_id") % 2 == 0, "[]").otherwise("{'entity_id': 1, 'query_value': 'x'}").alias("query_used"))
+    path = f"{shared_folder(spark)}/namesieve/literal-sources-{uuid.uuid4().hex}.parquet"
+    broken.unionByName(cat.select("query_used")).unionByName(later).write.parquet(path)
+    return tables.read_parquet(spark, path, "query_used STRING", position="position")
 
 
 @query(
     with_ctes(
-        "SELECT CAST(entity_id AS VARCHAR) AS entity_id, entity_name, entity_type, "
+        f"SELECT CAST(entity_id AS VARCHAR) AS entity_id, entity_name || {_ODD_NAME} AS entity_name, entity_type, "
         "CASE WHEN entity_id % 11 = 0 THEN NULL ELSE country_code END AS country_code FROM cat WHERE entity_name <> ''",
         *ctes("cat"),
     )
@@ -357,10 +363,10 @@ def _vocabulary(spark, folder) -> DataFrame:
 
 @query(with_ctes("SELECT DISTINCT name_variant AS variant FROM var", *VAR))
 def variant_vocabulary(spark, folder):
-    return _vocabulary(spark, folder)
+    return _vocabulary(spark, folder).select("variant")
 
 
-@query(with_ctes("SELECT variant, gram, count(*) AS tf FROM grams GROUP BY variant, gram", *TFIDF[:-4]))
+@query(with_ctes("SELECT md5(variant) AS text_key, gram, count(*) AS tf FROM grams GROUP BY variant, gram", *TFIDF[:-4]))
 def char_ngrams(spark, folder):
     return tfidf.term_counts(_vocabulary(spark, folder))
 
@@ -370,7 +376,7 @@ def tfidf_df(spark, folder):
     return tfidf.document_frequencies(tfidf.term_counts(_vocabulary(spark, folder)))
 
 
-@query(with_ctes("SELECT variant, gram, round(weight, 6) AS weight FROM vec", *TFIDF))
+@query(with_ctes("SELECT md5(variant) AS text_key, gram, round(weight, 6) AS weight FROM vec", *TFIDF))
 def tfidf_vectors(spark, folder):
     weights = tfidf.tfidf_weights(_vocabulary(spark, folder))
     return weights.withColumn("weight", F.round("weight", 6))
@@ -460,7 +466,7 @@ def top_neighbors_dense(spark, folder):
     )
 )
 def similarity_matrix(spark, folder):
-    return similarity.similarity_matrix(tfidf.packed_vectors(_vocabulary(spark, folder)))
+    return similarity.similarity_matrix(_vocabulary(spark, folder))
 
 
 @query(

@@ -8,10 +8,11 @@ from collections.abc import Iterable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from namesieve.plans.storage import shared_folder, written
 
-__all__ = ["csv_roundtrip", "read_csv", "read_model", "require_columns", "write_csv", "write_manifest", "write_model", "written"]
+__all__ = ["csv_roundtrip", "read_csv", "read_input", "read_model", "read_parquet", "require_columns", "write_csv", "write_manifest", "write_model", "written"]
 
 # Schemas of the inputs; declared, so that reading needs no inference pass.
 SOURCE_RESULTS = "entity_id STRING, evidence_count DOUBLE, query_used STRING"
@@ -19,18 +20,37 @@ EVIDENCE_ITEMS = "entity_id STRING, identity_score DOUBLE, review_required STRIN
 ENTITY_LIST = "entity_id STRING, entity_name STRING, entity_type STRING, country_code STRING"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header row, quoted text that may span lines, and empty fields as null.
+# Place of a row: file, block of the file, row in the block. Blocks of one file can be in several partitions.
+PLACE = "struct(_metadata.file_path AS file, _metadata.file_block_start AS block, monotonically_increasing_id() AS row)"
 
-    Columns are taken by their header names, so files may hold more columns or another order.
+
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False, position: str | None = None) -> DataFrame:
+    """CSV with a header row, quoted text and empty fields as null.
+
+    Columns are taken by their header names, so files may hold more columns or another order. ``multi_line`` allows
+    line breaks inside quoted texts; each file is then one task, however large, so it is for files known to need it.
+    ``position`` names a column with the place of each row, by which rows follow the order of file names and lines.
     """
-    from pyspark.sql.types import StructType
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
+    return _typed(spark.read.options(**options).option("inferSchema", False).csv(path), schema, position)
+
+
+def read_parquet(spark: SparkSession, path: str, schema: str, position: str | None = None) -> DataFrame:
+    """The same columns from Parquet files."""
+    return _typed(spark.read.parquet(path), schema, position)
+
+
+def read_input(spark: SparkSession, path: str, schema: str, position: str | None = None) -> DataFrame:
+    """An input of the phases: Parquet if the name ends so, else CSV."""
+    read = read_parquet if path.rstrip("/").endswith(".parquet") else read_csv
+    return read(spark, path, schema, position=position)
+
 
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
-    header = spark.read.options(**options).option("inferSchema", False).csv(path)
+def _typed(table: DataFrame, schema: str, position: str | None) -> DataFrame:
     wanted = StructType.fromDDL(schema)
-    require_columns(header, wanted.fieldNames())
-    return header.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in wanted.fields])
+    require_columns(table, wanted.fieldNames())
+    columns = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in wanted.fields]
+    return table.selectExpr(*columns, *([f"{PLACE} AS `{position}`"] if position else []))
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -50,7 +70,7 @@ def csv_roundtrip(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as CSV in the shared folder and read it back with its own schema."""
     path = f"{shared_folder(df.sparkSession)}/namesieve/{name}-{uuid.uuid4().hex}.csv"
     write_csv(df, path)
-    return read_csv(df.sparkSession, path, ", ".join(f"`{c}` {t}" for c, t in df.dtypes))
+    return read_csv(df.sparkSession, path, ", ".join(f"`{c}` {t}" for c, t in df.dtypes), multi_line=True)
 
 
 def write_manifest(spark: SparkSession, path: str, manifest: dict, mode: str = "errorifexists") -> DataFrame:

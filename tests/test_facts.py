@@ -46,6 +46,8 @@ def test_catalog_from_literals(spark):
         "[{'entity_id': 'E', 'query_value': '', 'metadata': {}}]",
         "[{'entity_id': 'F', 'query_value': 'Bad meta', 'metadata': None}]",
         "{'entity_id': 'G', 'query_value': 'Not a list', 'metadata': {}}",
+        "[{'entity_id': 'H', 'query_value': 'Foo, None, True Inc', 'parts': (1, 'x,',), 'metadata': {'country_code':None,'entity_type': 'PM', 'tags': ()}}]",
+        repr([{"entity_id": "I", "query_value": 'He said "(None)", O\'Neil \\x41', "metadata": {}}]),
         "[]", "broken [", None,
     ]
     df = spark.createDataFrame(list(enumerate(literals)), "position int, query_used string")
@@ -54,9 +56,29 @@ def test_catalog_from_literals(spark):
         "A": ("Café Uno", "MORAL", "NA"),
         "B": ("O'Neil", "FISICA", None),
         "D": ("No meta", "", ""),
+        "H": ("Foo, None, True Inc", "MORAL", None),
+        "I": ('He said "(None)", O\'Neil \\x41', "", ""),
     }
 
 
+def test_first_in_the_order_of_files_wins(spark, tmp_path):
+    """The later file is larger, so its partition comes first."""
+    line = lambda name, pad: '1,1,"[{{\'entity_id\': \'A\', \'query_value\': \'{}\', \'metadata\': {{}}}}]"{}'.format(name, pad)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-0.csv").write_text("entity_id,evidence_count,query_used\n" + line("FIRST", "\n"))
+    (tmp_path / "in" / "part-1.csv").write_text("entity_id,evidence_count,query_used\n" + line("SECOND", "\n") + "2,0,\n" * 20_000)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        sources = tables.read_csv(spark, str(tmp_path / "in"), tables.SOURCE_RESULTS, position="place")
+        assert sources.rdd.getNumPartitions() > 2
+        assert [r["entity_name"] for r in entity_catalog(sources, "place").collect()] == ["FIRST"]
+        sources.drop("place").repartition(3).write.parquet(f"{tmp_path}/same.parquet")
+        assert tables.read_input(spark, f"{tmp_path}/same.parquet", tables.SOURCE_RESULTS, position="place").count() == sources.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(KeyError, match="name_variant"):
         tables.require_columns(spark.range(1).withColumnRenamed("id", "entity_id"), ["entity_id", "name_variant"])
