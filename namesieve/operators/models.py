@@ -145,7 +145,7 @@ def voting_model(train: DataFrame, params: dict[str, dict], label: str = LABEL,
 
 def stacking_model(train: DataFrame, params: dict[str, dict], label: str = LABEL, folds: int = 3, rows: int | None = None) -> Predictor:
     """Balanced logistic regression over out-of-fold probabilities of the base models."""
-    folded = stratified_folds(train, folds, label, ID).persist()
+    folded = written(stratified_folds(train, folds, label, ID), "folds")
     rows = folded.count() if rows is None else rows
     part = rows * (folds - 1) // folds
 
@@ -161,7 +161,6 @@ def stacking_model(train: DataFrame, params: dict[str, dict], label: str = LABEL
     assembler = VectorAssembler(inputCols=[f"p_{n}" for n in ENSEMBLE], outputCol="stacked")
     final = _estimator("baseline_1_logreg", {"C": 1.0}, rows, label).setFeaturesCol("stacked").fit(assembler.transform(every))
     whole = dict(zip(ENSEMBLE, in_parallel([lambda n=n: fit_model(n, train, params.get(n), label, rows)[0] for n in ENSEMBLE])))
-    folded.unpersist()
     last = predictor(final)
 
     def predict(df: DataFrame) -> DataFrame:
@@ -200,8 +199,8 @@ def grid_search(
     def prepare(fold: int) -> tuple[DataFrame, DataFrame, int]:
         seen = folded.where(f"fold <> {fold}")
         steps = feature_pipeline(seen, numeric, categorical)
-        fitted = with_class_weight(steps.transform(seen), label).select(ID, label, "features", "class_weight").persist()
-        held = steps.transform(folded.where(f"fold = {fold}")).select(ID, label, "features").persist()
+        fitted = written(with_class_weight(steps.transform(seen), label).select(ID, label, "features", "class_weight"), "fold-fit")
+        held = written(steps.transform(folded.where(f"fold = {fold}")).select(ID, label, "features"), "fold-held")
         return fitted, held, fitted.count()
 
     prepared = in_parallel([lambda f=f: prepare(f) for f in range(folds)])
@@ -251,7 +250,7 @@ def evaluate_models(
     prepared: DataFrame, kinds: Sequence[str] = tuple(DEFAULTS), label: str = LABEL, splits: Sequence[str] = ("validation", "test")
 ) -> DataFrame:
     """Fit each kind on the training split and score the others: one row per model and split."""
-    data = prepared.persist()
+    data = written(prepared, "prepared")
     train = data.where("split = 'train'")
     rows = train.count()
     fits = in_parallel([lambda k=k: fit_model(k, train, None, label, rows)[0] for k in kinds])
@@ -275,7 +274,7 @@ def compare_models(
     grids = {k: g for k, g in grids.items() if k in kinds}
     best = best_params(grid_search(rows.where("split = 'train'"), numeric, categorical, grids, label=label))
     steps, prepared = prepared_rows(rows, numeric, categorical, label)
-    data = prepared.persist()
+    data = written(prepared, "prepared")
     train = data.where("split = 'train'")
     count = train.count()
     params = {name: best[name][0] for name in best}
@@ -335,7 +334,7 @@ VARIANTS = {
 
 def complexity_check(prepared: DataFrame, label: str = LABEL) -> DataFrame:
     """Train and validation metrics of the variants and the gap between the F1 values."""
-    data = prepared.persist()
+    data = written(prepared, "prepared")
     train = data.where("split = 'train'")
     rows = train.count()
     fits = in_parallel([lambda v=v: fit_model(*[v[0], train, v[1], label, rows])[0] for v in VARIANTS.values()])

@@ -136,7 +136,7 @@ def model_majority(spark, folder):
 
 def _single(kind: str):
     def run(spark, folder):
-        data = prepared(spark, folder).persist()
+        data = written(prepared(spark, folder), "prepared")
         predict, _ = models.fit_model(kind, data.where("split = 'train'"))
         return predict(data.where("split <> 'train'")).select("entity_id", "split", LABEL, "y_pred", "y_score")
 
@@ -190,7 +190,7 @@ def grid_search(spark, folder):
 
 @query()
 def model_stacking(spark, folder):
-    data = prepared(spark, folder).persist()
+    data = written(prepared(spark, folder), "prepared")
     predict = models.stacking_model(data.where("split = 'train'"), {})
     return predict(data.where("split <> 'train'")).select("entity_id", "split", LABEL, "y_pred", "y_score")
 
@@ -203,7 +203,7 @@ def model_comparison(spark, folder):
 @query()
 def predictions(spark, folder):
     """True class, predicted class and score of the test split."""
-    data = prepared(spark, folder).persist()
+    data = written(prepared(spark, folder), "prepared")
     predict, _ = models.fit_model("baseline_3_rf", data.where("split = 'train'"))
     return predict(data.where("split = 'test'")).selectExpr(f"{LABEL} AS y_true", "y_pred", "y_score")
 
@@ -248,12 +248,12 @@ def _linear(data: DataFrame) -> DataFrame:
 
 @query()
 def importance_logreg(spark, folder):
-    return _linear(prepared(spark, folder).persist()).limit(importance.TOP)
+    return _linear(written(prepared(spark, folder), "prepared")).limit(importance.TOP)
 
 
 @query()
 def importance_tree(spark, folder):
-    data = prepared(spark, folder).persist()
+    data = written(prepared(spark, folder), "prepared")
     _, model = models.fit_model("baseline_2_tree", data.where("split = 'train'"))
     table = importance.importance_table(spark, feature_names(data), model.featureImportances.toArray(), "tree_importance")
     return table.limit(importance.TOP)
