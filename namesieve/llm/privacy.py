@@ -221,12 +221,12 @@ def _grow(rows: list, depth: int, rate: float):
     return (best[1], best[2], _grow(best[3], depth - 1, rate), _grow(best[4], depth - 1, rate))
 
 
-def boost(counts: list[tuple[dict, int, int]], held: list[tuple[dict, int, int]], rounds: int = 30, rate: float = 0.4, precision: float = 0.99, support: int = 20) -> Trees:
+def boost(counts: list[tuple[dict, int, int]], held: list[tuple[dict, int, int]], rounds: int = 30, rate: float = 0.4, precision: float = 0.99, support: int = 20, least: float = 0.9) -> Trees:
     """Trees on counted descriptions (features, positives, negatives), calibrated on ``held``.
 
     The calibrated probability is a line through the log odds, fitted on ``held``. The threshold is the lowest probability
-    from which on at least ``precision`` of the held proposals are positive, ``support`` of them at least; without one it is
-    out of reach and nothing is added.
+    from which on at least ``precision`` of the held proposals are positive, ``support`` of them at least, but not under
+    ``least``; without one it is out of reach and nothing is added.
     """
     out = Trees()
     positive, negative = sum(p for _, p, _ in counts), sum(n for _, _, n in counts)
@@ -255,8 +255,9 @@ def boost(counts: list[tuple[dict, int, int]], held: list[tuple[dict, int, int]]
         right, seen = right + p, seen + p + n
         if k + 1 < len(scored) and scored[k + 1][0] == o:
             continue
-        if seen >= support and right >= precision * seen:
-            out.threshold = 1 / (1 + math.exp(-max(-500.0, min(500.0, o * out.scale + out.shift)))) - 1e-12
+        chance = 1 / (1 + math.exp(-max(-500.0, min(500.0, o * out.scale + out.shift))))
+        if seen >= support and right >= precision * seen and chance >= least:
+            out.threshold = chance - 1e-12
     return out
 
 
@@ -271,10 +272,13 @@ def _overlaps(a: Column, b: Column) -> Column:
 
 def learn(docs: DataFrame) -> Trees:
     """Trees from the proposals in all of ``docs`` (``text``); a fifth of the texts, by hash, is for calibration."""
-    rows = proposals(strict_spans(_prepared(docs.select("text")), "__text"), "__text").where(F.size("proposed") > 0)
-    rows = rows.select(F.pmod(F.xxhash64("__text"), F.lit(5)).alias("part"), "strict", F.explode("proposed").alias("p"))
-    confirmed = F.exists("strict", lambda s: (s["kind"] == F.col("p.kind")) & _overlaps(s, F.col("p")))
-    counted = rows.groupBy((F.col("part") == 0).alias("held"), "p.x").agg(F.count_if(confirmed).alias("yes"), F.count_if(~confirmed).alias("no")).collect()
+    # No filter on the arrays: the planner would move it, and with it their making, below the step that makes them.
+    rows = proposals(strict_spans(_prepared(docs.select("text")), "__text"), "__text")
+    confirmed = lambda p: F.exists("strict", lambda s: (s["kind"] == p["kind"]) & _overlaps(s, p))
+    judged = F.transform("proposed", lambda p: F.struct(p["x"].alias("x"), confirmed(p).alias("yes")))
+    # Inlined as whole columns: asking for fields of exploded proposals would make the planner work them out field by field.
+    rows = rows.select((F.pmod(F.xxhash64("__text"), F.lit(5)) == 0).alias("held"), F.inline(judged))
+    counted = rows.groupBy("held", "x").agg(F.count_if("yes").alias("yes"), F.count_if(~F.col("yes")).alias("no")).collect()
     table = lambda held: [(r["x"].asDict(), r["yes"], r["no"]) for r in sorted(counted, key=lambda r: tuple(r["x"])) if r["held"] == held]
     return boost(table(False), table(True))
 
