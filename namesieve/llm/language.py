@@ -94,17 +94,17 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = [bucket[ok] for bucket, ok in grams(part)]
                 bucket, count = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.int64), return_counts=True)
                 if len(bucket):
-                    ids.append(bucket.astype(np.int32))
-                    counts.append(count.astype(np.int32))
+                    ids.append(bucket.astype("<u2").tobytes())
+                    counts.append(count.astype("<u4").tobytes())
                     langs.append(lang)
                     draws.append(draw)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(langs, pa.string()), pa.array(draws, pa.int64())],
+            [pa.array(ids, pa.binary()), pa.array(counts, pa.binary()), pa.array(langs, pa.string()), pa.array(draws, pa.int64())],
             names=["ids", "counts", "lang", "draw"],
         )
 
 
-def train(examples: list, languages: list[str], dim: int = 16, epochs: int = 4, rate: float = 2.0, seed: int = 7) -> LanguageModel:
+def train(examples: list, languages: list[str], dim: int = 16, steps: int = 1000, rate: float = 2.0, seed: int = 7) -> LanguageModel:
     """Fit on four fifths of the sampled texts; calibrate and set the floor on the rest.
 
     The floor is the highest score, at most 0.4, under which no more than one in a thousand rightly named calibration
@@ -112,8 +112,8 @@ def train(examples: list, languages: list[str], dim: int = 16, epochs: int = 4,
     """
     rng = np.random.default_rng(seed)
     code = {x: i for i, x in enumerate(languages)}
-    ids = [np.asarray(e["ids"], dtype=np.int64) for e in examples]
-    parts = [np.asarray(e["counts"], dtype=np.float64) for e in examples]
+    ids = [np.frombuffer(e["ids"], dtype="<u2").astype(np.int64) for e in examples]
+    parts = [np.frombuffer(e["counts"], dtype="<u4").astype(np.float64) for e in examples]
     parts = [(p / p.sum()).astype(np.float32) for p in parts]
     y = np.array([code[e["lang"]] for e in examples])
     held = np.array([e["draw"] % 5 == 0 for e in examples])
@@ -122,11 +122,11 @@ def train(examples: list, languages: list[str], dim: int = 16, epochs: int = 4,
     table = rng.normal(0, 0.1, (BUCKETS, dim)).astype(np.float32)
     weight = rng.normal(0, 0.1, (dim, k)).astype(np.float32)
     bias = np.zeros(k, dtype=np.float32)
-    steps, done = epochs * (len(fit) // 32 + 1), 0
-    for _ in range(epochs):
-        for rows in np.array_split(rng.permutation(fit), len(fit) // 32 + 1):
-            if not len(rows):
-                continue
+    done = 0
+    while done < steps:
+        for rows in np.array_split(rng.permutation(fit), -(-len(fit) // 32)):
+            if done == steps:
+                break
             lr, done = rate * (1 - done / steps) + 0.02, done + 1
             sizes = [len(ids[r]) for r in rows]
             flat, share = np.concatenate([ids[r] for r in rows]), np.concatenate([parts[r] for r in rows])
@@ -163,7 +163,7 @@ def fit_languages(labelled: DataFrame, per_language: int = 500) -> LanguageModel
     odds = F.element_at(F.create_map(*(F.lit(x) for n in names for x in (n, min(1.0, per_language / sizes[n])))), F.col("lang"))
     draw = F.xxhash64(F.lit("language"), "doc_id", "text").bitwiseAND((1 << 53) - 1)
     drawn = rows.withColumn("draw", draw).where(F.col("draw") < odds * F.lit(float(1 << 53))).select("text", "lang", "draw").limit(2 * per_language * len(names))
-    examples = drawn.mapInArrow(_examples, "ids array<int>, counts array<int>, lang string, draw bigint").collect()
+    examples = drawn.mapInArrow(_examples, "ids binary, counts binary, lang string, draw bigint").collect()
     if not examples:
         return None
     return train(sorted(examples, key=lambda e: (e["draw"], e["lang"], len(e["ids"]))), names)
