@@ -1,10 +1,12 @@
 """Personal data by boosted trees over candidate spans, in DataFrame functions throughout.
 
 High-recall patterns propose overlapping spans of four kinds. Small integers describe the format and the surroundings of
-each. Spans that strict patterns and check digits confirm are the positive examples, all other proposals the negative ones.
+each; none tells what only the strict patterns ask for, such as a plus. Spans that strict patterns and check digits confirm
+are the positive examples; all other proposals are unlabelled, not negative, as the strict patterns miss some (Elkan and Noto,
+2008): the chance to be real is the chance to be confirmed over the share of real spans that are, which is learned per kind.
 As every description is one of some ten thousand, the corpus is counted into one bounded table, on which the driver boosts
-small trees; these become SQL expressions. A threshold is calibrated on documents that the trees did not learn from.
-Strictly confirmed spans always stay, and proposals that score high enough are added.
+small trees; these become SQL expressions. Thresholds are calibrated, one per kind, on documents that the trees did not learn
+from. Strictly confirmed spans always stay, and proposals that score high enough are added.
 
 All offsets are code points. Patterns are possessive and anchored so that none rescans a long run.
 """
@@ -42,8 +44,8 @@ CUES = {
 TAGS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 _MARK, _OTHER = "\u0001", "\u0002"
 CONTEXT = 24
-#: Description of a proposal, each a small integer with this many values: at most 4*6*3*5*2*3*3*2 = 12,960 in all.
-FEATURES = {"kind": 4, "digits": 6, "separators": 3, "groups": 5, "cue": 2, "before": 3, "after": 3, "luhn": 2}
+#: Description of a proposal, each a small integer with this many values: at most 4*6*3*5*2*3*3*2*2 = 25,920 in all.
+FEATURES = {"kind": 4, "digits": 6, "separators": 3, "groups": 5, "cue": 2, "before": 3, "after": 3, "luhn": 2, "valid": 2}
 _BLOCK = 64
 
 
@@ -140,12 +142,21 @@ def strict_spans(df: DataFrame, text: str, out: str = "strict") -> DataFrame:
     return df.withColumn(out, F.array_sort(F.concat(*(f"__s{k}" for k in range(len(KINDS)))))).drop(*(f"__s{k}" for k in range(len(KINDS))))
 
 
+def _plain(kind: str, match: Column) -> Column:
+    """A proposal without what tells masked forms from those of the strict patterns."""
+    if kind == "email":
+        return F.regexp_replace(F.regexp_replace(match, r" ?(?:@|[(\[{]at[)\]}]) ?", "@"), r" ?(?:\.|[(\[{]dot[)\]}]) ?", ".")
+    if kind == "ip":
+        return F.regexp_replace(match, r" ?\. ?", ".")
+    return F.regexp_replace(match, r"^(?:\+|00)", "") if kind == "phone" else match
+
+
 def _described(m: Column, k: int) -> Column:
     """The proposal with its description."""
-    match, before, after = m["match"], m["before"], m["after"]
+    before, after = m["before"], m["after"]
     edge = lambda c, inside: F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike(inside), 1).otherwise(2)
 
-    def codes(digits: Column, n: Column, separators: Column) -> Column:
+    def codes(match: Column, digits: Column, n: Column, separators: Column) -> Column:
         groups = F.size(F.array_remove(F.split(match, "[^0-9A-Za-z]+"), ""))
         found = {
             "kind": F.lit(k),
@@ -156,10 +167,12 @@ def _described(m: Column, k: int) -> Column:
             "before": edge(F.right(before, F.lit(1)), r"^[(\[{<\"':;,.]$"),
             "after": edge(after, r"^[)\]}>\"':;,.!?]$"),
             "luhn": F.when(n.between(12, 19), _luhn(digits)).otherwise(False).cast("int"),
+            "valid": _valid(KINDS[k], match).cast("int"),
         }
         return F.struct(*(c.cast("int").alias(f) for f, c in found.items()))
 
-    x = _let(F.struct(_digits(match).alias("d"), F.regexp_replace(match, "[0-9A-Za-z]", "").alias("s")), lambda v: codes(v["d"], F.length(v["d"]), v["s"]))
+    parts = lambda match: F.struct(match.alias("m"), _digits(match).alias("d"), F.regexp_replace(match, "[0-9A-Za-z]", "").alias("s"))
+    x = _let(_plain(KINDS[k], m["match"]), lambda match: _let(parts(match), lambda v: codes(v["m"], v["d"], F.length(v["d"]), v["s"])))
     return F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end"), x.alias("x"))
 
 
@@ -180,6 +193,9 @@ class Trees:
     scale: float = 1.0
     shift: float = 0.0
     threshold: float = 1.0
+    #: By kind, if learned: the threshold, and the share of the real spans that is confirmed.
+    thresholds: tuple = ()
+    confirmed: tuple = ()
 
     def odds(self, x: dict) -> float:
         total = self.start
@@ -190,7 +206,7 @@ class Trees:
         return total
 
     def chance(self, x: Column) -> Column:
-        """The calibrated probability as an expression over a struct of features."""
+        """The calibrated probability to be confirmed as an expression over a struct of features."""
 
         def walk(tree) -> Column:
             return F.when(x[tree[0]] <= tree[1], walk(tree[2])).otherwise(walk(tree[3])) if isinstance(tree, tuple) else F.lit(float(tree))
@@ -200,6 +216,14 @@ class Trees:
             total = total + walk(tree)
         return 1 / (1 + F.exp(-(total * self.scale + self.shift)))
 
+    def real(self, chance: Column, k: Column) -> Column:
+        """The probability of a proposal of kind ``k`` to be personal data, from that to be confirmed."""
+        return F.least(F.lit(1.0), chance / F.get(F.array(*(F.lit(float(c)) for c in self.confirmed)), k)) if self.confirmed else chance
+
+    def enough(self, chance: Column, k: Column) -> Column:
+        """Does the probability to be confirmed reach the threshold of kind ``k``?"""
+        return chance >= (F.get(F.array(*(F.lit(float(t)) for t in self.thresholds)), k) if self.thresholds else F.lit(self.threshold))
+
 
 def _leaf(rows: list) -> float:
     """A Newton step of the logistic loss, with one pseudo-count."""
@@ -222,13 +246,15 @@ def _grow(rows: list, depth: int, rate: float):
 
 
 def boost(counts: list[tuple[dict, int, int]], held: list[tuple[dict, int, int]], rounds: int = 30, rate: float = 0.4, precision: float = 0.99, support: int = 20, least: float = 0.9) -> Trees:
-    """Trees on counted descriptions (features, positives, negatives), calibrated on ``held``.
+    """Trees on counted descriptions (features, confirmed, unlabelled), calibrated on ``held``.
 
-    The calibrated probability is a line through the log odds, fitted on ``held``. The threshold is the lowest probability
-    from which on at least ``precision`` of the held proposals are positive, ``support`` of them at least, but not under
-    ``least``; without one it is out of reach and nothing is added.
+    The calibrated probability to be confirmed is a line through the log odds, fitted on ``held``. Each kind has a threshold on
+    it, the lowest found by ``_threshold``; ``threshold`` is the lowest of all. It is out of reach (2) for a kind with fewer
+    than ``support`` proposals or none confirmed. Of kinds with fewer held ones, all proposals are for both.
     """
     out = Trees()
+    short = [k for k in range(len(KINDS)) if sum(p + n for x, p, n in held if x["kind"] == k) < support or not any(p for x, p, _ in held if x["kind"] == k)]
+    counts, held = [*counts, *(r for r in held if r[0]["kind"] in short)], [*held, *(r for r in counts if r[0]["kind"] in short)]
     positive, negative = sum(p for _, p, _ in counts), sum(n for _, _, n in counts)
     if not positive or not negative:
         return Trees(threshold=2.0)
@@ -250,17 +276,43 @@ def boost(counts: list[tuple[dict, int, int]], held: list[tuple[dict, int, int]]
             miss = p - (p + n) / (1 + math.exp(-max(-500.0, min(500.0, o * out.scale + out.shift))))
             a, b = a + miss * o, b + miss
         out.scale, out.shift = max(0.1, out.scale + 0.05 * a / total), out.shift + 0.05 * b / total
-    out.threshold, right, seen = 2.0, 0, 0
-    for k, (o, p, n) in enumerate(scored):
-        right, seen = right + p, seen + p + n
-        if k + 1 < len(scored) and scored[k + 1][0] == o:
-            continue
-        chance = 1 / (1 + math.exp(-max(-500.0, min(500.0, o * out.scale + out.shift))))
-        if seen >= support and right >= precision * seen and chance >= least:
-            out.threshold = chance - 1e-12
+    chance = lambda o: 1 / (1 + math.exp(-max(-500.0, min(500.0, o * out.scale + out.shift))))
+    found = []
+    for k in range(len(KINDS)):
+        part = [r for r in held if r[0]["kind"] == k]
+        found.append(_threshold(sorted(((chance(out.odds(x)), p, n) for x, p, n in part), reverse=True), precision, support, least))
+    out.thresholds, out.confirmed = (tuple(x) for x in zip(*found))
+    out.threshold = min(out.thresholds)
     return out
 
 
+def _threshold(scored: list[tuple[float, int, int]], precision: float, support: int, least: float, fewest: float = 0.4) -> tuple[float, float]:
+    """Threshold on (chance to be confirmed, confirmed, unlabelled), best first, and the share of real spans that is confirmed.
+
+    That share is the mean chance of confirmed spans, but not under ``fewest``: where fewer are confirmed, real spans and
+    look-alikes cannot be told apart. Proposals pass while their chance to be real is ``least`` at least and the confirmed
+    ones among those of about equal chance are not clearly (two deviations) fewer than ``precision`` real ones would have.
+    """
+    right = sum(p for _, p, _ in scored)
+    if not right:
+        return 2.0, 1.0
+    share = min(1.0, max(fewest, sum(c * p for c, p, _ in scored) / right))
+    threshold, seen, at, p, n = 2.0, 0, 0, 0, 0
+    while at < len(scored) and scored[at][0] >= least * share:
+        end = next((i for i in range(at, len(scored)) if scored[i][0] != scored[at][0]), len(scored))
+        # Since the last ones that passed; a few with none confirmed pass only together with worse ones that are.
+        p, n = p + sum(r[1] for r in scored[at:end]), n + sum(r[1] + r[2] for r in scored[at:end])
+        wanted = precision * share * n - 2 * math.sqrt(n * share * (1 - share))
+        if p + 1 < wanted:
+            break
+        if p and p >= wanted:
+            seen, p, n = seen + n, 0, 0
+            if seen >= support:
+                threshold = scored[at][0] - 1e-12
+        at = end
+    return threshold, share
+
+
 def _prepared(docs: DataFrame) -> DataFrame:
     # The mark of matches must not occur in a text; no pattern tells these two control characters apart.
     return docs.withColumn("__text", F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _MARK, _OTHER))
@@ -275,19 +327,21 @@ def learn(docs: DataFrame) -> Trees:
     # No filter on the arrays: the planner would move it, and with it their making, below the step that makes them.
     rows = proposals(strict_spans(_prepared(docs.select("text")), "__text"), "__text")
     confirmed = lambda p: F.exists("strict", lambda s: (s["kind"] == p["kind"]) & _overlaps(s, p))
-    judged = F.transform("proposed", lambda p: F.struct(p["x"].alias("x"), confirmed(p).alias("yes")))
+    # What overlaps a span of another kind only is settled and cannot be added: it is no example of what could be.
+    settled = lambda p: F.exists("strict", lambda s: _overlaps(s, p))
+    judged = F.transform("proposed", lambda p: F.struct(p["x"].alias("x"), confirmed(p).alias("yes"), settled(p).alias("settled")))
     # Inlined as whole columns: asking for fields of exploded proposals would make the planner work them out field by field.
     rows = rows.select((F.pmod(F.xxhash64("__text"), F.lit(5)) == 0).alias("held"), F.inline(judged))
-    counted = rows.groupBy("held", "x").agg(F.count_if("yes").alias("yes"), F.count_if(~F.col("yes")).alias("no")).collect()
-    table = lambda held: [(r["x"].asDict(), r["yes"], r["no"]) for r in sorted(counted, key=lambda r: tuple(r["x"])) if r["held"] == held]
+    counted = rows.groupBy("held", "x").agg(F.count_if("yes").alias("yes"), F.count_if(~F.col("yes") & ~F.col("settled")).alias("no")).collect()
+    table = lambda held: [(r["x"].asDict(), r["yes"], r["no"]) for r in sorted(counted, key=lambda r: tuple(r["x"])) if r["held"] == held and r["yes"] + r["no"]]
     return boost(table(False), table(True))
 
 
 def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:
     """Adds ``strict`` and ``spans`` to ``docs``: arrays of ``start``, ``kind`` (index in ``KINDS``), ``end``; spans also ``chance``.
 
-    ``spans`` are the strict ones (chance 1) and the proposals that reach the model's threshold and overlap no strict one, by
-    start, then kind. Without a model it is learned from ``docs``. Null texts count as empty and have no spans; rows are
+    ``spans`` are the strict ones (chance 1) and the proposals that reach the model's threshold for their kind and overlap no
+    strict one, by start, then kind. Without a model it is learned from ``docs``. Null texts count as empty and have no spans; rows are
     judged one by one, repeated ones alike; an empty table gives none. Input columns of these names are replaced.
     """
     model = model or learn(docs)
@@ -297,7 +351,8 @@ def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:
     if model.threshold > 1:
         return rows.withColumn("spans", sure).drop("__text")
     rows = proposals(rows, "__text").withColumn("__judged", F.transform("proposed", lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end"), model.chance(p["x"]).alias("chance"))))
-    added = F.filter("__judged", lambda p: (p["chance"] >= model.threshold) & ~F.exists("strict", lambda s: _overlaps(s, p)))
+    added = F.filter("__judged", lambda p: model.enough(p["chance"], p["kind"]) & ~F.exists("strict", lambda s: _overlaps(s, p)))
+    added = F.transform(added, lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end"), model.real(p["chance"], p["kind"]).alias("chance")))
     return rows.withColumn("spans", F.array_sort(F.concat(sure, added))).drop("__text", "proposed", "__judged")
 
 

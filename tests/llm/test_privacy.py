@@ -112,6 +112,24 @@ def test_learned_trees_add_spans_that_look_alike(spark):
     assert all(rows[200 + i] for i in range(300)) and not any(rows[i] for i in range(200))
 
 
+@pytest.mark.parametrize("missed", [5, 20, 50])
+def test_unconfirmed_spans_are_found_however_many(spark, missed):
+    noise = [f"order 12-34-{i} part 99/1234/{i:04d} of 2001.02.{i}" for i in range(200)]
+    calls = [f"call me at {'' if i * 37 % 100 < missed else '+'}1 (555) {100 + i}-{4000 + i} today" for i in range(400)]
+    mails = [f"write to u{i}{' (at) ' if i * 61 % 100 < missed else '@'}mail.org soon" for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(noise + calls + mails)], "doc_id bigint, text string")
+    rows = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in privacy.find(docs).collect()}
+    assert not any(rows[i] for i in range(200))
+    assert all(rows[200 + i] == [3] for i in range(400)) and all(rows[600 + i] == [0] for i in range(400))
+
+
+def test_few_proposals_are_learned_from_too(spark):
+    texts = [f"call me at {'' if i % 5 == 0 else '+'}1 (555) {100 + i}-{4000 + i} today" for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "order 12-34-56 part 99/1234/0077"])], "doc_id bigint, text string")
+    rows = {r["doc_id"]: len(r["spans"]) for r in privacy.find(docs).collect()}
+    assert rows == {i: 1 for i in range(40)} | {40: 0}
+
+
 @pytest.mark.parametrize("block", [7, 8192])
 def test_redaction(spark, block):
     texts = ["mail a@b.c now, or +1 (555) 123-4567!", "\U0001f600é 10.0.0.1", "clean", None, "", "a@b.c", "x" * 20 + " 4111 1111 1111 1111 " + "y" * 20]
