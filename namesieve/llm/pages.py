@@ -2,8 +2,9 @@
 
 Every element subtree gets a hash of its content. Spark counts, for each host, on how many different pages a subtree occurs;
 what recurs on many of them is the site's template and is deleted, together with elements whose tag, role or class
-says that they are no article. Exact copies of a page count once, so a much-copied page is not taken for a template, and the
-prose blocks of an article (paragraphs, headings, lists) never are: many articles may share a passage.
+says that they are no article. Exact copies of a page count once, so a much-copied page is not taken for a template. Prose
+blocks of an article (paragraphs, lists, tables) are template if they recur in more and otherwise different articles, at the
+same place: some articles may share a passage.
 """
 
 from __future__ import annotations
@@ -11,13 +12,16 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from namesieve.llm.texts import mixed
 from namesieve.plans.storage import written
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>?", re.S)
@@ -34,7 +38,7 @@ APART_WORDS = set(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup login share sharing social related recommended comment comments disqus replies widget".split()
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-#: Inside an article these are prose: recurring ones are shared passages, not template.
+#: Inside an article these are prose: recurring ones may be shared passages.
 PROSE = {"p", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "table", "thead", "tbody", "tr", "td", "th", "article", "main", *HEADINGS, *INLINE}
 #: A start tag closes open elements of these kinds, up to a container.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -132,21 +136,50 @@ class Page:
             own[self.parent[node]].append(digest)
         return out
 
-    def countable(self) -> list[int]:
-        """Elements that can be template: those outside of articles, and containers inside one that are no prose."""
-        return [i for i in range(1, len(self.tags)) if not self.apart[i] and self.tags[i] not in ("html", "body") and not (self.inside[i] and self.tags[i] in PROSE) and self.tags[i] not in INLINE]
+    def keys(self, found: list[int]) -> dict[int, list[tuple[int, int]]]:
+        """What is counted for each element that can be template: pairs of a hash and the hash of the article it is in, 0 for none.
 
-    def text(self, template: frozenset[int] = frozenset()) -> str:
-        """Blocks of the articles (of the body, if there is none) without what is apart or template, one per line."""
+        Containers count by their subtree, on pages. Prose of an article counts by its subtree and place, which is the path
+        to it and its number among its siblings, from the first and from the last, in articles. ``found``: ``hashes()``.
+        """
+        n = len(self.tags)
+        number, size = [0] * n, [0] * n
+        for i in range(1, n):
+            number[i] = size[self.parent[i]]
+            size[self.parent[i]] += 1
+        path, article = [b""] * n, [0] * n
+        out = {}
+        for i in range(1, n):
+            up = self.parent[i]
+            path[i] = hashlib.blake2b(path[up] + f"{self.tags[i]}\x00{self.words[i]}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+            article[i] = article[up] or (found[i] if self.inside[i] else 0)
+            if self.apart[i] or self.tags[i] in ("html", "body", "article", "main", "h1", *INLINE):
+                continue
+            if not (self.inside[i] and self.tags[i] in PROSE):
+                out[i] = [(found[i], 0)]
+            elif found[i] != article[i]:
+                places = (number[i], number[i] - size[up])
+                digests = (hashlib.blake2b(path[i] + struct.pack("<qq", found[i], at), digest_size=8).digest() for at in places)
+                out[i] = [(int.from_bytes(d, "little", signed=True), article[i]) for d in digests]
+        return out
+
+    def text(self, template: frozenset[int] = frozenset(), own: dict[int, list[tuple[int, int]]] | None = None) -> str:
+        """Blocks of the articles without what is apart or template, one per line.
+
+        If the articles hold less than half of such text, blocks of the whole body: they are teasers then.
+        """
         n = len(self.tags)
         gone = list(self.apart)
         if template:
-            found = self.hashes()
-            for i in self.countable():
-                gone[i] = gone[i] or found[i] in template
+            for i, keys in (own or self.keys(self.hashes())).items():
+                gone[i] = gone[i] or any(key in template for key, _ in keys)
         for i in range(1, n):
             gone[i] = gone[i] or gone[self.parent[i]]
-        articles = any(self.inside)
+        size = [0, 0]
+        for node, text, _ in self.texts:
+            if not gone[node]:
+                size[self.inside[node]] += len("".join(text.split()))
+        articles = any(self.inside) and size[True] >= size[False]
         blocks: dict[int, list[str]] = {}
         for node, text, block in self.texts:
             if not gone[node] and (self.inside[node] or not articles):
@@ -160,35 +193,52 @@ def host_of(url: F.Column) -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
-    """``host`` and ``template``: hashes of subtrees on at least ``least_pages`` different pages and that share of the host's.
+def _copies(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``__host`` and ``__copy``, a hash that equal html shares."""
+    return pages.withColumns({"__host": host_of(F.col("url")), "__copy": F.xxhash64(F.coalesce("html", F.lit("")))})
+
 
-    Pages with equal html are one page. No host can have more of them than ``1 / least_share`` times its mean number of elements.
+#: As many templates go to all tasks; more are joined with the pages by host and copy, which shuffles html.
+HELD_TEMPLATES = 1_000_000
+
+
+def _salted(keys: np.ndarray, host: str) -> np.ndarray:
+    """Hashes of ``keys`` on ``host``."""
+    salt = int.from_bytes(hashlib.blake2b(host.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return mixed(keys.view(np.uint64) ^ np.uint64(salt)).view(np.int64)
+
+
+def templates(pages: DataFrame, least_pages: int = 5, least_articles: int = 20) -> tuple[DataFrame, DataFrame]:
+    """``__host`` and ``key`` of what is template, and the elements seen: ``__host``, ``__copy``, ``key``.
+
+    ``pages`` has the columns of ``_copies``. Template is what is on at least ``least_pages`` different pages of a host, prose
+    what is in at least ``least_articles`` different articles, both on a tenth of the host's pages at least. Pages with equal html are one page, equal articles one article.
     """
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, copies, keys = [], [], []
+            rows, keys, articles = [], [], []
             for row, text in enumerate(batch.column("html")):
-                source = text.as_py()
-                page = Page(source)
-                found = page.hashes()
-                own = {found[i] for i in page.countable()} | {0}  # 0: the page itself
-                same = int.from_bytes(hashlib.blake2b(source.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                where.extend([row] * len(own))
-                copies.extend([same] * len(own))
-                keys.extend(own)
-            yield pa.RecordBatch.from_arrays([batch.column("host").take(pa.array(where, pa.int64())), pa.array(copies, pa.int64()), pa.array(keys, pa.int64())], names=["host", "copy", "key"])
-
-    seen = rows.mapInArrow(run, "host string, copy bigint, key bigint").distinct().groupBy("host", "key").count().where(F.col("count") >= F.when(F.col("key") == 0, 1).otherwise(least_pages))
-    seen = written(seen, "subtrees")
-    whole = seen.where("key = 0").select("host", F.col("count").alias("pages"))
-    often = seen.where("key <> 0").join(whole, "host").where(F.col("count") >= F.col("pages") * least_share)
-    return often.groupBy("host").agg(F.collect_list("key").alias("template"))
-
-
-def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) -> DataFrame:
+                page = Page(text.as_py() or "")
+                own = {pair for pairs in page.keys(page.hashes()).values() for pair in pairs} | {(0, 0)}  # 0: the page itself
+                rows.extend([row] * len(own))
+                keys.extend(key for key, _ in own)
+                articles.extend(article for _, article in own)
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("__host").take(at), batch.column("__copy").take(at), pa.array(keys, pa.int64()), pa.array(articles, pa.int64())], names=["__host", "__copy", "key", "article"])
+
+    schema = "__host string, __copy bigint, key bigint, article bigint"
+    seen = written(pages.select("__host", "__copy", "html").mapInArrow(run, schema), "subtrees")
+    prose = F.col("article") != 0
+    counts = seen.select("__host", "key", prose.alias("prose"), F.when(prose, F.col("article")).otherwise(F.col("__copy")).alias("unit")).distinct().groupBy("__host", "key", "prose").count()
+    counts = written(counts.where(F.col("count") >= F.when(F.col("key") == 0, 1).when(F.col("prose"), least_articles).otherwise(least_pages)), "subtree-counts")
+    whole = counts.where("key = 0 AND NOT prose").select("__host", F.col("count").alias("pages"))
+    least = F.when(F.col("prose"), least_articles).otherwise(least_pages)
+    often = counts.where("key <> 0").join(whole, "__host").where((F.col("count") >= least) & (F.col("count") >= F.col("pages") * 0.1))
+    return written(often.select("__host", "key").distinct(), "templates"), seen.select("__host", "__copy", "key")
+
+
+def extract(pages: DataFrame, least_pages: int = 5, least_articles: int = 20, held: int = HELD_TEMPLATES) -> DataFrame:
     """Main text of every page: ``page_id``, ``url``, ``text``, ``n_chars``, one row per row of ``pages`` (``page_id``, ``url``, ``html``).
 
     Null html is empty and has an empty text; a null or odd url belongs to the empty host. Broken markup is read as browsers
@@ -196,13 +246,30 @@ def extract(pages: DataFrame, least_pages: int = 5, least_share: float = 0.1) ->
     columns are ignored.
     """
     pages = pages.select("page_id", "url", "html")
-    found = written(templates(pages, least_pages, least_share), "templates")
-    rows = pages.withColumn("__host", host_of(F.col("url"))).join(found.withColumnRenamed("host", "__host"), "__host", "left").select("page_id", "url", "html", "template")
+    known = _copies(pages)
+    often, seen = templates(known, least_pages, least_articles)
     schema = T.StructType([*pages.schema.fields[:2], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    if often.count() <= held:
+        at_hand = np.unique(np.array([_salted(np.array([r["key"]], dtype=np.int64), r["__host"])[0] for r in often.toLocalIterator()], dtype=np.int64))
+        rows = known.select("page_id", "url", "html", "__host")
+    else:
+        at_hand = None
+        hits = seen.join(often, ["__host", "key"]).groupBy("__host", "__copy").agg(F.collect_set("key").alias("template"))
+        rows = known.join(hits, ["__host", "__copy"], "left").select("page_id", "url", "html", "template")
+
+    def text_of(html: str, more) -> str:
+        page = Page(html or "")
+        if at_hand is None:
+            return page.text(frozenset(more or ()))
+        if not len(at_hand):
+            return page.text()
+        own = page.keys(page.hashes())
+        keys = np.array(sorted({key for pairs in own.values() for key, _ in pairs}), dtype=np.int64)
+        return page.text(frozenset(keys[at_hand[np.minimum(np.searchsorted(at_hand, salted := _salted(keys, more)), len(at_hand) - 1)] == salted].tolist()), own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [Page(h.as_py() or "").text(frozenset(t.as_py() or ())) for h, t in zip(batch.column("html"), batch.column("template"))]
+            out = [text_of(html.as_py(), more.as_py()) for html, more in zip(batch.column("html"), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, schema)

@@ -46,6 +46,28 @@ def test_shared_passages_of_articles_stay(spark):
     assert all(r["text"] == f"T{r['page_id']}\nLicensed to all." for r in found)
 
 
+def extracted(spark, sources, **more):
+    table = spark.createDataFrame([(i, "http://a.org/x", x) for i, x in enumerate(sources)], "page_id bigint, url string, html string")
+    return [r["text"] for r in pages.extract(table, **more).orderBy("page_id").collect()]
+
+
+def test_blocks_that_recur_inside_articles_go(spark):
+    notice, links = "<p>Support us today.</p>", "<ul><li>One link<li>Two links</ul>"
+    sources = [f"<article><h1>T{i}</h1>{notice}<p>Story {i}</p>{f'<p>More {i}</p>' * (i % 3)}{links}</article>" for i in range(40)]
+    assert extracted(spark, sources) == [f"T{i}\nStory {i}" + f"\nMore {i}" * (i % 3) for i in range(40)]
+    # One article on many pages is no template, nor is a passage that moves about.
+    sources = [f"<article><p>The one story.</p></article><div>Page {i}</div>" for i in range(40)]
+    sources += [f"<article>{'<p>x%d</p>' % i * (1 + i)}<p>A passage.</p>{'<p>y%d</p>' % i * (1 + i)}</article>" for i in range(40)]
+    got = extracted(spark, sources)
+    assert all("The one story." in x for x in got[:40]) and all("A passage." in x for x in got[40:])
+
+
+def test_teasers_are_not_the_main_text(spark):
+    source = f"<body><div><p>{'The main text is here. ' * 5}</p></div><article><p>Teaser</p></article></body>"
+    assert text(source) == ("The main text is here. " * 5).strip() + "\nTeaser"
+    assert text("<body><div>Aside</div><article><p>The story itself</p></article></body>") == "The story itself"
+
+
 def test_query_equals_the_articles(spark, folder):
     html = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     rows = pages.op2_template_removal(spark, folder).collect()
