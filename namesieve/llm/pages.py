@@ -212,7 +212,8 @@ def templates(pages: DataFrame, least_pages: int = 5, least_articles: int = 20)
     """``__host`` and ``key`` of what is template, and the elements seen: ``__host``, ``__copy``, ``key``.
 
     ``pages`` has the columns of ``_copies``. Template is what is on at least ``least_pages`` different pages of a host, prose
-    what is in at least ``least_articles`` different articles, both on a tenth of the host's pages at least. Pages with equal html are one page, equal articles one article.
+    what is in at least ``least_articles`` different articles; both grow with the logarithm of the host's pages, by one
+    for each doubling beyond ten times the least. Pages with equal html are one page, equal articles one article.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +235,7 @@ def templates(pages: DataFrame, least_pages: int = 5, least_articles: int = 20)
     counts = written(counts.where(F.col("count") >= F.when(F.col("key") == 0, 1).when(F.col("prose"), least_articles).otherwise(least_pages)), "subtree-counts")
     whole = counts.where("key = 0 AND NOT prose").select("__host", F.col("count").alias("pages"))
     least = F.when(F.col("prose"), least_articles).otherwise(least_pages)
-    often = counts.where("key <> 0").join(whole, "__host").where((F.col("count") >= least) & (F.col("count") >= F.col("pages") * 0.1))
+    often = counts.where("key <> 0").join(whole, "__host").where(F.col("count") >= least + F.greatest(F.lit(0.0), F.log2(F.col("pages") / (10 * least))))
     return written(often.select("__host", "key").distinct(), "templates"), seen.select("__host", "__copy", "key")
 
 

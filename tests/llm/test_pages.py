@@ -68,6 +68,12 @@ def test_teasers_are_not_the_main_text(spark):
     assert text("<body><div>Aside</div><article><p>The story itself</p></article></body>") == "The story itself"
 
 
+def test_sections_of_large_hosts_have_templates(spark):
+    box = "<div class='x1'><p>Follow this section</p></div>"
+    sources = [f"<body>{box if i < 20 else ''}<p>Story {i}</p></body>" for i in range(1000)]
+    assert extracted(spark, sources) == extracted(spark, sources, held=0) == [f"Story {i}" for i in range(1000)]
+
+
 def test_query_equals_the_articles(spark, folder):
     html = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     rows = pages.op2_template_removal(spark, folder).collect()
