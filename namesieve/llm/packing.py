@@ -30,7 +30,8 @@ END_ID = 2
 def tokenizer(path: str):
     """An encoder with the vocabulary, merges and splitting pattern of the byte-level tokenizer file at ``path``.
 
-    It gives the ids that ``tokenizers`` gives (``tests/llm`` compares them) about three times as fast.
+    It gives the ids that ``tokenizers`` gives (``tests/llm`` compares them) about three times as fast. The file's added
+    tokens are its special ones; those with options that ``tiktoken`` has not are refused.
     """
     import json
 
@@ -42,9 +43,12 @@ def tokenizer(path: str):
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in shown]
     byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-    special = {t["content"] for t in model["added_tokens"]}
+    for token in model["added_tokens"]:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"added token with options: {token}")
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cut(n: int, longest: int) -> list[tuple[int, int]]:
@@ -54,20 +58,22 @@ def cut(n: int, longest: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip([0, *ends], ends)]
 
 
-def tokenized(docs: DataFrame, path: str, longest: int = LONGEST, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, longest: int = LONGEST, end_id: int = END_ID, keep_ids: bool = False, encode_special_tokens: bool = True) -> DataFrame:
     """Pieces of every document: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``.
 
-    A null text is an empty one: the end id alone. Repeated rows are packed each for itself.
+    A null text is an empty one: the end id alone. Repeated rows are packed each for itself. ``encode_special_tokens``
+    is that of ``tokenizers``, which has it off: an added token in a text is spelled like any text instead of getting its id.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path)
+        allowed = set() if encode_special_tokens else "all"
         for batch in batches:
             rows, pieces, starts, lengths, sums, tokens = [], [], [], [], [], []
             for row, text in enumerate(batch.column("text")):
-                ids = np.append(encoder.encode_to_numpy(text.as_py() or "", disallowed_special=()), np.uint32(end_id)).astype("<u4")
+                ids = np.append(encoder.encode_to_numpy(text.as_py() or "", allowed_special=allowed, disallowed_special=()), np.uint32(end_id)).astype("<u4")
                 for k, (start, length) in enumerate(cut(len(ids), longest)):
                     part = ids[start : start + length]
                     rows.append(row)
@@ -202,21 +208,24 @@ def assigned(pieces: DataFrame, longest: int = LONGEST, group_rows: int = 20_000
     return ranked.mapInArrow(run, T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
 
 
-def pack(docs: DataFrame, path: str | None = None, longest: int = LONGEST, keep_ids: bool = False) -> DataFrame:
-    """All documents as pieces in sequences of at most ``longest`` tokens; ``keep_ids`` adds the token ids of each piece."""
+def pack(docs: DataFrame, path: str | None = None, longest: int = LONGEST, keep_ids: bool = False, encode_special_tokens: bool = True) -> DataFrame:
+    """All documents as pieces in sequences of at most ``longest`` tokens; ``keep_ids`` adds the token ids of each piece.
+
+    ``encode_special_tokens`` as in ``tokenized``; the query and the pipeline have it off, as a tokenizer has when loaded.
+    """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = written(tokenized(docs, path, longest, keep_ids=keep_ids), "pieces")
+    pieces = written(tokenized(docs, path, longest, keep_ids=keep_ids, encode_special_tokens=encode_special_tokens), "pieces")
     return assigned(pieces, longest)
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of the table, packed."""
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), encode_special_tokens=False)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage of the pipeline: what is left, packed."""
-    return pack(docs.select("doc_id", "text"))
+    return pack(docs.select("doc_id", "text"), encode_special_tokens=False)

@@ -72,6 +72,20 @@ def test_pieces_are_the_tokenizers_ids(spark, folder):
     assert len({r["sequence_id"] for r in rows}) <= 1.05 * -(-tokens // 1024) + 2
 
 
+def test_queries_pack_the_ids_of_the_tokenizer_as_loaded(spark, tmp_path):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = dict(enumerate(["a <|endoftext|> b", "<|endoftext|>", " \n <|endoftext|><|endoftext|>  x<|endoftext", "no token"]))
+    docs = spark.createDataFrame(list(text.items()), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {k: [*theirs.encode(t, add_special_tokens=False).ids, 2] for k, t in text.items()}
+    assert want[0] == [64, 220, 50256, 275, 2]
+    for rows in (packing.op6_best_fit_packing(spark, str(tmp_path)).collect(), packing.packing_stage(spark, docs, "").collect()):
+        assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {k: (len(v), zlib.crc32(np.array(v, dtype="<u4").tobytes())) for k, v in want.items()}
+
+
 def test_hot_length_is_split(spark):
     pieces = spark.range(5000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 24L ELSE 1000L END AS length")
     rows = packing.assigned(pieces, group_rows=100).collect()
