@@ -71,6 +71,28 @@ def test_small_values_are_pooled(spark):
     assert len(rates) == 2
 
 
+def test_each_of_many_small_values_gets_its_target(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "if(id < 2000, 'hot', concat('s', id)) AS source", "if(id % 2 = 0, 'en', 'fr') AS lang", "'t' AS topic", "if(id < 2000, 500, 10 + id % 50) AS tokens")
+    rows = mixing.mix(docs, keep=0.1).collect()
+    want, got = {}, {}
+    for r in rows:
+        want[r["source"]] = want.get(r["source"], 0) + r["tokens"]
+        got[r["source"]] = got.get(r["source"], 0.0) + r["tokens"] * r["rate"]
+    budget, raw = 0.1 * sum(want.values()), sum(x**0.7 for x in want.values())
+    # What a source cannot supply is not made up for; all others meet their own target.
+    aims = {s: min(x, x**0.7 / raw * budget) for s, x in want.items()}
+    assert got["s2000"] / got["s2049"] == pytest.approx(aims["s2000"] / aims["s2049"], rel=0.05)
+    assert len({round(r["rate"], 6) for r in rows if r["source"] != "hot"}) > 20
+
+
+def test_cells_as_a_table_give_the_same_rates(spark):
+    docs = spark.range(600).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 40)) AS source", "if(id % 7 = 0, NULL, if(id % 2 = 0, 'en', 'fr')) AS lang", "'t' AS topic", "10 + id % 90 AS tokens")
+    for targets in (None, {"source": {"hot": 0.2, "s1": 0.3, "s2": 0.5}}):
+        here = {r["doc_id"]: r["rate"] for r in mixing.mix(docs, targets, keep=0.1).collect()}
+        there = {r["doc_id"]: r["rate"] for r in mixing.mix(docs, targets, keep=0.1, held=0).collect()}
+        assert there == {k: pytest.approx(v, abs=1e-6) for k, v in here.items()}
+
+
 def test_odd_rows_and_empty_table(spark, odd_docs):
     weighed = mixing._weighed(odd_docs.drop("tokens", "topic"))
     rows = mixing.mix(weighed).collect()
