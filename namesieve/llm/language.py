@@ -207,6 +207,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay, labelled with it; rejected ones go. Learns from the labels that there are."""
-    found = identify(docs, fit_languages(docs.select("doc_id", "text", "lang")))
+    """Documents in a learned language stay, labelled with it; rejected ones go. Learns from the labels that there are.
+
+    If nothing can be learned, as no row has a label, all texts with a letter stay, those without a label as ``und``.
+    """
+    model = fit_languages(docs.select("doc_id", "text", "lang"))
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).withColumn("lang", F.coalesce("lang", F.lit(UNKNOWN)))
+    found = identify(docs, model)
     return found.where(~F.col("rejected")).withColumn("lang", F.col("lang_pred")).select(*docs.columns)

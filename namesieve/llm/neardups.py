@@ -293,7 +293,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     and all ``kept`` if one is; other columns are ignored. A null id is never the smallest, and kept if its class has no other.
     Two texts with exactly the least similarity share no band, and may be missed, in one of 20,000 cases.
     """
-    return _classified(docs, least).drop("node")
+    return _classified(docs, least).drop("node", "label")
 
 
 def _classified(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -305,10 +305,10 @@ def _classified(docs: DataFrame, least: float = LEAST) -> DataFrame:
     classes = nodes.select("node", "low").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = written(classes, "classes")
     lowest = classes.groupBy("label").agg(F.min("low").alias("class_id"))
-    found = classes.join(lowest, "label").select("node", "class_id", F.lit(True).alias("worded"))
+    found = classes.join(lowest, "label").select("node", "label", "class_id", F.lit(True).alias("worded"))
     out = signed.select("doc_id", "node").join(found, "node", "left")
     class_id = F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "node", class_id.alias("class_id"), F.coalesce(F.col("doc_id") == class_id, class_id.isNull()).alias("kept"))
+    return out.select("doc_id", "node", "label", class_id.alias("class_id"), F.coalesce(F.col("doc_id") == class_id, class_id.isNull()).alias("kept"))
 
 
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,10 +319,12 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, that with the smallest id; of repeated rows one.
 
-    Rows without an id cannot be told apart: they stay if nothing in their class has one.
+    Different texts under one id are documents of their own; of those in one class, that with the smallest hash stays. Rows
+    without an id cannot be told apart: they stay if nothing in their class has one.
     """
-    kept = written(_classified(docs).where("kept").select("doc_id", "node"), "kept")
-    named = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id IS NULL").withColumn("__node", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    nameless = nameless.join(kept.where("doc_id IS NULL").select(F.col("node").alias("__node")).distinct(), "__node", "left_semi").drop("__node")
-    return named.unionByName(nameless)
+    kept = written(_classified(docs).where("kept").select("doc_id", "node", "label"), "kept")
+    rows = docs.withColumn("__node", F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    one = kept.where("doc_id IS NOT NULL").groupBy("doc_id", F.coalesce("label", "node").alias("class")).agg(F.min("node").alias("__node"))
+    named = rows.join(one.select("doc_id", "__node"), ["doc_id", "__node"], "left_semi").dropDuplicates(["doc_id", "__node"])
+    nameless = rows.where("doc_id IS NULL").join(kept.where("doc_id IS NULL").select(F.col("node").alias("__node")).distinct(), "__node", "left_semi")
+    return named.select(*docs.columns).unionByName(nameless.select(*docs.columns))

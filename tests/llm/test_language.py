@@ -72,3 +72,8 @@ def test_odd_rows_and_empty_table(spark, odd_docs, folder):
     assert {r["lang_pred"] for r in language.identify(odd_docs, None).collect()} == {"und"}
     kept = language.language_stage(spark, odd_docs, "")
     assert kept.columns == odd_docs.columns and kept.where("doc_id IN (2, 3, 4, 7)").count() == 0
+
+
+def test_stage_passes_an_unlabelled_corpus_on(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "123", None), (3, None, None)], "doc_id bigint, text string, lang string")
+    assert [tuple(r) for r in language.language_stage(spark, docs, "").collect()] == [(1, "some words", "und")]

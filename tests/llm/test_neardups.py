@@ -165,3 +165,10 @@ def test_odd_rows_and_empty_table(spark, odd_docs):
     copies = odd_docs.union(odd_docs.where("doc_id IS NULL").withColumn("doc_id", F.lit(99).cast("bigint")))
     left = neardups.near_duplicate_stage(spark, copies, "").collect()
     assert "None" not in {str(r["doc_id"]) for r in left} and 99 in {r["doc_id"] for r in left}
+
+
+def test_stage_keeps_different_texts_under_one_id(spark):
+    a, b, c = ("one plain text about rivers and hills", "quite another story of ships at sea", "a third note on bread, salt and wine")
+    rows = [(1, a), (1, b), (1, a), (2, b), (2, c), (3, a), (3, c), (4, "?"), (4, "!"), (5, "?")]
+    left = neardups.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    assert sorted(map(tuple, left)) == sorted([(1, a), (1, b), (2, c), (4, "?"), (4, "!")])
