@@ -1,8 +1,8 @@
-"""Registered queries of this subpackage; none can be stated in SQL, so each is tested against brute force."""
+"""Registered queries of this subpackage. Those without SQL are tested against brute force."""
 
 from __future__ import annotations
 
-from namesieve.llm import archives, language, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring
+from namesieve.llm import archives, language, leaks, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring
 
 QUERIES = {
     "op7_mixing": mixing.op7_mixing,
@@ -15,5 +15,6 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op9_weak_supervision": quality.op9_weak_supervision,
     "op10_language_id": language.op10_language_id,
+    "op13_winnowing": leaks.op13_winnowing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_winnowing": leaks.OP13_SQL}
