@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from namesieve.llm import archives, language, leaks, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring
+from namesieve.llm import archives, language, leaks, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring, spellings
 
 QUERIES = {
     "op7_mixing": mixing.op7_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op9_weak_supervision": quality.op9_weak_supervision,
     "op10_language_id": language.op10_language_id,
+    "op11_spelling_variants": spellings.op11_spelling_variants,
     "op13_winnowing": leaks.op13_winnowing,
 }
-ORACLES: dict[str, str] = {"op13_winnowing": leaks.OP13_SQL}
+ORACLES: dict[str, str] = {"op11_spelling_variants": spellings.OP11_SQL, "op13_winnowing": leaks.OP13_SQL}
