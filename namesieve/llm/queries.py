@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from namesieve.llm import archives, language, leaks, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring, spellings
+from namesieve.llm import alignment, archives, language, leaks, mixing, neardups, neighbours, packing, pages, privacy, quality, scoring, spellings
 
 QUERIES = {
     "op7_mixing": mixing.op7_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_weak_supervision": quality.op9_weak_supervision,
     "op10_language_id": language.op10_language_id,
     "op11_spelling_variants": spellings.op11_spelling_variants,
+    "op12_tokenizer_alignment": alignment.op12_tokenizer_alignment,
     "op13_winnowing": leaks.op13_winnowing,
 }
 ORACLES: dict[str, str] = {"op11_spelling_variants": spellings.OP11_SQL, "op13_winnowing": leaks.OP13_SQL}
