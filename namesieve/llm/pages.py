@@ -3,8 +3,8 @@
 Every element subtree gets a hash of its content. Spark counts, for each host, on how many different pages a subtree occurs;
 what recurs on many of them is the site's template and is deleted, together with elements whose tag, role or class
 says that they are no article. Exact copies of a page count once, so a much-copied page is not taken for a template. Prose
-blocks of an article (paragraphs, lists, tables) are template if they recur in more and otherwise different articles, at the
-same place: some articles may share a passage.
+blocks of an article (paragraphs, lists, tables) are template only if most of the otherwise different articles of a section
+have them at the same place: many articles may share a passage, also a frequent one.
 """
 
 from __future__ import annotations
@@ -193,9 +193,14 @@ def host_of(url: F.Column) -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def section_of(url: F.Column) -> F.Column:
+    """Folder of a URL's path; empty if there is none."""
+    return F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*/)", 1), F.lit(""))
+
+
 def _copies(pages: DataFrame) -> DataFrame:
-    """``pages`` with ``__host`` and ``__copy``, a hash that equal html shares."""
-    return pages.withColumns({"__host": host_of(F.col("url")), "__copy": F.xxhash64(F.coalesce("html", F.lit("")))})
+    """``pages`` with ``__host``, ``__section`` and ``__copy``, a hash that equal html shares."""
+    return pages.withColumns({"__host": host_of(F.col("url")), "__section": section_of(F.col("url")), "__copy": F.xxhash64(F.coalesce("html", F.lit("")))})
 
 
 #: As many templates go to all tasks; more are joined with the pages by host and copy, which shuffles html.
@@ -211,9 +216,10 @@ def _salted(keys: np.ndarray, host: str) -> np.ndarray:
 def templates(pages: DataFrame, least_pages: int = 5, least_articles: int = 20) -> tuple[DataFrame, DataFrame]:
     """``__host`` and ``key`` of what is template, and the elements seen: ``__host``, ``__copy``, ``key``.
 
-    ``pages`` has the columns of ``_copies``. Template is what is on at least ``least_pages`` different pages of a host, prose
-    what is in at least ``least_articles`` different articles; both grow with the logarithm of the host's pages, by one
-    for each doubling beyond ten times the least. Pages with equal html are one page, equal articles one article.
+    ``pages`` has the columns of ``_copies``. Template is what is on at least ``least_pages`` different pages of a host; the
+    number grows by one for each doubling of the host's pages beyond ten times as many. Prose is template if more than half of
+    the different articles of a section, and at least ``least_articles``, have it at one place. Pages with equal html are one
+    page, equal articles one article.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,17 +232,23 @@ def templates(pages: DataFrame, least_pages: int = 5, least_articles: int = 20)
                 keys.extend(key for key, _ in own)
                 articles.extend(article for _, article in own)
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("__host").take(at), batch.column("__copy").take(at), pa.array(keys, pa.int64()), pa.array(articles, pa.int64())], names=["__host", "__copy", "key", "article"])
-
-    schema = "__host string, __copy bigint, key bigint, article bigint"
-    seen = written(pages.select("__host", "__copy", "html").mapInArrow(run, schema), "subtrees")
-    prose = F.col("article") != 0
-    counts = seen.select("__host", "key", prose.alias("prose"), F.when(prose, F.col("article")).otherwise(F.col("__copy")).alias("unit")).distinct().groupBy("__host", "key", "prose").count()
-    counts = written(counts.where(F.col("count") >= F.when(F.col("key") == 0, 1).when(F.col("prose"), least_articles).otherwise(least_pages)), "subtree-counts")
-    whole = counts.where("key = 0 AND NOT prose").select("__host", F.col("count").alias("pages"))
-    least = F.when(F.col("prose"), least_articles).otherwise(least_pages)
-    often = counts.where("key <> 0").join(whole, "__host").where(F.col("count") >= least + F.greatest(F.lit(0.0), F.log2(F.col("pages") / (10 * least))))
-    return written(often.select("__host", "key").distinct(), "templates"), seen.select("__host", "__copy", "key")
+            names = ["__host", "__section", "__copy"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in names), pa.array(keys, pa.int64()), pa.array(articles, pa.int64())], names=[*names, "key", "article"])
+
+    schema = "__host string, __section string, __copy bigint, key bigint, article bigint"
+    seen = written(pages.select("__host", "__section", "__copy", "html").mapInArrow(run, schema), "subtrees")
+    # The key 0 counts the pages of a host.
+    counts = seen.where("article = 0").select("__host", "key", "__copy").distinct().groupBy("__host", "key").count()
+    counts = written(counts.where(F.col("count") >= F.when(F.col("key") == 0, 1).otherwise(least_pages)), "subtree-counts")
+    whole = counts.where("key = 0").select("__host", F.col("count").alias("pages"))
+    grown = least_pages + F.greatest(F.lit(0.0), F.log2(F.col("pages") / (10 * least_pages)))
+    often = counts.where("key <> 0").join(whole, "__host").where(F.col("count") >= grown).select("__host", "key")
+
+    prose = seen.where("article <> 0").select("__host", "__section", "key", "article").distinct()
+    places = prose.groupBy("__host", "__section", "key").count().where(F.col("count") >= least_articles)
+    articles = prose.select("__host", "__section", "article").distinct().groupBy("__host", "__section").agg(F.count("*").alias("articles"))
+    most = places.join(articles, ["__host", "__section"]).where(2 * F.col("count") > F.col("articles")).select("__host", "key")
+    return written(often.unionByName(most).distinct(), "templates"), seen.select("__host", "__copy", "key")
 
 
 def extract(pages: DataFrame, least_pages: int = 5, least_articles: int = 20, held: int = HELD_TEMPLATES) -> DataFrame:
