@@ -85,7 +85,7 @@ def segments(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     cut[np.append(starts, len(data))[1:] - 1] = False  # the piece model adds no blank to nothing
     cut[starts] = True
     at = np.flatnonzero(cut)
-    last = np.append(at[1:], len(data)) - 1
+    last = np.append(at[1:], len(data))[: len(at)] - 1
     end = np.append(firm, False)
     end[len(data)] = bool(len(data)) and (0x20 < data[-1] < 0x7F or len(data) > 1 and 0xC3 <= data[-2] <= 0xDF)
     return at, end[last + 1]
