@@ -1,36 +1,114 @@
-"""Character n-grams inside word bounds, as Spark SQL expressions."""
+"""Character n-grams inside word bounds: the words as a Spark SQL expression, the grams of Arrow batches in NumPy."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from namesieve.functions.names import tokens
 
 LONGEST_GRAM = 3
-UNICODE_BITS = 21
-ASCII_BITS = 7
+#: Any code point fits in so many bits.
+CODE_BITS = 21
+#: Characters that are worked on at a time; one longer text is worked on alone.
+CHUNK_CHARS = 1 << 20
+BLANK = 0x20
+
+
+def padded_words(text: str) -> str:
+    """The lower-cased words of ``text`` with a blank on both sides of each, in one text: two blanks are where words meet."""
+    return f"coalesce(concat(' ', nullif(array_join({tokens(f'lower({text})')}, '  '), ''), ' '), '')"
 
 
-def char_grams(text: str, shortest: int = 1, longest: int = LONGEST_GRAM) -> str:
-    """All substrings of ``shortest..longest`` characters of every word padded with one blank per side.
+def gram_text(code: str) -> str:
+    """SQL of the text of a gram code: its characters in order, absent ones left out."""
+    points = [f"(shiftrightunsigned({code}, {CODE_BITS * (LONGEST_GRAM - 1 - i)}) & {(1 << CODE_BITS) - 1})" for i in range(LONGEST_GRAM)]
+    digits = ", ".join(f"if({p} = 0, '', lpad(hex({p}), 8, '0'))" for p in points)
+    return f"decode(unhex(concat({digits})), 'UTF-32')"
 
-    A padded word has at least three characters, so lengths up to three never run past its end.
+
+def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, code and number of every distinct gram of one to three characters of texts of padded words, by text and code.
+
+    A gram lies inside one word and its blanks. The code has the code points of its characters, ``CODE_BITS`` each, which
+    needs no dictionary.
     """
-    if not 1 <= shortest <= longest <= LONGEST_GRAM:
-        raise ValueError(f"gram lengths must lie in 1..{LONGEST_GRAM}")
-    padded = f"transform({tokens(f'lower({text})')}, w -> concat(' ', w, ' '))"
-    of_length = [
-        f"transform(sequence(1, length(p) - {n - 1}), i -> substr(p, i, {n}))" for n in range(shortest, longest + 1)
-    ]
-    return f"flatten(transform({padded}, p -> concat({', '.join(of_length)})))"
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    alphabet, place = np.unique(points, return_inverse=True)
+    base, place = len(alphabet) + 1, place + 1
+    if not len(points):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    together = (owner[1:] == owner[:-1]) & ~((points[1:] == BLANK) & (points[:-1] == BLANK))
+    two = np.flatnonzero(together)
+    three = two[:-1][np.diff(two) == 1]
+    at = owner * base + place
+    keys = np.concatenate([at * base * base, (at[two] * base + place[two + 1]) * base, (at[three] * base + place[three + 1]) * base + place[three + 2]])
+    keys, counts = np.unique(keys, return_counts=True)
+    letters = np.append(0, alphabet)
+    digits = [letters[keys // base**i % base] for i in (2, 1, 0)]
+    codes = (digits[0] << 2 * CODE_BITS) | (digits[1] << CODE_BITS) | digits[2]
+    return keys // base**LONGEST_GRAM, codes, counts
+
+
+def _list(rows: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
-def gram_code(gram: str, bits: int = UNICODE_BITS) -> str:
-    """Exact number of a gram of at most three characters, so that no dictionary is needed.
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text_key, words`` (padded) to ``text_key, codes, counts``, a row per text."""
+    for batch in batches:
+        ends = np.cumsum(pc.utf8_length(batch.column("words")).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + CHUNK_CHARS, side="right")))
+            rows, codes, counts = gram_counts(batch.column("words").slice(first, last - first).to_pylist())
+            lists = [_list(rows, pa.array(x, kind), last - first) for x, kind in ((codes, pa.int64()), (counts, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("text_key").slice(first, last - first), *lists], names=["text_key", "codes", "counts"])
+            first = last
 
-    ``bits`` per character: 21 hold any code point; 7 are enough for normalised (ASCII) names and
-    keep the number small.
+
+def flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all lists of a batch and the row that each belongs to."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def weight_batches(texts: int, known: np.ndarray, frequencies: np.ndarray):
+    """Function from ``text_key, codes, counts`` and, if there, ``others`` to ``text_key, codes, weights`` of unit length.
+
+    weight = count * (ln((1 + texts) / (1 + df)) + 1). ``known`` codes are sorted and have their ``frequencies``; a row brings
+    those of its other codes as pairs (code, df).
     """
-    parts = [
-        f"shiftleft(CAST(ascii(substr({gram}, {i + 1}, 1)) AS BIGINT), {bits * (LONGEST_GRAM - 1 - i)})"
-        for i in range(LONGEST_GRAM)
-    ]
-    return " + ".join(parts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, row = flat(batch.column("codes"))
+            df = np.zeros(len(codes))
+            if len(known):
+                at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                df = np.where(known[at] == codes, frequencies[at], 0)
+            if "others" in batch.schema.names:
+                pairs, other_row = flat_pairs(batch.column("others"))
+                # Both sides are in the order of row and code once sorted; every code left is in both.
+                left = np.flatnonzero(df == 0)
+                order = np.lexsort((pairs[0], other_row))
+                df[left] = pairs[1][order]
+            weight = batch.column("counts").flatten().to_numpy() * (np.log((1 + texts) / (1 + df)) + 1)
+            norm = np.sqrt(np.bincount(row, weight * weight, batch.num_rows))
+            weights = pa.ListArray.from_arrays(batch.column("codes").offsets, pa.array(weight / norm[row])) if len(codes) else pa.array([[]] * batch.num_rows, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("codes"), weights], names=["text_key", "codes", "weights"])
+
+    return run
+
+
+def flat_pairs(column: pa.ListArray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Both fields of all pairs of a list column, and the row of each; null lists are empty."""
+    sizes = np.asarray(column.value_lengths().fill_null(0))
+    pairs = column.flatten()
+    return tuple(np.asarray(x) for x in pairs.flatten()), np.repeat(np.arange(len(column)), sizes)

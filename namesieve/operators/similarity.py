@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from namesieve.functions.grams import ASCII_BITS, UNICODE_BITS
 from namesieve.functions.pairdots import nearest_of_batches, score_batches, tile_scorer
 from namesieve.functions.vectors import dot, unit_length
 from namesieve.operators.blocking import (
     BLOCK_KEYS,
     FAST_GAPS,
+    OCTAL_BITS,
     block_columns,
     blocking_features,
     cut_blocks,
@@ -26,12 +28,15 @@ from namesieve.operators.blocking import (
     tiled_self_join,
     within_gaps,
 )
-from namesieve.operators.ranking import one_row
-from namesieve.operators.tfidf import packed_vectors, vocabulary
+from namesieve.operators.ranking import one_row, ordered_rank
+from namesieve.operators.tfidf import GramIndex, packed_vectors, vocabulary
 from namesieve.plans.storage import written
 
 DECIMALS = 6
 VECTOR_TILE_ROWS = 1024
+#: Members of a text that are one part; of a text with more members than the second number, only the first after an entity are opened.
+MEMBER_ROWS, OPENED_WHOLE = 4096, 64
+ASKING_PARTS = 8
 QUERY_BLOCK = 2048
 
 
@@ -48,35 +53,57 @@ def sparse_cosine(pairs: DataFrame) -> DataFrame:
     return scored.withColumn("cosine_similarity", F.round("dot", DECIMALS)).drop("dot")
 
 
-def text_pair_scores(variants: DataFrame, keys: Sequence[str] = BLOCK_KEYS, bits: int = ASCII_BITS) -> DataFrame:
+@dataclass(frozen=True)
+class SimilarityTable:
+    """Scored texts of a table of variants; texts go by their key (md5), and only ``texts`` has them.
+
+    ``members``: a row per entity and text (``entity_id``, the block keys, ``text_key``, ``rule``). ``texts``: ``text_key,
+    variant``. ``scores``: a row per block and unordered pair of texts (``text_1, text_2, pairs, cosine_similarity``).
+    All three are written.
+    """
+
+    members: DataFrame
+    texts: DataFrame
+    scores: DataFrame
+    keys: tuple[str, ...]
+
+
+def similarity_table(variants: DataFrame, keys: Sequence[str] = BLOCK_KEYS) -> SimilarityTable:
+    """Score each pair of distinct texts of a block once. Input: one row per entity and variant, one block per entity."""
+    variants = written(variants.select("entity_id", *keys, "name_variant", "variant_rule"), "variants")
+    texts = written(vocabulary(variants.where("length(name_variant) > 0")), "texts")
+    block = block_columns(keys, second_char=True)
+    features = blocking_features(variants).withColumn("text_key", F.md5("name_variant"))
+    sizes = ["variant_tokens", "variant_len_chars"]
+    members = written(features.select("entity_id", *block, "text_key", F.col("variant_rule").alias("rule"), *sizes), "members")
+    scores = written(text_pair_scores(members, texts, keys), "text-pair-scores")
+    return SimilarityTable(members.select("entity_id", *keys, "text_key", "rule"), texts, scores, tuple(keys))
+
+
+def text_pair_scores(members: DataFrame, texts: DataFrame, keys: Sequence[str] = BLOCK_KEYS) -> DataFrame:
     """Score each pair of distinct texts of a block once, with the number of entity pairs that have it.
 
-    Input: one row per entity and variant, one block per entity. Copies of a name are one row here,
-    so a name that a third of the entities share costs no more than any other. ``pairs`` counts entity
-    pairs: product of the two groups less the entities that have both texts, or n(n-1)/2 for one text.
-    ``bits=7`` is right for normalised names; use 21 for other texts.
+    Copies of a name are one row here, so a name that a third of the entities share costs no more than any other. ``pairs``
+    counts entity pairs: product of the two groups less the entities that have both texts, or n(n-1)/2 for one text.
+    Only keys, counts and vectors travel: no text is in a tile.
     """
-    features = blocking_features(variants)
     block = block_columns(keys, second_char=True)
     sizes = ["variant_tokens", "variant_len_chars"]
-    nodes = features.groupBy(*block, "name_variant", *sizes).agg(F.expr("count(*) AS n"))
-    vectors = packed_vectors(vocabulary(features), bits).select("text_key", "codes", "weights")
-    keyed = nodes.withColumn("text_key", F.md5("name_variant"))
-    located = written(keyed.join(vectors, "text_key").drop("text_key"), "located-vectors")
+    nodes = members.groupBy(*block, "text_key", *sizes).agg(F.expr("count(*) AS n"))
+    located = written(nodes.join(packed_vectors(texts), "text_key"), "located-vectors")
 
     # Each unordered pair of groups is one tile; a row is copied once per group of its block.
     tile = exact_key([*block, "least(_group, _other)", "greatest(_group, _other)"])
-    tiles = cut_blocks(located, block, ["name_variant"], VECTOR_TILE_ROWS).selectExpr(
+    tiles = cut_blocks(located, block, ["text_key"], VECTOR_TILE_ROWS).selectExpr(
         "*", "explode(sequence(0, _groups - 1)) AS _other"
-    ).withColumn("_tile", F.expr(tile)).repartition(tasks_for(variants), "_tile")
+    ).withColumn("_tile", F.expr(tile)).repartition(tasks_for(members), "_tile")
     out = ", ".join([*[f"{k} STRING" for k in keys], "text_1 STRING, text_2 STRING, pairs BIGINT, dot DOUBLE"])
     unequal = tiles.groupBy("_tile").applyInArrow(tile_scorer(list(keys), *FAST_GAPS), out)
     unequal = unequal.selectExpr(*keys, "text_1", "text_2", "pairs", f"round(dot, {DECIMALS}) AS cosine_similarity")
-    spelled = features.select("entity_id", *block, "name_variant", *sizes)
-    distinct = f"l.name_variant < r.name_variant AND {within_gaps('l', 'r', FAST_GAPS)}"
+    distinct = f"l.text_key < r.text_key AND {within_gaps('l', 'r', FAST_GAPS)}"
     inside = F.expr(f"{same_block('l', 'r', ['entity_id', *block])} AND {distinct}")
-    ends = [*[f"l.{k} AS {k}" for k in keys], "l.name_variant AS text_1", "r.name_variant AS text_2"]
-    both = spelled.alias("l").join(spelled.alias("r"), inside).selectExpr(*ends)
+    ends = [*[f"l.{k} AS {k}" for k in keys], "l.text_key AS text_1", "r.text_key AS text_2"]
+    both = members.alias("l").join(members.alias("r"), inside).selectExpr(*ends)
     both = both.groupBy(*both.columns).agg(F.expr("count(*) AS together"))
     unequal = (
         unequal.alias("l")
@@ -85,60 +112,83 @@ def text_pair_scores(variants: DataFrame, keys: Sequence[str] = BLOCK_KEYS, bits
     )
     equal = nodes.where("n > 1").selectExpr(
         *keys,
-        "name_variant AS text_1",
-        "name_variant AS text_2",
+        "text_key AS text_1",
+        "text_key AS text_2",
         "CAST(n * (n - 1) / 2 AS BIGINT) AS pairs",
         "1D AS cosine_similarity",
     )
     return unequal.where("pairs > 0").unionByName(equal)
 
 
-def entity_pair_scores(scores: DataFrame, variants: DataFrame, keys: Sequence[str] = BLOCK_KEYS) -> DataFrame:
-    """Spread text scores over the entity pairs that have the texts; smaller entity id first."""
-    members = blocking_features(variants).selectExpr(*keys, "entity_id", "name_variant AS text", "variant_rule AS rule")
-    member = "named_struct('id', {0}.entity_id, 'text', {0}.text, 'rule', {0}.rule)"
-    first = F.expr(f"{same_block('s', 'm', keys)} AND s.text_1 = m.text")
-    half = scores.where("text_1 <> text_2").alias("s").join(members.alias("m"), first)
+def _dealt(table: SimilarityTable) -> tuple[DataFrame, DataFrame]:
+    """Members with ``_groups`` and ``_group``: a text's members are dealt into parts of ``MEMBER_ROWS``; and texts with many parts."""
+    node = [*table.keys, "text_key"]
+    dealt = cut_blocks(table.members, node, ["entity_id"], MEMBER_ROWS)
+    return dealt, dealt.where("_groups > 1").groupBy(*node).agg(F.expr("max(_groups) AS _parts"))
+
+
+def _each_part(rows: DataFrame, parts: DataFrame, keys: Sequence[str], key: str) -> DataFrame:
+    """``rows`` once for each part of the text that column ``key`` names, with its number ``_part``."""
+    joined = rows.alias("l").join(parts.alias("r"), F.expr(f"{same_block('l', 'r', keys)} AND l.{key} = r.text_key"), "left")
+    return joined.selectExpr("l.*", "explode(sequence(0, coalesce(r._parts, 1) - 1)) AS _part")
+
+
+def entity_pairs(table: SimilarityTable) -> DataFrame:
+    """Text scores spread over the entity pairs that have the texts, smaller entity id first; texts by their keys.
+
+    ``entity_id_a, entity_id_b, text_a, text_b, part_a, part_b``, the block keys, ``rule_a, rule_b, cosine_similarity``.
+    """
+    keys = table.keys
+    members, parts = _dealt(table)
+    member = "named_struct('id', {0}.entity_id, 'text', {0}.text_key, 'rule', {0}.rule, 'part', {0}._group)"
+    first = F.expr(f"{same_block('s', 'm', keys)} AND s.text_1 = m.text_key AND s._part = m._group")
+    scores = _each_part(table.scores.where("text_1 <> text_2"), parts, keys, "text_1")
+    half = scores.alias("s").join(members.alias("m"), first)
     half = half.selectExpr(*[f"s.{k}" for k in keys], "s.text_2", "s.cosine_similarity", f"{member.format('m')} AS x")
-    second = F.expr(f"{same_block('h', 'm', keys)} AND h.text_2 = m.text AND h.x.id <> m.entity_id")
-    full = half.alias("h").join(members.alias("m"), second)
+    second = F.expr(f"{same_block('h', 'm', keys)} AND h.text_2 = m.text_key AND h._part = m._group AND h.x.id <> m.entity_id")
+    full = _each_part(half, parts, keys, "text_2").alias("h").join(members.alias("m"), second)
     ends = full.selectExpr(*[f"h.{k}" for k in keys], "h.cosine_similarity", "h.x", f"{member.format('m')} AS y")
-    unequal = ends.selectExpr(
-        *keys, "cosine_similarity", "if(x.id < y.id, x, y) AS a", "if(x.id < y.id, y, x) AS b"
-    )
-    copies = tiled_self_join(members, [*keys, "text"], ["entity_id"], "l.entity_id < r.entity_id")
+    unequal = ends.selectExpr(*keys, "cosine_similarity", "if(x.id < y.id, x, y) AS a", "if(x.id < y.id, y, x) AS b")
+    plain = members.drop("_groups").withColumnRenamed("_group", "part")
+    copies = tiled_self_join(plain, [*keys, "text_key"], ["entity_id"], "l.entity_id < r.entity_id")
+    copied = "named_struct('id', {0}.entity_id, 'text', {0}.text_key, 'rule', {0}.rule, 'part', {0}.part)"
     equal = copies.selectExpr(
-        *[f"l.{k}" for k in keys], "1D AS cosine_similarity", f"{member.format('l')} AS a", f"{member.format('r')} AS b"
+        *[f"l.{k}" for k in keys], "1D AS cosine_similarity", f"{copied.format('l')} AS a", f"{copied.format('r')} AS b"
     )
     return unequal.unionByName(equal).selectExpr(
-        "concat_ws('||', a.id, b.id, a.text, b.text) AS pair_id",
-        "a.id AS entity_id_a",
-        "b.id AS entity_id_b",
-        "a.text AS variant_a",
-        "b.text AS variant_b",
+        *[f"{s}.{c} AS {name}_{s}" for c, name in (("id", "entity_id"), ("text", "text"), ("rule", "rule"), ("part", "part")) for s in "ab"],
         "country_code" if "country_code" in keys else "CAST(NULL AS STRING) AS country_code",
-        "a.rule AS rule_a",
-        "b.rule AS rule_b",
         "cosine_similarity",
     )
 
 
-def similarity_table(variants: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scores per text pair (written once) and the entity-pair table that follows from them."""
-    variants = written(variants.select("entity_id", *BLOCK_KEYS, "name_variant", "variant_rule"), "variants")
-    scores = written(text_pair_scores(variants), "text-pair-scores")
-    return scores, entity_pair_scores(scores, variants)
+def named_pairs(pairs: DataFrame, table: SimilarityTable) -> DataFrame:
+    """``pairs`` of ``entity_pairs`` (and any more columns) with ``variant_a, variant_b, pair_id`` instead of keys and parts.
 
+    This is where texts meet pairs: a text is there once for each part of its members.
+    """
+    copies = _dealt(table)[0].select("text_key", "_group").distinct().join(table.texts, "text_key")
+    for side in "ab":
+        named = copies.selectExpr(f"text_key AS text_{side}", f"_group AS part_{side}", f"variant AS variant_{side}")
+        pairs = pairs.join(named, [f"text_{side}", f"part_{side}"])
+    pairs = pairs.withColumn("pair_id", F.concat_ws("||", "entity_id_a", "entity_id_b", "variant_a", "variant_b"))
+    first = ["pair_id", "entity_id_a", "entity_id_b", "variant_a", "variant_b", "country_code", "rule_a", "rule_b", "cosine_similarity"]
+    return pairs.select(*first, *(c for c in pairs.columns if c not in (*first, "text_a", "text_b", "part_a", "part_b")))
 
-def score_pairs(pairs: DataFrame, bits: int = UNICODE_BITS) -> DataFrame:
-    """Cosine of ``variant_a, variant_b`` with weights fitted on the texts of ``pairs`` only."""
-    texts = pairs.selectExpr("explode(array(variant_a, variant_b)) AS name_variant")
-    vectors = packed_vectors(vocabulary(texts), bits).select("text_key", "codes", "weights")
-    out = pairs.withColumns({"_key_a": F.md5("variant_a"), "_key_b": F.md5("variant_b")})
+
+def sparse_scored(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``pairs`` (``_key_a, _key_b``) with ``cosine_similarity`` from packed ``vectors``."""
     for side, n in (("a", 1), ("b", 2)):
         looked_up = vectors.selectExpr(f"text_key AS _key_{side}", f"codes AS codes_{n}", f"weights AS weights_{n}")
-        out = out.join(looked_up, f"_key_{side}")
-    return sparse_cosine(out.drop("_key_a", "_key_b"))
+        pairs = pairs.join(looked_up, f"_key_{side}")
+    return sparse_cosine(pairs.drop("_key_a", "_key_b"))
+
+
+def score_pairs(pairs: DataFrame) -> DataFrame:
+    """Cosine of ``variant_a, variant_b`` with weights fitted on the texts of ``pairs`` only."""
+    texts = pairs.selectExpr("explode(array(variant_a, variant_b)) AS name_variant")
+    keyed = pairs.withColumns({"_key_a": F.md5("variant_a"), "_key_b": F.md5("variant_b")})
+    return sparse_scored(keyed, packed_vectors(vocabulary(texts)))
 
 
 def score_pairs_dense(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -152,31 +202,47 @@ def score_pairs_dense(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return out.withColumn("cosine_similarity", F.expr(cosine)).drop("unit_a", "unit_b")
 
 
-def top_neighbors(weights: DataFrame, query: str, texts: DataFrame, k: int = 10) -> DataFrame:
+def top_neighbors(index: GramIndex, query: str, texts: DataFrame, k: int = 10) -> DataFrame:
     """The k texts nearest to one known text; a one-row message for an unknown text.
 
-    ``weights`` is long (``text_key, gram, weight``), ``texts`` names the keys. Partial sums are formed before the shuffle,
-    and only the k best are looked up by name. Ties go to the smaller text, so all texts of the k-th score are looked up.
+    ``texts`` names the keys of ``index``. The lookup reads the postings of the query's grams only: their codes, at most as
+    many as the query has, are a filter on the sorted table. Partial sums are formed before the shuffle, and only the k best
+    are looked up by name. Ties go to the smaller text, so all texts of the k-th score are looked up.
     """
+    spark = texts.sparkSession
     key = hashlib.md5(query.encode()).hexdigest()
-    known = F.col("text_key") == key
-    if texts.where(known).isEmpty():
+    asked = index.vectors.where(F.col("text_key") == key).select(F.inline(F.arrays_zip("codes", "weights")).alias("code", "asked"))
+    asked = asked.collect()
+    if not asked:
         message = F.lit(f"unknown variant: {query}").alias("message")
-        return texts.sparkSession.range(1).select(message)
-    asked = weights.where(known).select("gram", F.col("weight").alias("asked"))  # at most one row per gram of one text
+        return spark.range(1).select(message)
+    grams = spark.createDataFrame(asked, "code bigint, asked double")
+    postings = index.postings.where(F.col("code").isin([r["code"] for r in asked]) & (F.col("text_key") != key))
     sums = (
-        weights.where(~known)
-        .join(asked, "gram")
+        postings.join(F.broadcast(grams), "code")  # the grams of one text
         .groupBy("text_key")
         .agg(F.round(F.expr("sum(weight * asked)"), DECIMALS).alias("cosine_similarity"))
     )
-    sums = written(sums, "neighbour-scores")
+    with pushed_lists(spark, len(asked)):
+        sums = written(sums, "neighbour-scores")
     last = one_row(sums.orderBy(F.desc("cosine_similarity")).limit(k).agg(F.min("cosine_similarity").alias("least")))
     near = sums.withColumn("_last", last).where("cosine_similarity >= _last.least").join(texts, "text_key")
     best = near.orderBy(F.desc("cosine_similarity"), "variant").limit(k)
     return best.select(F.lit(query).alias("query_variant"), F.col("variant").alias("neighbor_variant"), "cosine_similarity")
 
 
+@contextmanager
+def pushed_lists(spark: SparkSession, size: int) -> Iterator[None]:
+    """Filters on lists of up to ``size`` values reach the scan value by value, not as one range."""
+    name = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(size, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def top_neighbors_dense(vectors: DataFrame, query_ids: DataFrame, k: int = 10) -> DataFrame:
     """The k nearest rows of ``vec_id, vector`` for each id of a query list, itself left out.
 
@@ -203,15 +269,100 @@ def top_neighbors_dense(vectors: DataFrame, query_ids: DataFrame, k: int = 10) -
 
 def similarity_matrix(texts: DataFrame, first: int = 12) -> DataFrame:
     """All cosines among the ``first`` texts in alphabetical order; weights are fitted on all ``texts``."""
-    vectors = packed_vectors(texts).select("text_key", "codes", "weights")
+    vectors = packed_vectors(texts)
     few = written(texts.orderBy("variant").limit(first).join(vectors, "text_key"), "few-vectors")
     left = few.selectExpr("variant AS variant_a", "codes AS codes_1", "weights AS weights_1")
     right = few.selectExpr("variant AS variant_b", "codes AS codes_2", "weights AS weights_2")
     return sparse_cosine(left.join(right, F.lit(True)))
 
 
-def top_matches(pairs: DataFrame, k: int = 5) -> DataFrame:
-    """The k best partners of each ``entity_id_a``; only k rows per entity and task reach the shuffle."""
+def top_matches(table: SimilarityTable, k: int = 5) -> DataFrame:
+    """The k best partners of each entity among those with a larger id, best first; ties by pair id.
+
+    No table of entity pairs is made. Per text, its partner texts are ranked; ``k`` largest member ids of a partner tell how
+    many members of it, up to k, come after an entity. Partners behind the point where k are certain for the text's last
+    member are left out, then, per entity, those behind the point where k are certain for it. What remains is opened: all
+    members of small texts; of large ones, the k that come first in every stretch of ids after the entity's.
+    """
+    keys = list(table.keys)
+    node = [*keys, "text_key"]
+    last = f"row_number() OVER (PARTITION BY {', '.join(node)} ORDER BY entity_id DESC)"
+    largest = table.members.selectExpr(*node, "entity_id", f"{last} AS _r").where(f"_r <= {k}")
+    largest = largest.groupBy(*node).agg(F.expr("sort_array(collect_list(entity_id), false) AS ids"))  # at most k
+    counted = table.members.groupBy(*node).agg(F.expr("count(*) AS n"))
+    nodes = counted.alias("l").join(largest.alias("r"), F.expr(same_block("l", "r", node)))
+    nodes = written(nodes.selectExpr("l.*", "r.ids"), "text-members")
+
+    unequal = table.scores.where("text_1 <> text_2")
+    other_way = unequal.selectExpr(*keys, "text_2 AS text_1", "text_1 AS text_2", "cosine_similarity")
+    ways = table.scores.select(*keys, "text_1", "text_2", "cosine_similarity").unionByName(other_way)
+    known = ways.alias("s").join(nodes.alias("u"), F.expr(f"{same_block('s', 'u', keys)} AND s.text_2 = u.text_key"))
+    known = known.selectExpr("s.*", "u.ids AS ids", "u.n AS n").alias("s")
+    known = known.join(nodes.alias("t"), F.expr(f"{same_block('s', 't', keys)} AND s.text_1 = t.text_key"))
+    known = known.selectExpr("s.*", "size(filter(s.ids, x -> x > t.ids[0])) AS _sure")
+    partners = written(_until_certain(known, [*keys, "text_1"], "_sure", k), "partner-texts")
+
+    members, parts = _dealt(table)
+    near = F.expr(f"{same_block('s', 'm', keys)} AND s.text_1 = m.text_key AND s._part = m._group")
+    opened = _each_part(partners, parts, keys, "text_1").alias("s").join(members.alias("m"), near)
+    opened = opened.selectExpr("m.entity_id AS entity_id_a", *[f"s.{c}" for c in (*keys, "text_1", "text_2", "n", "cosine_similarity")], "size(filter(s.ids, x -> x > m.entity_id)) AS _sure")
+    opened = written(_until_certain(opened.where("_sure > 0"), ["entity_id_a"], "_sure", k), "opened-texts")
+
+    inside = F.expr(f"{same_block('o', 'm', keys)} AND o.text_2 = m.text_key AND m.entity_id > o.entity_id_a")
+    out = [*[f"o.{c}" for c in ("entity_id_a", "text_1", "text_2", "cosine_similarity")], "m.entity_id AS entity_id_b"]
+    small = opened.where(f"n <= {OPENED_WHOLE}").alias("o").join(table.members.alias("m"), inside).selectExpr(*out)
+    found = small.unionByName(_first_after(opened.where(f"n > {OPENED_WHOLE}"), table.members, nodes, keys, k))
+
+    # Pair ids begin with both entities' ids, so texts decide only between rows of the same two.
+    order = "PARTITION BY entity_id_a ORDER BY cosine_similarity DESC, concat(CAST(entity_id_b AS STRING), '||')"
+    best = found.selectExpr("*", f"rank() OVER ({order}) AS _rank").where(f"_rank <= {k}")
+    for side, key in (("a", "text_1"), ("b", "text_2")):
+        best = best.join(table.texts.selectExpr(f"text_key AS {key}", f"variant AS variant_{side}"), key)
+    best = best.withColumn("pair_id", F.concat_ws("||", "entity_id_a", "entity_id_b", "variant_a", "variant_b"))
     order = "PARTITION BY entity_id_a ORDER BY cosine_similarity DESC, pair_id"
-    ranked = pairs.where("entity_id_a <> entity_id_b").selectExpr("*", f"row_number() OVER ({order}) AS rank_within_entity_a")
-    return ranked.where(f"rank_within_entity_a <= {k}").orderBy("entity_id_a", "rank_within_entity_a")
+    ranked = best.selectExpr(*best.columns, f"row_number() OVER ({order}) AS rank_within_entity_a").where(f"rank_within_entity_a <= {k}")
+    return ranked.drop("text_1", "text_2", "_rank").orderBy("entity_id_a", "rank_within_entity_a")
+
+
+def _until_certain(rows: DataFrame, by: Sequence[str], sure: str, k: int) -> DataFrame:
+    """Rows of each group, nearest first, until those that are strictly nearer have ``k`` sure members."""
+    group = f"PARTITION BY {', '.join(by)}"
+    nearer = f"sum({sure}) OVER ({group} ORDER BY cosine_similarity DESC) - sum({sure}) OVER ({group}, cosine_similarity)"
+    return rows.selectExpr("*", f"{nearer} AS _nearer").where(f"_nearer < {k}").drop("_nearer", sure)
+
+
+def _first_after(opened: DataFrame, members: DataFrame, nodes: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Members of large texts after an entity: of every stretch of larger ids the ``k`` first in the order of pair ids.
+
+    Ids after a given one agree with it in their leading octal digits and have a larger digit next. For each text, leading
+    digits and digit the k first members are kept, so an entity meets at most 7k rows for each of the digits' places.
+    """
+    if dict(members.dtypes)["entity_id"] not in ("tinyint", "smallint", "int", "bigint"):
+        places = ordered_rank(members, "entity_id", "_place")
+        members = members.join(places, "entity_id")
+        opened = opened.join(places.withColumnRenamed("entity_id", "entity_id_a"), "entity_id_a")
+    else:
+        members = members.withColumn("_place", F.col("entity_id"))
+        opened = opened.withColumn("_place", F.col("entity_id_a"))
+    top = 63 // OCTAL_BITS
+    digits = [
+        f"CASE WHEN _level = {top} THEN 0 ELSE shiftrightunsigned(_bits, {OCTAL_BITS} * (_level + 1)) END AS _leading",
+        f"shiftrightunsigned(_bits, {OCTAL_BITS} * _level) & 7 AS _digit",
+    ]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        # Flipping the sign bit makes the unsigned digits follow the signed order.
+        levels = rows.selectExpr(*[c for c in rows.columns if c != "_place"], "CAST(_place AS BIGINT) ^ shiftleft(1L, 63) AS _bits", f"explode(sequence(0, {top})) AS _level")
+        return levels.selectExpr(*[c for c in levels.columns if c != "_bits"], *digits)
+
+    node = [*keys, "text_key"]
+    large = members.alias("l").join(nodes.where(f"n > {OPENED_WHOLE}").alias("r"), F.expr(same_block("l", "r", node)), "left_semi")
+    stretch = [*node, "_level", "_leading", "_digit"]
+    first = f"row_number() OVER (PARTITION BY {', '.join(stretch)} ORDER BY concat(CAST(entity_id AS STRING), '||'))"
+    firsts = placed(large.select(*node, "entity_id", "_place")).selectExpr("*", f"{first} AS _r").where(f"_r <= {k}").drop("_r")
+    # Many entities ask for the same large text: its few rows are there once for each of several parts.
+    firsts = firsts.selectExpr("*", f"explode(sequence(0, {ASKING_PARTS - 1})) AS _part")
+    asked = placed(opened).selectExpr("*", f"CAST(pmod(xxhash64(entity_id_a), {ASKING_PARTS}) AS INT) AS _part")
+    same = same_block("o", "m", [*keys, "_level", "_leading", "_part"])
+    after = asked.alias("o").join(firsts.alias("m"), F.expr(f"{same} AND o.text_2 = m.text_key AND m._digit > o._digit"))
+    return after.selectExpr(*[f"o.{c}" for c in ("entity_id_a", "text_1", "text_2", "cosine_similarity")], "m.entity_id AS entity_id_b")

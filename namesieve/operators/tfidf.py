@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from namesieve.functions.grams import UNICODE_BITS, char_grams, gram_code
+from namesieve.functions.grams import count_batches, gram_text, padded_words, weight_batches
 from namesieve.operators.ranking import one_row
 from namesieve.plans.storage import written
 
+#: Distinct grams whose frequencies go to every task (16 bytes each); of more, only those of the most frequent grams do.
+HELD_GRAMS = 1 << 20
+#: Beyond that a gram counts as frequent with more than this share of all rows (text, gram): there are at most so many.
+FREQUENT_SHARE = 1 / 4096
+
 
 def vocabulary(variants: DataFrame, text: str = "name_variant") -> DataFrame:
     """Distinct non-null texts: ``text_key`` (md5) and ``variant``, hash-partitioned by the key.
@@ -21,55 +29,94 @@ def vocabulary(variants: DataFrame, text: str = "name_variant") -> DataFrame:
     return texts.repartition(tasks, "text_key").groupBy("text_key").agg(F.first("variant").alias("variant"))
 
 
-def term_counts(texts: DataFrame) -> DataFrame:
-    """How often each gram occurs in each distinct text: ``text_key, gram, tf``.
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """One row per distinct text: ``text_key``, its distinct gram ``codes`` in order, and how often each occurs (``counts``).
 
-    ``texts`` comes hash-partitioned by key out of ``vocabulary``, which also serves this grouping,
-    so the far longer gram table is not shuffled.
+    A text's grams are counted where the text is, in one sort per batch, so there are no rows of single grams to shuffle.
     """
-    grams = texts.selectExpr("text_key", f"explode({char_grams('variant')}) AS gram")
-    return grams.groupBy("text_key", "gram").agg(F.expr("count(*) AS tf"))
+    words = texts.selectExpr("text_key", f"{padded_words('variant')} AS words")
+    return words.mapInArrow(count_batches, "text_key string, codes array<bigint>, counts array<int>")
 
 
-def document_frequencies(terms: DataFrame) -> DataFrame:
-    return terms.groupBy("gram").agg(F.count("*").alias("df"))
+def term_counts(texts: DataFrame) -> DataFrame:
+    """How often each gram occurs in each distinct text: ``text_key, gram, tf``."""
+    rows = gram_counts(texts).selectExpr("text_key", "inline(arrays_zip(codes, counts)) AS (code, tf)")
+    return rows.selectExpr("text_key", f"{gram_text('code')} AS gram", "CAST(tf AS BIGINT) AS tf")
+
 
+def code_frequencies(counts: DataFrame) -> DataFrame:
+    """``code`` and ``df``, the number of texts with it, from ``gram_counts``."""
+    return counts.selectExpr("explode(codes) AS code").groupBy("code").agg(F.count("*").alias("df"))
 
-def packed_vectors(texts: DataFrame, bits: int = UNICODE_BITS) -> DataFrame:
+
+def document_frequencies(texts: DataFrame) -> DataFrame:
+    """``gram`` and ``df``, the number of distinct texts that have it."""
+    return code_frequencies(gram_counts(texts)).selectExpr(f"{gram_text('code')} AS gram", "df")
+
+
+def packed_vectors(texts: DataFrame, held: int | None = None) -> DataFrame:
     """One row per text: ``text_key``, sorted gram codes and their unit-length weights.
 
     weight = tf * (ln((1 + texts) / (1 + df)) + 1), divided by the Euclidean norm of the text.
-    The table of grams is written, so that the planner knows its size when it chooses the join.
+
+    Grams are counted once and written. Up to ``held`` distinct grams, all frequencies go to every task and nothing is
+    shuffled. Beyond it those of the frequent grams do, whose number is bounded; the rows of the others, of which none has
+    many, meet their frequencies in a join.
     """
-    terms = term_counts(texts)
-    total = one_row(texts.agg(F.expr("count(*) AS n")))
-    weighted = (
-        terms.join(written(document_frequencies(terms), "document-frequencies"), "gram")
-        .withColumn("_total", total)
-        .selectExpr("text_key", "gram", f"{gram_code('gram', bits)} AS code", "tf * (ln((_total.n + 1) / (df + 1)) + 1) AS weight")
-    )
-    rows = weighted.groupBy("text_key").agg(F.expr("sort_array(collect_list(struct(code, gram, weight))) AS _e"))
-    norm = "sqrt(aggregate(_e, 0D, (acc, e) -> acc + e.weight * e.weight))"
-    bound = f"array(named_struct('e', _e, 'n', {norm}))"
-    return rows.selectExpr(
-        "text_key",
-        "_e.code AS codes",
-        "_e.gram AS grams",
-        f"get(transform({bound}, b -> transform(b.e, e -> e.weight / b.n)), 0) AS weights",
-    )
+    held = HELD_GRAMS if held is None else held
+    counts = written(gram_counts(texts), "gram-counts")
+    total = counts.count()
+    frequencies = written(code_frequencies(counts), "document-frequencies")
+    schema = "text_key string, codes array<bigint>, weights array<double>"
+    if frequencies.count() <= held:
+        return counts.mapInArrow(weight_batches(total, *_at_hand(frequencies)), schema)
+    rows = frequencies.agg(F.sum("df")).first()[0]
+    often = frequencies.where(F.col("df") > rows * FREQUENT_SHARE)  # fewer than 1 / FREQUENT_SHARE
+    rare = counts.selectExpr("text_key", "explode(codes) AS code").join(F.broadcast(often.select("code")), "code", "left_anti")
+    others = rare.join(frequencies, "code").groupBy("text_key").agg(F.collect_list(F.struct("code", "df")).alias("others"))
+    return counts.join(others, "text_key", "left").mapInArrow(weight_batches(total, *_at_hand(often)), schema)
+
+
+def _at_hand(frequencies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    table = frequencies.toArrow()
+    codes, df = np.asarray(table["code"]), np.asarray(table["df"])
+    order = np.argsort(codes)
+    return codes[order], df[order].astype(float)
 
 
 def tfidf_weights(texts: DataFrame) -> DataFrame:
     """Long form of the vectors: ``text_key, gram, weight``."""
-    vectors = packed_vectors(texts)
-    return vectors.selectExpr("text_key", "inline(arrays_zip(grams, weights)) AS (gram, weight)")
+    rows = packed_vectors(texts).selectExpr("text_key", "inline(arrays_zip(codes, weights)) AS (code, weight)")
+    return rows.selectExpr("text_key", f"{gram_text('code')} AS gram", "weight")
 
 
 def tfidf_shape(texts: DataFrame) -> DataFrame:
     """Rows and columns of the text-by-gram matrix, and whether every text has a row."""
-    terms = term_counts(texts)
-    rows = one_row(terms.agg(F.countDistinct("text_key").alias("n")))["n"]
-    grams = one_row(document_frequencies(terms).agg(F.count("*").alias("n")))["n"]
-    return texts.agg(F.count("*").alias("texts")).select(
+    counts = written(gram_counts(texts), "gram-counts")
+    rows = one_row(counts.where("size(codes) > 0").agg(F.count("*").alias("n")))["n"]
+    grams = one_row(code_frequencies(counts).agg(F.count("*").alias("n")))["n"]
+    return counts.agg(F.count("*").alias("texts")).select(
         rows.alias("rows"), grams.alias("vocabulary_size"), (rows == F.col("texts")).alias("rows_match_texts")
     )
+
+
+@dataclass(frozen=True)
+class GramIndex:
+    """Written tables for lookups of single texts.
+
+    ``vectors`` (``text_key, codes, weights``) is sorted by key and ``postings`` (``code, text_key, weight``) by gram code, so
+    a filter on either reads only the pages that can have it.
+    """
+
+    vectors: DataFrame
+    postings: DataFrame
+
+
+def gram_index(texts: DataFrame) -> GramIndex:
+    """The index of all ``texts``, made once for any number of lookups."""
+    vectors = packed_vectors(texts).repartitionByRange("text_key").sortWithinPartitions("text_key")
+    vectors = written(vectors, "text-vectors")
+    rows = vectors.selectExpr("inline(arrays_zip(codes, weights)) AS (code, weight)", "text_key").select("code", "text_key", "weight")
+    # By text as well: a frequent gram's postings are many, and many tasks.
+    postings = rows.repartitionByRange("code", "text_key").sortWithinPartitions("code", "text_key")
+    return GramIndex(vectors, written(postings, "postings"))

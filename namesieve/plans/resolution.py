@@ -27,11 +27,11 @@ def resolve(entities: DataFrame) -> Resolution:
     """Normalise, vary, block, score, classify. ``entities`` has one row per entity id."""
     normalized = naming.normalize_names(entities)
     variants = tables.written(naming.name_variants(normalized), "variants")
-    scores = tables.written(similarity.text_pair_scores(variants), "text-pair-scores")
-    thresholds = tables.written(decisions.similarity_thresholds(scores), "thresholds")
-    classified = decisions.classify(similarity.entity_pair_scores(scores, variants), thresholds)
+    table = similarity.similarity_table(variants)
+    thresholds = tables.written(decisions.similarity_thresholds(table.scores), "thresholds")
+    classified = similarity.named_pairs(decisions.classify(similarity.entity_pairs(table), thresholds), table)
     queue = decisions.review_queue(classified, thresholds)
-    return Resolution(normalized, variants, scores, thresholds, classified, queue)
+    return Resolution(normalized, variants, table.scores, thresholds, classified, queue)
 
 
 def compare_backends(variants: DataFrame, dense_vectors: DataFrame | None = None) -> DataFrame:

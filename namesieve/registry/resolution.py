@@ -373,7 +373,7 @@ def char_ngrams(spark, folder):
 
 @query(with_ctes("SELECT gram, df FROM df", *TFIDF[:-2]))
 def tfidf_df(spark, folder):
-    return tfidf.document_frequencies(tfidf.term_counts(_vocabulary(spark, folder)))
+    return tfidf.document_frequencies(_vocabulary(spark, folder))
 
 
 @query(with_ctes("SELECT md5(variant) AS text_key, gram, round(weight, 6) AS weight FROM vec", *TFIDF))
@@ -408,7 +408,8 @@ _SIM_OUT = "pair_id, entity_id_a, entity_id_b, variant_a, variant_b, country_cod
 
 @query(with_ctes(f"SELECT {_SIM_OUT} FROM sim", *SIM))
 def pair_cosine_tfidf(spark, folder):
-    return similarity.similarity_table(views.variants(spark, folder))[1]
+    table = similarity.similarity_table(views.variants(spark, folder))
+    return similarity.named_pairs(similarity.entity_pairs(table), table)
 
 
 _DENSE_PAIRS = (
@@ -439,8 +440,7 @@ def pair_cosine_dense(spark, folder):
 def top_neighbors(spark, folder):
     texts = written(_vocabulary(spark, folder), "vocabulary")
     demo = texts.agg(F.min("variant")).first()[0]
-    weights = written(tfidf.tfidf_weights(texts), "weights")  # the index that every lookup reads
-    return similarity.top_neighbors(weights, demo, texts, k=10)
+    return similarity.top_neighbors(tfidf.gram_index(texts), demo, texts, k=10)
 
 
 @query(
@@ -477,8 +477,8 @@ def similarity_matrix(spark, folder):
     )
 )
 def top_matches(spark, folder):
-    pairs = similarity.similarity_table(views.variants(spark, folder))[1]
-    return similarity.top_matches(pairs).select(
+    table = similarity.similarity_table(views.variants(spark, folder))
+    return similarity.top_matches(table).select(
         "entity_id_a", "entity_id_b", "variant_a", "variant_b", "cosine_similarity", "rank_within_entity_a"
     )
 
@@ -487,14 +487,15 @@ def top_matches(spark, folder):
 
 
 def _scores(spark, folder) -> DataFrame:
-    return similarity.similarity_table(views.variants(spark, folder))[0]
+    return similarity.similarity_table(views.variants(spark, folder)).scores
 
 
 def _classified(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Thresholds, classified text pairs and classified entity pairs from one written score table."""
-    scores, pairs = similarity.similarity_table(views.variants(spark, folder))
-    thresholds = decisions.similarity_thresholds(scores)
-    return thresholds, decisions.classify(scores, thresholds), decisions.classify(pairs, thresholds)
+    table = similarity.similarity_table(views.variants(spark, folder))
+    thresholds = decisions.similarity_thresholds(table.scores)
+    pairs = similarity.named_pairs(decisions.classify(similarity.entity_pairs(table), thresholds), table)
+    return thresholds, decisions.classify(table.scores, thresholds), pairs
 
 
 @query(with_ctes("SELECT * FROM lim", *SIM))
