@@ -39,8 +39,8 @@ def _decompositions() -> tuple[str, str, dict[str, str]]:
     """Compatibility decompositions without combining marks, from the Unicode database.
 
     Returns the two arguments of ``translate`` (one-to-one first, then the characters that
-    vanish) and the characters that become several. Hangul syllables only split into other
-    non-Latin letters and are left alone.
+    vanish) and the characters that become several. Hangul syllables are not among them: ``_jamo``
+    works them out.
     """
     single, gone, several = {}, [], {}
     for code in range(0x80, 0x30000):
@@ -59,8 +59,18 @@ def _decompositions() -> tuple[str, str, dict[str, str]]:
     return "".join(single) + "".join(gone), "".join(single.values()), several
 
 
+def _jamo(text: str) -> str:
+    """Hangul syllables as their two or three letters; a syllable's number has the places of all three."""
+    number = "(ascii(c) - 44032)"
+    letters = [f"4352 + {number} div 588", f"4449 + {number} % 588 div 28", f"4519 + {number} % 28"]
+    digits = [f"lpad(hex({x}), 4, '0')" for x in letters]
+    digits[2] = f"if({number} % 28 = 0, '', {digits[2]})"  # no last letter
+    split = f"decode(unhex(concat({', '.join(digits)})), 'UTF-16BE')"
+    return f"array_join(transform(split({text}, ''), c -> if(c >= '\uac00' AND c <= '\ud7a3', {split}, c)), '')"
+
+
 def strip_accents(text: str) -> str:
-    """Drop accents and compatibility forms: é→e, Ａ→A, ﬁ→fi; letters like ß stay."""
+    """Drop accents and compatibility forms: é→e, Ａ→A, ﬁ→fi; letters like ß stay; Hangul syllables become their letters."""
     matching, replacement, several = _decompositions()
     plain = f"translate({text}, {sql_string(matching)}, {sql_string(replacement)})"
     pairs = f"split({sql_string(chr(1).join(k + v for k, v in several.items()))}, {sql_string(chr(1))})"
@@ -71,7 +81,9 @@ def strip_accents(text: str) -> str:
     high = min(c for c in several if c >= "\u0100")
     maybe = sql_string(f"[{min(low)}-{max(low)}{high}-\U0010ffff]")
     rare = sql_string(f"[{_ranges(several)}]")
-    return f"CASE WHEN {text} RLIKE {maybe} AND {text} RLIKE {rare} THEN {expanded} ELSE {plain} END"
+    stripped = f"CASE WHEN {text} RLIKE {maybe} AND {text} RLIKE {rare} THEN {expanded} ELSE {plain} END"
+    syllables = sql_string("[\uac00-\ud7a3]")
+    return f"CASE WHEN {text} RLIKE {syllables} THEN {_jamo(f'({stripped})')} ELSE {stripped} END"
 
 
 def _ranges(chars) -> str:

@@ -48,7 +48,8 @@ def review_queue_json(evidence: DataFrame) -> DataFrame:
     """Review queue of each entity as JSON text, urgent items first.
 
     The items differ only in their priority, so two counts per entity carry the whole list and no
-    item is collected.
+    item is collected. The text grows with the queue: ``review_queue_runs`` is the form to work with, and
+    ``review_queue_parts`` writes long queues.
     """
     items = "concat(array_repeat('{{\"priority\": \"high\"}}', {0}), array_repeat('{{\"priority\": \"medium\"}}', {1}))".format(
         "CAST(review_items_high AS INT)", "CAST(review_items - review_items_high AS INT)"
@@ -56,6 +57,30 @@ def review_queue_json(evidence: DataFrame) -> DataFrame:
     return evidence_facts(evidence).selectExpr("entity_id", f"concat('[', array_join({items}, ', '), ']') AS review_queue_json")
 
 
+def review_queue_runs(evidence: DataFrame) -> DataFrame:
+    """Review queue of each entity as runs of equal items, urgent ones first: ``entity_id, runs`` of ``priority, n``.
+
+    However many items an entity has, its queue is two runs at most.
+    """
+    runs = "filter(array(struct('high' AS priority, review_items_high AS n), struct('medium' AS priority, review_items - review_items_high AS n)), r -> r.n > 0)"
+    return evidence_facts(evidence).selectExpr("entity_id", f"{runs} AS runs")
+
+
+def review_queue_parts(runs: DataFrame, items: int = 10_000) -> DataFrame:
+    """Runs written out for export as JSON lists of at most ``items`` items: ``entity_id, part`` (from 0), ``review_queue_json``.
+
+    Parts of one entity are rows of their own, so no task holds a whole long queue; an empty queue is one empty list.
+    """
+    placed = (
+        "transform(runs, (r, i) -> struct(r.priority AS priority, aggregate(slice(runs, 1, i), 0L, (acc, x) -> acc + x.n) AS first, r.n AS n))"
+    )
+    total = "aggregate(runs, 0L, (acc, r) -> acc + r.n)"
+    parts = runs.selectExpr("entity_id", f"{placed} AS _p", f"explode(sequence(0L, greatest(ceil({total} / {items}) - 1, 0L))) AS part")
+    here = f"greatest(0L, least(r.first + r.n, (part + 1) * {items}) - greatest(r.first, part * {items}))"
+    texts = f"flatten(transform(_p, r -> array_repeat(concat('{{\"priority\": \"', r.priority, '\"}}'), CAST({here} AS INT))))"
+    return parts.selectExpr("entity_id", "part", f"concat('[', array_join({texts}, ', '), ']') AS review_queue_json")
+
+
 def joined_facts(catalog: DataFrame, sources: DataFrame, evidence: DataFrame) -> DataFrame:
     """Catalog with both fact tables, missing values as they come. Each side has one row per entity."""
     return catalog.join(source_facts(sources), "entity_id", "left").join(evidence_facts(evidence), "entity_id", "left")

@@ -1,4 +1,4 @@
-"""Exact nearest neighbours by joins on cells around reference points."""
+"""Exact nearest neighbours by joins on cells around reference points, which form a tree of two levels."""
 
 from __future__ import annotations
 
@@ -28,11 +28,13 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None =
 
     Input: ``train(id, label, vector)`` and ``queries(query_id, vector)`` with arrays of doubles of one length.
 
-    Equal training vectors are one point with their k smallest ids, which is all that any query can need.
-    Points belong to the nearest of as many reference points as the root of their number, so cells stay small as the table grows. The cells around a query that hold k points
-    give a bound for its k-th neighbour. By the triangle inequality a nearer point lies in a cell no farther
-    than bound plus radius, and its distance to the reference point differs from the query's by at most the
-    bound; only such points are measured. Nothing is approximated.
+    Equal training vectors are one point with their k smallest ids, which is all that any query can need. Points lie in a
+    tree of reference points with two levels: the nearest top one, and the nearest one of those below it. Each level has as
+    many per node as the root of the number of cells, which is the root of the number of points, so a row meets some
+    fourth roots of points and no row keeps distances. The cells near a query that hold k points give a bound for its k-th
+    neighbour. By the triangle inequality a nearer point lies below a reference point no farther than bound plus radius, on
+    both levels, and its distance to the lower one differs from the query's by at most the bound; only such points are
+    measured. Nothing is approximated.
     """
     per_point = (
         train.selectExpr("id", "label", "vector", "row_number() OVER (PARTITION BY vector ORDER BY id) AS _copy")
@@ -45,45 +47,59 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, cells: int | None =
     size = shape["size"] or 0
     if cells is None:
         cells = max(1, math.isqrt(shape["n"]))
-    centres = per_point.orderBy(shuffle_key(seed, F.col("vector")), "vector").limit(cells)
-    centres = one_row(centres.agg(F.expr("collect_list(vector) AS vectors")))
-    to_centres = f"transform(_centres.vectors, c -> {distance('vector', 'c', size)})"
-    placed = written(
-        per_point.withColumn("_centres", centres)
-        .selectExpr("vector", "members", f"{to_centres} AS _d")
-        .selectExpr("vector", "members", "CAST(array_position(_d, array_min(_d)) AS INT) AS cell", "array_min(_d) AS near"),
-        "placed-points",
-    )
-    radii = placed.groupBy("cell").agg(F.expr("max(near) AS radius"), F.expr("sum(size(members)) AS points"))
-    radii = one_row(radii.agg(F.expr("collect_list(struct(cell, radius, points)) AS cells")))
-    by_distance = "array_sort(transform(_radii.cells, c -> struct(_d[c.cell - 1] AS d, c.cell AS cell, c.points AS points)))"
-    nearest = (
-        f"aggregate({by_distance}, struct(0L AS held, CAST(array() AS ARRAY<INT>) AS cells), "
-        f"(acc, b) -> if(acc.held >= {k}, acc, struct(acc.held + b.points AS held, concat(acc.cells, array(b.cell)) AS cells)), acc -> acc.cells)"
-    )
-    asked = written(
-        queries.withColumn("_centres", centres)
-        .withColumn("_radii", radii)
-        .selectExpr("query_id", "vector AS query", "_radii.cells AS _cells", "_radii", f"{to_centres} AS _d")
-        .selectExpr("query_id", "query", "_cells", "_d", f"{nearest} AS _first"),
-        "placed-queries",
-    )
-
-    def measured(of: DataFrame, condition: str = "true") -> DataFrame:
-        found = of.join(placed.withColumnRenamed("cell", "_cell"), F.expr(f"cell = _cell AND {condition}"))
+    tops, below = max(1, math.isqrt(cells)), max(1, -(-cells // max(1, math.isqrt(cells))))
+    by_chance = shuffle_key(seed, F.col("vector"))
+    high = one_row(per_point.orderBy(by_chance, "vector").limit(tops).agg(F.expr("collect_list(vector) AS vectors")))
+
+    def nearest(rows: DataFrame, reference: str, place: str, away: str) -> DataFrame:
+        """``rows`` with the place and the distance of the nearest vector of an array."""
+        measured = f"transform({reference}, (c, i) -> struct({distance('vector', 'c', size)} AS d, i AS i))"
+        kept = [c for c in rows.columns if not c.startswith("_")]
+        found = rows.selectExpr(*kept, f"array_min({measured}) AS _n")
+        return found.selectExpr(*kept, f"_n.i AS {place}", f"_n.d AS {away}")
+
+    topped = written(nearest(per_point.withColumn("_high", high), "_high.vectors", "top", "top_near"), "topped-points")
+    chosen = topped.withColumn("_key", by_chance).selectExpr("top", "vector", "row_number() OVER (PARTITION BY top ORDER BY _key, vector) AS _r")
+    chosen = chosen.where(f"_r <= {below}").groupBy("top").agg(F.expr("collect_list(vector) AS _low"))  # at most ``below`` entries
+    chosen = written(chosen, "lower-centres")
+    placed = written(nearest(topped.join(chosen, "top"), "_low", "low", "near"), "placed-points")
+
+    # The two levels with radii and sizes: fourth-root-many entries in one row for the top, in one per top node below it.
+    radii = placed.groupBy("top", "low").agg(F.expr("max(near) AS radius"), F.expr("sum(size(members)) AS points"))
+    low = chosen.selectExpr("top", "posexplode(_low) AS (low, centre)").join(radii, ["top", "low"])
+    low = low.groupBy("top").agg(F.expr("collect_list(struct(low, centre, radius, points)) AS _low"))
+    low = written(low, "lower-cells")
+    wide = placed.groupBy("top").agg(F.expr("max(top_near) AS radius"), F.expr("sum(size(members)) AS points"))
+    centres = per_point.sparkSession.range(1).withColumn("_high", high).selectExpr("posexplode(_high.vectors) AS (top, centre)")
+    top_cells = one_row(centres.join(wide, "top").agg(F.expr("collect_list(struct(top, centre, radius, points)) AS cells")))
+
+    def below_tops(rows: DataFrame, wanted: str) -> DataFrame:
+        """Each query with every lower cell of its wanted top nodes: ``top, low, away, radius, points``."""
+        kept = rows.columns
+        away = f"transform(_tops.cells, c -> struct(c.top AS top, {distance('query', 'c.centre', size)} AS d, c.radius AS radius, c.points AS points))"
+        each = rows.withColumn("_tops", top_cells).selectExpr(*kept, f"{away} AS _d").selectExpr(*kept, f"explode({wanted}) AS top")
+        cell = each.join(low, "top").selectExpr(*kept, "top", "explode(_low) AS _c")
+        return cell.selectExpr(*kept, "top", "_c.low", f"{distance('query', '_c.centre', size)} AS away", "_c.radius", "_c.points")
+
+    def measured(of: DataFrame, condition: str) -> DataFrame:
+        found = of.alias("q").join(placed.alias("p"), F.expr(f"q.top = p.top AND q.low = p.low AND {condition}"))
         found = found.selectExpr("query_id", f"round({distance('query', 'vector', size)}, {DIGITS}) AS distance", "inline(members)")
         found = found.selectExpr("*", "row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank")
         return found.where(f"rank <= {k}")
 
-    first = measured(asked.selectExpr("query_id", "query", "explode(_first) AS cell"))
-    bound = first.groupBy("query_id").agg(F.expr(f"max(distance) + {SLACK} AS bound"))
-    reachable = "filter(_cells, c -> _d[c.cell - 1] - c.radius <= bound)"
-    again = (
-        asked.join(bound, "query_id")
-        .selectExpr("query_id", "query", "bound", f"explode(transform({reachable}, c -> struct(c.cell, _d[c.cell - 1] AS away))) AS c")
-        .selectExpr("query_id", "query", "bound", "c.cell", "c.away")
+    asked = queries.selectExpr("query_id", "vector AS query")
+    enough = (
+        "aggregate(array_sort(transform(_d, c -> struct(c.d AS d, c.top AS top, c.points AS points))), "
+        "struct(0L AS held, CAST(array() AS ARRAY<INT>) AS tops), "
+        f"(acc, b) -> if(acc.held >= {k}, acc, struct(acc.held + b.points AS held, concat(acc.tops, array(b.top)) AS tops)), acc -> acc.tops)"
     )
-    return measured(again, "abs(away - near) <= bound")
+    before = "coalesce(sum(points) OVER (PARTITION BY query_id ORDER BY away, top, low ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    first = below_tops(asked, enough).selectExpr("*", f"{before} AS _held").where(f"_held < {k}")
+    bound = measured(first, "true").groupBy("query_id").agg(F.expr(f"max(distance) + {SLACK} AS bound"))
+    bounded = written(asked.join(bound, "query_id"), "bounded-queries")
+    reachable = "transform(filter(_d, c -> c.d - c.radius <= bound), c -> c.top)"
+    again = below_tops(bounded, reachable).where("away - radius <= bound")
+    return measured(again, "abs(q.away - p.near) <= q.bound")
 
 
 def vote(found: DataFrame) -> DataFrame:

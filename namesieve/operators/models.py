@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -23,6 +24,7 @@ from pyspark.util import inheritable_thread_target
 from namesieve.operators import knn
 from namesieve.operators.facts import LABEL
 from namesieve.operators.features import feature_pipeline
+from namesieve.operators.kernel import SIZE, RandomFourierFeatures, scaled_gamma
 from namesieve.operators.metrics import class_metrics, quality, ranking_metrics
 from namesieve.operators.ranking import one_row, shuffled_rank
 from namesieve.operators.splits import class_weights, stratified_folds
@@ -40,7 +42,7 @@ DEFAULTS = {
     "baseline_2_tree": {"max_depth": 3, "min_leaf": 50},
     "baseline_3_rf": {"trees": 100},
     "baseline_4_gb": {"rounds": 100},
-    "baseline_5_svm": {"C": 1.0},
+    "baseline_5_svm": {"C": 1.0, "size": SIZE},
     "baseline_6_knn": {"k": 5},
 }
 GRIDS = {
@@ -51,6 +53,8 @@ GRIDS = {
     "baseline_5_svm": {"C": [0.1, 1.0]},
     "baseline_6_knn": {"k": [3, 5, 7]},
 }
+LINEAR_MARGIN = "linear_svm"
+MARGIN = ("baseline_5_svm", LINEAR_MARGIN)
 ENSEMBLE = ("baseline_1_logreg", "baseline_2_tree", "baseline_3_rf")
 STACKING, VOTING = "ensemble_stacking", "ensemble_voting"
 
@@ -90,7 +94,7 @@ def _estimator(kind: str, params: dict, rows: int, label: str):
         return RandomForestClassifier(**common, numTrees=params["trees"], maxDepth=params.get("max_depth", DEEPEST), maxBins=MAX_BINS, seed=SEED)
     if kind == "baseline_4_gb":
         return GBTClassifier(**common, maxIter=params["rounds"], stepSize=0.1, maxDepth=3, maxBins=MAX_BINS, seed=SEED)
-    if kind == "baseline_5_svm":
+    if kind in MARGIN:
         return LinearSVC(**common, maxIter=100, regParam=1.0 / (params["C"] * max(rows, 1)), standardization=False)
     raise ValueError(f"unknown model: {kind}")
 
@@ -107,7 +111,7 @@ def predictor(model, score_column: str = "probability") -> Predictor:
 
 def fit_model(kind: str, train: DataFrame, params: dict | None = None, label: str = LABEL, rows: int | None = None):
     """Fit one kind of classifier on ``train`` (features, label, class_weight); returns (predictor, MLlib model or None)."""
-    params = {**DEFAULTS[kind], **(params or {})}
+    params = {**DEFAULTS["baseline_5_svm" if kind == LINEAR_MARGIN else kind], **(params or {})}
     if kind == "baseline_0_dummy":
         return majority_model(train, label), None
     if kind == "baseline_6_knn":
@@ -119,8 +123,15 @@ def fit_model(kind: str, train: DataFrame, params: dict | None = None, label: st
             return df.join(votes, ID)
 
         return predict, None
-    model = _estimator(kind, params, train.count() if rows is None else rows, label).fit(train)
-    return predictor(model, "rawPrediction" if kind == "baseline_5_svm" else "probability"), model
+    rows = train.count() if rows is None else rows
+    if kind == "baseline_5_svm":
+        gamma, inputs = scaled_gamma(train)
+        kernel = RandomFourierFeatures(inputs=inputs, gamma=gamma, size=params["size"], seed=SEED)
+        margin = _estimator(kind, params, rows, label).setFeaturesCol(kernel.getOutputCol()).fit(kernel.transform(train))
+        model = PipelineModel(stages=[kernel, margin])
+    else:
+        model = _estimator(kind, params, rows, label).fit(train)
+    return predictor(model, "rawPrediction" if kind in MARGIN else "probability"), model
 
 
 def soft_vote(df: DataFrame, scores: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from namesieve.operators.facts import LABEL
 from namesieve.operators.naming import metric_rows
 from namesieve.operators.ranking import exact_quantiles, one_row
+from namesieve.plans.storage import written
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 # Columns that give the label away or only identify a row.
@@ -39,17 +40,31 @@ def _as_text(df: DataFrame) -> DataFrame:
     )
 
 
+#: SQL of a 64-bit hash of ``value``, and of another one that tells values apart whose first hash is equal.
+FIRST_HASH, SECOND_HASH = "xxhash64(value)", "xxhash64(1, value)"
+
+
 def profile_columns(df: DataFrame, head: int | None = None) -> DataFrame:
     """Per column: type, nulls, distinct values, shares and whether it is constant; suspicious ones first.
 
-    All columns, or the first ``head`` of that order. Exact distinct counts need every value once:
-    One pass: each (column, value) is counted, equal values are combined before the shuffle.
+    All columns, or the first ``head`` of that order. Distinct counts are exact, but no cell's text is shuffled: cells are
+    counted by hash. Where cells of one hash have different second hashes, and only there, their texts are counted. Two
+    values that agree in both 64-bit hashes would be one.
     """
     names = df.columns
-    values = _as_text(df).unpivot([], names, "column", "value").groupBy("column", "value").agg(F.expr("count(*) AS n"))
+    cells = _as_text(df).unpivot([], names, "column", "value")
+    hashed = cells.selectExpr("column", f"if(value IS NULL, NULL, {FIRST_HASH}) AS h", f"if(value IS NULL, NULL, {SECOND_HASH}) AS g")
+    values = written(hashed.groupBy("column", "h").agg(F.expr("count(*) AS n"), F.expr("min(g) AS low"), F.expr("max(g) AS high")), "hashed-cells")
+    clashes = values.where("low <> high").select("column", "h")
+    unique = F.expr("count(h)")
+    if not clashes.isEmpty():
+        texts = cells.where("value IS NOT NULL").withColumn("h", F.expr(FIRST_HASH)).join(clashes, ["column", "h"], "left_semi").distinct()
+        more = texts.groupBy("column", "h").agg(F.expr("count(*) AS here"))
+        values = values.join(more, ["column", "h"], "left")
+        unique = F.expr("sum(if(h IS NULL, 0, coalesce(here, 1)))")
     per_column = values.groupBy("column").agg(
-        F.expr("coalesce(sum(CASE WHEN value IS NULL THEN n END), 0) AS null_count"),
-        F.expr("count(value) AS n_unique"),
+        F.expr("coalesce(sum(CASE WHEN h IS NULL THEN n END), 0) AS null_count"),
+        unique.alias("n_unique"),
         F.expr("sum(n) AS n_rows"),
     )
     types = "map({})".format(", ".join(f"'{c}', '{t}'" for c, t in df.dtypes))

@@ -28,6 +28,13 @@ def priority_from_counts(facts: DataFrame) -> DataFrame:
     return facts.selectExpr("*", f"{weight} AS priority_score_raw")
 
 
+def priority_from_runs(df: DataFrame, runs: str = "runs") -> DataFrame:
+    """The same weight from a run-length queue."""
+    weights = "map({})".format(", ".join(f"'{p}', {w}D" for p, w in PRIORITY_WEIGHTS.items()))
+    weight = f"coalesce(array_max(transform({runs}, r -> coalesce({weights}[r.priority], 0D))), 0D)"
+    return df.selectExpr("*", f"{weight} AS priority_score_raw")
+
+
 def risk_score(scored: DataFrame) -> DataFrame:
     """Add three min-max normalised parts, the finding ratio and their weighted sum."""
     parts = {

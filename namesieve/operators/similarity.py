@@ -6,14 +6,12 @@ import hashlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from namesieve.functions.pairdots import nearest_of_batches, score_batches, tile_scorer
+from namesieve.functions.pairdots import nearest_of_tile, score_batches, tile_scorer
 from namesieve.functions.vectors import dot, unit_length
 from namesieve.operators.blocking import (
     BLOCK_KEYS,
@@ -37,7 +35,8 @@ VECTOR_TILE_ROWS = 1024
 #: Members of a text that are one part; of a text with more members than the second number, only the first after an entity are opened.
 MEMBER_ROWS, OPENED_WHOLE = 4096, 64
 ASKING_PARTS = 8
-QUERY_BLOCK = 2048
+#: Queries and vectors of one tile, about.
+QUERY_BLOCK, VECTOR_BLOCK = 4096, 32_768
 
 
 def sparse_cosine(pairs: DataFrame) -> DataFrame:
@@ -244,27 +243,26 @@ def pushed_lists(spark: SparkSession, size: int) -> Iterator[None]:
 
 
 def top_neighbors_dense(vectors: DataFrame, query_ids: DataFrame, k: int = 10) -> DataFrame:
-    """The k nearest rows of ``vec_id, vector`` for each id of a query list, itself left out.
+    """The k nearest rows of ``vec_id, vector`` for each id of a query table, itself left out.
 
-    Queries go to the tasks in blocks of at most about ``QUERY_BLOCK``; each block is one pass over the vectors, a matrix
-    product per batch, of which k rows per query and batch leave the task. Vectors have one length; null ones take no part.
+    Queries and vectors are dealt into parts by hash, and each pair of parts is a tile: one matrix product in one task, of
+    which k rows per query leave. A query is copied once per part of the vectors and the other way round; the plan is the same
+    for any number of queries, and none comes to the driver. Vectors have one length; null ones take no part.
     """
     held = vectors.where("vector IS NOT NULL").select("vec_id", "vector")
     asked = written(held.join(query_ids.select("vec_id").distinct(), "vec_id", "left_semi"), "query-vectors")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    schema = f"query_id {dict(held.dtypes)['vec_id']}, neighbor_id {dict(held.dtypes)['vec_id']}, cosine_similarity double"
-    found = []
-    for block in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).collect()
-        if rows:
-            x = np.array([r["vector"] for r in rows], dtype=np.float64)
-            norm = np.sqrt((x * x).sum(axis=1))
-            unit = x / np.where(norm == 0, 1, norm)[:, None]
-            found.append(held.mapInArrow(nearest_of_batches([r["vec_id"] for r in rows], unit, k, DECIMALS), schema))
-    if not found:
-        return vectors.sparkSession.createDataFrame([], f"{schema}, rank int")
+    asked_parts, held_parts = max(1, -(-asked.count() // QUERY_BLOCK)), max(1, -(-held.count() // VECTOR_BLOCK))
+    place = "CAST(pmod(xxhash64(vec_id), {}) AS INT)"
+    each = "explode(sequence(0, {} - 1))"
+    left = asked.selectExpr("vec_id AS query_id", "vector AS query", f"{place.format(asked_parts)} AS _q", f"{each.format(held_parts)} AS _v")
+    right = held.selectExpr("vec_id", "vector", f"{place.format(held_parts)} AS _v", f"{each.format(asked_parts)} AS _q")
+    kind = dict(held.dtypes)["vec_id"]
+    tiles = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v"))
+
+    nearest = nearest_of_tile(k, DECIMALS)
+    found = tiles.applyInArrow(lambda q, v: nearest(q, v), f"query_id {kind}, neighbor_id {kind}, cosine_similarity double")
     order = "PARTITION BY query_id ORDER BY cosine_similarity DESC, neighbor_id"
-    return reduce(DataFrame.unionByName, found).selectExpr("*", f"row_number() OVER ({order}) AS rank").where(f"rank <= {k}")
+    return found.selectExpr("*", f"row_number() OVER ({order}) AS rank").where(f"rank <= {k}")
 
 
 def similarity_matrix(texts: DataFrame, first: int = 12) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namesieve.operators import importance, knn, models, splits
+from namesieve.operators import importance, models, splits
 from namesieve.operators.facts import LABEL, joined_facts
 from namesieve.operators.features import feature_names, feature_pipeline, impute_scale, route_columns
 from namesieve.operators.profiling import candidate_features
@@ -118,6 +118,40 @@ def feature_pipeline_query(spark, folder):
     )
 
 
+_SLOTS = [*NUMERIC, "review_items_high"]
+
+
+def _train(value: str) -> str:
+    return f"(SELECT {value} FROM splits WHERE split = 'train')"
+
+
+@query(
+    with_ctes(
+        " UNION ALL ".join(
+            [
+                f"SELECT entity_id, 'num__{c}' AS feature, round(({c} - {_train(f'avg({c})')}) / "
+                f"{_train(f'CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END')}, 6) + 0 AS value FROM splits"
+                for c in _SLOTS
+            ]
+            + [
+                f"SELECT entity_id, 'cat__{c}_' || v, CASE WHEN {c} = v THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
+                f"FROM splits, (SELECT DISTINCT {c} AS v FROM splits WHERE split = 'train')"
+                for c in CATEGORICAL
+            ]
+        ),
+        *SPLIT,
+    )
+)
+def feature_slots(spark, folder):
+    """Vector of every entity slot by slot, from the candidate columns routed by type."""
+    rows = written(splits.stratified_split(labelled_facts(spark, folder)), "labelled-facts")
+    names = [c for c in candidate_features(rows) if c != "split"]
+    vectors = feature_pipeline(rows.where("split = 'train'"), *route_columns(rows, names)).transform(rows)
+    slots = F.array(*map(F.lit, feature_names(vectors)))
+    each = vectors.select("entity_id", F.explode(F.arrays_zip(slots.alias("feature"), vector_to_array("features").alias("value"))).alias("s"))
+    return each.select("entity_id", F.col("s.feature").alias("feature"), (F.round("s.value", 6) + 0.0).alias("value"))
+
+
 # ---- single models -------------------------------------------------------------------------
 
 
@@ -148,31 +182,36 @@ for _name, _kind in (
     ("model_tree", "baseline_2_tree"),
     ("model_rf", "baseline_3_rf"),
     ("model_gbt", "baseline_4_gb"),
-    ("model_linear_svc", "baseline_5_svm"),
+    ("model_linear_svc", models.LINEAR_MARGIN),
+    ("model_kernel_svc", "baseline_5_svm"),
 ):
     QUERIES[_name] = _single(_kind)
 
-_VECTOR = "[sources_evaluated, sources_with_hallazgo, max_identity_score * 10, evidence_items, review_items]::DOUBLE[]"
+def _gap(column: str) -> str:
+    return f"pow((q.{column} - t.{column}) / (SELECT CASE WHEN stddev_pop({column}) > 0 THEN stddev_pop({column}) ELSE 1 END FROM splits WHERE split = 'train'), 2)"
+
+
+def _other(column: str) -> str:
+    """Squared distance of the slots of two categories: an unseen one has none."""
+    seen = f"q.{column} IN (SELECT {column} FROM splits WHERE split = 'train')"
+    return f"CASE WHEN q.{column} = t.{column} THEN 0 WHEN {seen} THEN 2 ELSE 1 END"
 
 
 @query(
     with_ctes(
         "SELECT query_id, round(avg(label), 6) AS y_score, CAST(avg(label) > 0.5 AS INT) AS y_pred FROM (SELECT q.entity_id AS query_id, "
-        f"t.{LABEL}::DOUBLE AS label, row_number() OVER (PARTITION BY q.entity_id ORDER BY round(sqrt(list_sum(list_transform("
-        "range(1, 6), lambda i: (q.v[i] - t.v[i]) * (q.v[i] - t.v[i])))), 9), t.entity_id) AS r FROM points q JOIN points t "
-        "ON q.split = 'test' AND t.split = 'train') WHERE r <= 5 GROUP BY query_id",
+        f"t.{LABEL}::DOUBLE AS label, row_number() OVER (PARTITION BY q.entity_id ORDER BY round(sqrt("
+        + " + ".join([*map(_gap, NUMERIC), *map(_other, CATEGORICAL)])
+        + "), 9), t.entity_id) AS r FROM splits q JOIN splits t ON q.split = 'test' AND t.split = 'train') WHERE r <= 5 GROUP BY query_id",
         *SPLIT,
-        ("points", f"SELECT *, {_VECTOR} AS v FROM splits"),
     )
 )
 def model_knn(spark, folder):
-    """Vote of the five nearest training entities for each test entity."""
-    vector = f"CAST(array({', '.join(c + (' * 10' if c == 'max_identity_score' else '') for c in NUMERIC)}) AS ARRAY<DOUBLE>) AS vector"
-    rows = split_rows(spark, folder)
-    train = rows.where("split = 'train'").selectExpr("entity_id AS id", f"{LABEL} AS label", vector)
-    asked = rows.where("split = 'test'").selectExpr("entity_id AS query_id", vector)
-    voted = knn.vote(knn.neighbours(train, asked, 5))
-    return voted.selectExpr("query_id", "round(y_score, 6) AS y_score", "y_pred")
+    """Vote of the five nearest training entities for each test entity, on the vectors of the fitted feature steps."""
+    data = written(prepared(spark, folder), "prepared")
+    predict, _ = models.fit_model("baseline_6_knn", data.where("split = 'train'"))
+    voted = predict(data.where("split = 'test'"))
+    return voted.selectExpr("entity_id AS query_id", "round(y_score, 6) AS y_score", "y_pred")
 
 
 # ---- comparisons ---------------------------------------------------------------------------
@@ -269,6 +308,36 @@ def importance_permutation(spark, folder):
     )
 
 
+def _fitted_importances(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Importances of the linear model, the tree and the permutations, written: several results read them."""
+    rows = split_rows(spark, folder)
+    steps, data = models.prepared_rows(rows, NUMERIC, CATEGORICAL)
+    data = written(data, "prepared")
+    predict, _ = models.fit_model("baseline_1_logreg", data.where("split = 'train'"))
+    _, tree = models.fit_model("baseline_2_tree", data.where("split = 'train'"))
+    by_tree = importance.importance_table(spark, feature_names(data), tree.featureImportances.toArray(), "tree_importance")
+    permuted = importance.permutation_importance(
+        rows.where("split = 'validation'"), [*NUMERIC, *CATEGORICAL], lambda df: predict(steps.transform(df)), LABEL, "entity_id"
+    )
+    return _linear(data), by_tree, written(permuted, "permutation-importance")
+
+
+@query()
+def fitted_importance_consensus(spark, folder):
+    """Votes of the three fitted importances for the columns of the entity facts."""
+    return importance.importance_consensus(*_fitted_importances(spark, folder))
+
+
+@query()
+def fitted_irrelevant_features(spark, folder):
+    """Columns of the entity facts that none of the three fitted importances sees; a column counts by its best slot."""
+    linear, tree, permuted = _fitted_importances(spark, folder)
+    base = importance.base_feature_name("feature", short=True)
+    linear = linear.groupBy(F.expr(base).alias("feature")).agg(F.max("abs_coef").alias("abs_coef"))
+    tree = tree.groupBy(F.expr(base).alias("feature")).agg(F.max("tree_importance").alias("tree_importance"))
+    return importance.irrelevant_features(linear, tree, permuted)
+
+
 @query()
 def learning_curve(spark, folder):
     return models.learning_curve(split_rows(spark, folder).where("split = 'train'"), NUMERIC, CATEGORICAL)

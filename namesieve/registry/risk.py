@@ -97,6 +97,32 @@ def review_queue_json(spark, folder):
     return facts.review_queue_json(views.evidence(spark, folder))
 
 
+_ITEMS = (
+    f"SELECT entity_id, CASE WHEN {_SCORE} >= 0.8::DOUBLE THEN 'high' ELSE 'medium' END AS priority FROM evd WHERE entity_id IS NOT NULL AND {_REVIEW}"
+)
+
+
+@query(with_ctes(f"SELECT entity_id, priority, count(*) AS n FROM ({_ITEMS}) GROUP BY entity_id, priority", *ctes("evd")))
+def review_queue_runs(spark, folder):
+    """Review queues as runs, a row per run."""
+    return facts.review_queue_runs(views.evidence(spark, folder)).selectExpr("entity_id", "inline(runs)")
+
+
+@query(
+    with_ctes(
+        "SELECT entity_id, CAST(part AS BIGINT) AS part, '[' || string_agg('{\"priority\": \"' || priority || '\"}', ', ' ORDER BY priority) || ']' "
+        "AS review_queue_json FROM (SELECT *, (row_number() OVER (PARTITION BY entity_id ORDER BY priority) - 1) // 3 AS part FROM items) "
+        "GROUP BY entity_id, part UNION ALL SELECT DISTINCT entity_id, 0, '[]' FROM evd WHERE entity_id IS NOT NULL AND entity_id NOT IN "
+        "(SELECT entity_id FROM items)",
+        *ctes("evd"),
+        ("items", _ITEMS),
+    )
+)
+def review_queue_parts(spark, folder):
+    """Review queues as text in parts of three items."""
+    return facts.review_queue_parts(facts.review_queue_runs(views.evidence(spark, folder)), items=3)
+
+
 # ---- risk score ----------------------------------------------------------------------------
 
 _JSON_FORMS = (

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from namesieve.plans.storage import shared_folder, written
@@ -28,11 +29,43 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Fal
     """CSV with a header row, quoted text and empty fields as null.
 
     Columns are taken by their header names, so files may hold more columns or another order. ``multi_line`` allows
-    line breaks inside quoted texts; each file is then one task, however large, so it is for files known to need it.
+    line breaks inside quoted texts; a file is many tasks then as well, see ``quoted_records``.
     ``position`` names a column with the place of each row, by which rows follow the order of file names and lines.
     """
-    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
-    return _typed(spark.read.options(**options).option("inferSchema", False).csv(path), schema, position)
+    options = {"header": True, "quote": '"', "escape": '"'}
+    if not multi_line:
+        return _typed(spark.read.options(**options).option("inferSchema", False).csv(path), schema, position)
+    # Only the header is read with whole files as tasks, and of it the first record.
+    names = spark.read.options(**options, multiLine=True).csv(path).columns
+    parsing = {"quote": '"', "escape": '"', "multiLine": "true"}
+    records = quoted_records(spark, path).where("record > 1 AND text <> ''")
+    parsed = records.select(F.from_csv("text", ", ".join(f"`{c}` STRING" for c in names), parsing).alias("_r"), "place")
+    return _typed(parsed.select("_r.*", "place"), schema, position, "place")
+
+
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of text files whose quoted texts may hold line breaks: ``file, record`` (from 1), ``text``, ``place``.
+
+    Files are read in blocks of lines. The quotes of each block are counted first; an odd number before a line says that it
+    starts inside a quoted text, so it belongs to the record of the line before it, in whatever block that is. Quotes inside
+    a text are doubled, which keeps the count. A record's lines meet in one task, so a block's records are found in many.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).selectExpr("value AS line", f"{PLACE} AS place", "length(value) - length(replace(value, '\"', '')) AS quotes")
+    lines = lines.selectExpr("line", "place", "quotes", "place.file AS file", "place.block AS block")
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+    def before(rows: DataFrame, value: str, name: str) -> DataFrame:
+        """Running total of ``value`` before each line of its file: that of the blocks before, a row each, and inside the block."""
+        sums = rows.groupBy("file", "block").agg(F.expr(f"sum({value}) AS _n"))
+        sums = sums.selectExpr("file", "block", f"coalesce(sum(_n) OVER (PARTITION BY file ORDER BY block {earlier}), 0) AS _before")
+        inside = rows.selectExpr("*", f"coalesce(sum({value}) OVER (PARTITION BY file, block ORDER BY place {earlier}), 0) AS _inside")
+        return inside.join(sums, ["file", "block"]).selectExpr(*[c for c in rows.columns], f"_before + _inside AS {name}")
+
+    counted = before(lines, "quotes", "quotes_before").withColumn("starts", F.expr("CAST(quotes_before % 2 = 0 AS INT)"))
+    numbered = before(counted.drop("quotes", "quotes_before"), "starts", "starts_before").selectExpr("file", "place", "line", "starts_before + starts AS record")
+    joined = numbered.groupBy("file", "record").agg(F.expr("array_sort(collect_list(struct(place, line))) AS l"))
+    text = F.expr("rtrim('\r', array_join(transform(l, x -> x.line), '\n'))")
+    return joined.select("file", "record", text.alias("text"), F.expr("l[0].place").alias("place"))
 
 
 def read_parquet(spark: SparkSession, path: str, schema: str, position: str | None = None) -> DataFrame:
@@ -46,11 +79,11 @@ def read_input(spark: SparkSession, path: str, schema: str, position: str | None
     return read(spark, path, schema, position=position)
 
 
-def _typed(table: DataFrame, schema: str, position: str | None) -> DataFrame:
+def _typed(table: DataFrame, schema: str, position: str | None, place: str = PLACE) -> DataFrame:
     wanted = StructType.fromDDL(schema)
     require_columns(table, wanted.fieldNames())
     columns = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in wanted.fields]
-    return table.selectExpr(*columns, *([f"{PLACE} AS `{position}`"] if position else []))
+    return table.selectExpr(*columns, *([f"{place} AS `{position}`"] if position else []))
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
