@@ -8,6 +8,8 @@ its id, so the draw is the same wherever and whenever it is made.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,8 +204,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents drawn; columns as before."""
+    """The documents drawn; columns as before.
+
+    Rows are told apart by id, text, source and language: different texts under one id are drawn each at its own rate.
+    """
     columns = docs.columns
-    light = written(_weighed(docs.drop("tokens", "topic")).select("doc_id", "source", "lang", "topic", "tokens"), "mix-docs")
-    drawn = mix(light).where("drawn").select("doc_id").distinct()
-    return docs.join(drawn, docs["doc_id"].eqNullSafe(drawn["doc_id"]), "left_semi").select(*columns)
+    rows = docs.withColumn("__node", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    light = written(_weighed(rows.drop("tokens", "topic")).select("doc_id", "__node", "source", "lang", "topic", "tokens"), "mix-docs")
+    ident = ["doc_id", "__node", "source", "lang"]
+    drawn = mix(light).where("drawn").select(*(F.col(c).alias(f"__drawn_{c}") for c in ident)).distinct()
+    same = [rows[c].eqNullSafe(drawn[f"__drawn_{c}"]) for c in ident]
+    return rows.join(drawn, reduce(Column.__and__, same), "left_semi").select(*columns)

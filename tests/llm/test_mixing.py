@@ -65,7 +65,15 @@ def test_draws_follow_rates_and_targets(spark):
     assert again.count() == sum(r["count"] for r in rows)
 
 
-def test_small_values_are_pooled(spark):
+def test_texts_under_one_id_are_drawn_each_at_its_rate(spark):
+    rows = [(i, f"{kind} words number {i}", "en", kind, 10) for i in range(600) for kind in ("hot", "rare")]
+    rows += [(10_000 + i, f"more hot words {i}", "en", "hot", 10) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r["source"]: r["count"] for r in mixing.mixing_stage(spark, docs, "").where("doc_id < 600").groupBy("source").count().collect()}
+    assert kept["rare"] == 600 and kept["hot"] < 500
+
+
+def test_equal_small_values_get_one_rate(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "if(id < 1500, 'big', concat('tiny', id)) AS source", "'en' AS lang", "'t' AS topic", "10L AS tokens")
     rates = {(r["source"] == "big", r["rate"]) for r in mixing.mix(docs).collect()}
     assert len(rates) == 2
