@@ -1,9 +1,9 @@
 """Best-fit packing with exact-complement hashing.
 
 Only lengths decide what fits, so the plan needs no more than how many pieces there are of each length: at most as many
-numbers as a sequence has tokens, counted over all pieces. Single, pair and triple length sums are looked up in hashed sets
-of the lengths still available; a combination that fills the gap of the longest open length exactly is used as often as its
-counts allow, and best fit takes the rest. Pieces then meet the plan by their rank within their length, which has two
+numbers as a sequence has tokens, counted over all pieces. Pair and triple sums of the available lengths are indexed by their
+sum; a single length, pair or triple that fills the gap of the longest open length exactly is used as often as its counts
+allow, and best fit takes the rest. Pieces then meet the plan by their rank within their length, which has two
 levels (hash groups and ranks inside a group), so that a length shared by most pieces is still many tasks.
 """
 
@@ -91,74 +91,108 @@ def tokenized(docs: DataFrame, path: str, longest: int = LONGEST, end_id: int =
     return docs.mapInArrow(run, schema)
 
 
-def _pair(have: np.ndarray, total: int, most: int) -> tuple[int, int] | None:
-    """Two available lengths with this sum, the larger as large as can be."""
-    high = min(most, total - 1)
-    low = (total + 1) // 2
-    if high < low:
+class Sums:
+    """Index of the pair and triple sums of the available lengths, for sums below ``longest``.
+
+    ``pairs[s]`` holds the larger lengths of the pairs that sum to ``s`` and ``triples[s]`` the lengths that leave a pair sum to
+    ``s``, ascending. Counts only fall, so an entry that is used up is taken out when it is met, once. With d different
+    lengths there are at most d * longest entries of each kind, however many pieces there are.
+    """
+
+    def __init__(self, have: list[int], longest: int):
+        self.have = have
+        lengths = [x for x in range(1, longest) if have[x]]
+        self.pairs: dict[int, list[int]] = {}
+        self.triples: dict[int, list[int]] = {}
+        for high in lengths:
+            for low in lengths[: bisect.bisect_right(lengths, min(high, longest - 1 - high))]:
+                self.pairs.setdefault(high + low, []).append(high)
+        sums = sorted(self.pairs)
+        for x in lengths:
+            for two in sums[: bisect.bisect_right(sums, longest - 1 - x)]:
+                self.triples.setdefault(x + two, []).append(x)
+
+    def pair(self, total: int) -> tuple[int, int] | None:
+        """Two available lengths with this sum, the larger as large as can be."""
+        entries = self.pairs.get(total, [])
+        while entries:
+            high, low = entries[-1], total - entries[-1]
+            if self.have[high] and self.have[low] and (high != low or self.have[high] > 1):
+                return high, low
+            entries.pop()
         return None
-    a = np.arange(high, low - 1, -1)
-    ok = (have[a] > 0) & (have[total - a] > 0) & ((2 * a != total) | (have[a] > 1))
-    at = int(np.argmax(ok))
-    return (int(a[at]), int(total - a[at])) if ok[at] else None
-
-
-def _complement(have: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap``; fewer and larger ones first."""
-    if have[gap] > 0:
-        return (gap,)
-    if two := _pair(have, gap, gap - 1):
-        return two
-    for a in range(gap - 2, (gap + 2) // 3 - 1, -1):
-        if have[a] > 0:
-            have[a] -= 1
-            two = _pair(have, gap - a, a)
-            have[a] += 1
-            if two:
-                return (a, *two)
-    return None
 
+    def triple(self, total: int) -> tuple[int, int, int] | None:
+        """Three available lengths with this sum, the largest as large as can be."""
+        entries = self.triples.get(total, [])
+        while entries:
+            x = entries[-1]
+            if self.have[x]:
+                rest = total - x
+                for high in reversed(self.pairs[rest] if self.pair(rest) else ()):
+                    needs = (x, high, rest - high)
+                    if all(self.have[y] >= needs.count(y) for y in needs):
+                        return needs
+            entries.pop()
+        return None
 
-def plan(counts: dict[int, int], longest: int = LONGEST) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths in one sequence) and how many sequences have each; together they use every count.
+    def complement(self, gap: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths that sum to ``gap``; fewer and larger ones first."""
+        return (gap,) if self.have[gap] else self.pair(gap) or self.triple(gap)
+
+
+def _use(have: list[int], used: tuple[int, ...]) -> int:
+    """Takes ``used`` off the counts as often as they allow; how often that is."""
+    times = min(have[x] // used.count(x) for x in set(used))
+    for x in used:
+        have[x] -= times
+    return times
+
+
+def exact(have: list[int], longest: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of up to four lengths that fill sequences without a gap, taken off the counts in ``have``.
 
-    The longest length left is filled by an exact complement for as long as there is one. What no complement fits is best
-    fit: each sequence takes the longest length left that goes in, again and again, many like sequences at a time.
+    Lengths are filled from the longest on, each by complements from the index until there is none. A combination was seen
+    at its longest member, so none of up to four lengths is left that would fill a sequence.
     """
-    have = np.zeros(longest + 1, dtype=np.int64)
-    for length, n in counts.items():
-        have[length] = n
-    out: list[tuple[tuple[int, ...], int]] = []
-    open_ones: list[tuple[int, int]] = []
-    for length in range(longest, 0, -1):
-        if length == longest:
-            if have[length]:
-                out.append(((length,), int(have[length])))
-            have[length] = 0
-            continue
-        while have[length] > 0:
+    out = [((longest,), have[longest])] if have[longest] else []
+    have[longest] = 0
+    sums = Sums(have, longest)
+    for length in range(longest - 1, 0, -1):
+        while have[length]:
             have[length] -= 1  # the one to be filled is not its own partner
-            found = _complement(have, longest - length)
+            found = sums.complement(longest - length)
             have[length] += 1
             if found is None:
                 break
             used = (length, *found)
-            times = min(int(have[x]) // used.count(x) for x in set(used))
-            have[list(set(used))] -= [times * used.count(x) for x in set(used)]
-            out.append((used, times))
-    left = [int(x) for x in np.flatnonzero(have)]
+            out.append((used, _use(have, used)))
+    return out
+
+
+def best_fit(have: list[int], longest: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns for all that is left: each sequence takes the longest length that goes in, again and again."""
+    out = []
+    left = [x for x in range(1, longest + 1) if have[x]]
     while left:
         used, room = [], longest
         while (at := bisect.bisect_right(left, room)) and (fits := [x for x in left[:at] if have[x] > used.count(x)]):
             used.append(fits[-1])
             room -= fits[-1]
-        times = min(int(have[x]) // used.count(x) for x in set(used))
-        have[list(set(used))] -= [times * used.count(x) for x in set(used)]
-        out.append((tuple(used), times))
+        out.append((tuple(used), _use(have, tuple(used))))
         left = [x for x in left if have[x]]
     return out
 
 
+def plan(counts: dict[int, int], longest: int = LONGEST) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns (lengths in one sequence) and how many sequences have each; together they use every count.
+
+    Exact complements first, as often as the counts allow; what none fits is best fit, many like sequences at a time.
+    """
+    have = [counts.get(x, 0) for x in range(longest + 1)]
+    return exact(have, longest) + best_fit(have, longest)
+
+
 def _slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:
     """For each length, in the order in which its pieces are dealt out: first rank, first sequence and place of each slot."""
     slots: dict[int, list[tuple[int, int, int]]] = {}

@@ -1,4 +1,5 @@
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -37,6 +38,33 @@ def test_plan_uses_every_piece_once_and_few_sequences(counts):
     assert sequences <= 2 * -(-tokens // 40) + 1
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 6), max_size=12))
+def test_no_exact_combination_is_left(counts):
+    have = [counts.get(x, 0) for x in range(31)]
+    patterns = packing.exact(have, 30)
+    assert all(sum(used) == 30 and len(used) <= 4 and times > 0 for used, times in patterns)
+    for x in range(1, 31):
+        assert have[x] + sum(used.count(x) * times for used, times in patterns) == counts.get(x, 0)
+    pieces = [x for x in range(1, 31) for _ in range(min(have[x], 4))]
+    assert not any(sum(some) == 30 for k in (1, 2, 3, 4) for some in set(combinations(pieces, k)))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 3), max_size=15), st.integers(1, 39))
+def test_index_finds_what_a_search_finds(counts, total):
+    have = [counts.get(x, 0) for x in range(41)]
+    pieces = [x for x in range(1, 41) for _ in range(have[x])]
+
+    def first(k):
+        return max((tuple(sorted(some, reverse=True)) for some in set(combinations(pieces, k)) if sum(some) == total), default=None)
+
+    sums = packing.Sums(have, 40)
+    assert sums.triple(total) == first(3)
+    assert sums.pair(total) == first(2)
+    assert sums.complement(total) == (first(1) or first(2) or first(3))
+
+
 def test_exact_complements_leave_no_gap():
     assert sum(t for _, t in packing.plan({700: 10, 324: 10}, 1024)) == 10
     assert sum(t for _, t in packing.plan({500: 4, 300: 4, 224: 4}, 1024)) == 4
