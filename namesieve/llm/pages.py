@@ -78,9 +78,15 @@ class Page:
     def _read(self, html: str) -> None:
         stack, at, size = [0], 0, len(html)
 
+        depths: dict[str, list[int]] = {}  # of the open elements of a tag, so that no tag walks the open ones
+
+        def deepest(tags) -> int:
+            return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+
         def close(depth: int) -> None:
-            for node in stack[depth:]:
+            for node in reversed(stack[depth:]):
                 self.last[node] = len(self.tags) - 1
+                depths[self.tags[node]].pop()
             del stack[depth:]
 
         while at < size:
@@ -100,19 +106,12 @@ class Page:
             if tag not in INLINE:
                 self.block += 1
             if m[1] or m[4]:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.tags[stack[depth]] == tag:
-                        close(depth)
-                        break
-                continue
-            shut = _CLOSES.get(tag, ())
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = self.tags[stack[depth]]
-                if open_tag in shut or open_tag == "p" and tag not in INLINE:
+                if depth := deepest((tag,)):
                     close(depth)
-                    break
-                if open_tag in _HOLDS:
-                    break
+                continue
+            shut = _CLOSES.get(tag, frozenset()) | (frozenset() if tag in INLINE else {"p"})
+            if shut and (depth := deepest(shut)) and depth >= deepest(_HOLDS):
+                close(depth)
             node = self._open(stack, tag, m[3] or m[6] or "")
             if tag in VOID:
                 continue
@@ -120,6 +119,7 @@ class Page:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else size
                 continue
+            depths.setdefault(tag, []).append(len(stack))
             stack.append(node)
         close(1)
 
@@ -255,7 +255,7 @@ def extract(pages: DataFrame, least_pages: int = 5, least_articles: int = 20, he
     """Main text of every page: ``page_id``, ``url``, ``text``, ``n_chars``, one row per row of ``pages`` (``page_id``, ``url``, ``html``).
 
     Null html is empty and has an empty text; a null or odd url belongs to the empty host. Broken markup is read as browsers
-    would: unclosed elements end with their container. Repeated rows give repeated results, an empty table none; other
+    would: unclosed elements end with their container, and deep or unclosed markup takes linear time. Repeated rows give repeated results, an empty table none; other
     columns are ignored.
     """
     pages = pages.select("page_id", "url", "html")

@@ -106,3 +106,11 @@ def test_odd_rows_and_empty_table(spark):
     assert len(found) == 6 and {r["text"] for r in found if r["page_id"] in (1, 2)} == {""}
     assert [r["n_chars"] for r in found if r["page_id"] == 3] == [999_999]
     assert pages.extract(table.limit(0)).count() == 0
+
+
+def test_deep_markup_takes_linear_time(spark):
+    n = 100_000
+    sources = ["<b>x" * n, "<div>x</i>" * n, "<article>" + "<p>x<td>" * n, "<ul>" * n + "<li>x" * n + "</ul>" * n]
+    found = extracted(spark, sources)
+    assert found[0] == "x" * n
+    assert found[1] == found[2] == found[3] == "\n".join("x" * n)
