@@ -1,232 +1,281 @@
-"""Language-model scores of whole texts by context-tree weighting over the bytes of their tokens.
+"""Language-model scores of whole texts by context-tree weighting over their bytes.
 
-Contexts start anew at each token (its start is the farthest context), so a token's probability depends on its bytes alone
-and is worked out once for each distinct token, however often it occurs. The steps, each a Spark job over all texts:
+A text is coded as its lower-cased tokens, each with a blank after it, and an end. The context of a byte are the bytes before
+it in the text, across tokens; before the start there are zeros. The steps, each a Spark job over all texts:
 
-1. Texts become bags of tokens: pieces of some megabytes, each with its distinct tokens and, per document, their counts.
-2. Token counts of the training texts are summed over all pieces; each distinct token knows the pieces that wait for it.
-3. Distinct tokens give grams (a byte and its context) with counts. Grams are grouped by their nearest three context bytes,
-   which makes deep subtrees local to a task; the shallow levels are sums of sums, the last two bounded at 256 contexts.
-4. Each gram gets its probability, each token the sum over its grams, each document the sum over its tokens. Joins are on
-   distinct values per block, never per occurrence.
+1. Texts become pieces of some megabytes. A piece asks for its distinct tokens and for its distinct grams (a byte and its
+   context), with their occurrences in training texts, in packed lists dealt to buckets.
+2. Tokens and grams are summed bucket by bucket; a bucket that many pieces ask is several parts.
+3. Distinct grams are grouped by their nearest three context bytes, which makes deep subtrees local to a task; the shallow
+   levels are sums of sums, the last two bounded at 256 contexts. Each gram gets its probability.
+4. Each list is answered in its order, and a piece adds up its texts. Nothing is joined per occurrence.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namesieve.llm import contexttree as ct
-from namesieve.llm.texts import LOWER, chunks, owners, segment_hashes, word_bounds
+from namesieve.llm.texts import LOWER, SPACES, Chunk, chunks, owners, segment_hashes, word_bounds
 from namesieve.plans.storage import written
 
 DEPTH, LOCAL_FROM = 6, 3
-PIECE_BYTES = 8 << 20
-BLOCK_TOKENS, BUCKET_GRAMS = 100_000, 100_000
-#: Pieces in one row of a token at most; more are several rows.
-LIST_MOST = 1 << 16
+#: Text in a piece, packed lists in a part of a bucket, and text whose square root is the number of buckets.
+PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20, 1 << 18
+BUCKET_GRAMS = 100_000
+BLOCK, MERGE_GRAMS = 1 << 20, 1 << 21
 START, END = 0x20, 0x0A
-#: The end of a text: one byte that no token holds.
-END_TOKEN = bytes([END])
+#: Zero bytes before each text, so that a window of eight bytes ends at each of its bytes.
+PAD = 7
 
 
-def _packed(values: np.ndarray) -> pa.Array:
-    """One binary cell: 32-bit numbers, compressed."""
-    raw = values.astype("<u4").tobytes()
-    return pa.array([len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)], pa.binary())
+def _zipped(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
 
 
-def _unpacked(cell: pa.Scalar) -> np.ndarray:
-    raw = cell.as_py()
-    return np.frombuffer(pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True), dtype="<u4")
+def _unzipped(cell: bytes) -> bytes:
+    size = int.from_bytes(cell[:8], "little")
+    return pa.decompress(cell[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
 
 
-class _Bags:
-    """Collects chunks of texts into one piece: distinct tokens by hash, and per document which it has and how often."""
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as one compressed cell, their first bytes first."""
+    return _zipped(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes())
 
-    def __init__(self) -> None:
-        self.hashes: list[np.ndarray] = []
-        self.tokens: list[pa.Array] = []
-        self.train: list[np.ndarray] = []
-        self.which: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
+
+def _unpacked(cell: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(_unzipped(cell), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _keys(cell: bytes) -> np.ndarray:
+    """An ascending list of grams, packed as steps."""
+    return np.cumsum(_unpacked(cell, np.uint64), dtype=np.uint64)
+
+
+def _tokens(data: bytes, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text_of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ``n`` texts as they are coded, each after ``PAD`` zeros and a blank, and how many are coded of each text."""
+    size = ends - starts + 1
+    lengths = np.bincount(text_of, size, n).astype(np.int64) + 1
+    begin = np.cumsum(lengths + PAD + 1) - (lengths + PAD + 1)
+    line = np.full(int(lengths.sum()) + (PAD + 1) * n, START, dtype=np.uint8)
+    line[(begin[:, None] + np.arange(PAD)).ravel()] = 0
+    line[begin + PAD + lengths] = END
+    solid = np.flatnonzero(~SPACES[data])
+    line[solid + np.repeat(np.cumsum(size) - size + (PAD + 2) * text_of + PAD + 1 - starts, ends - starts)] = data[solid]
+    return line, lengths
+
+
+def grams_of(line: np.ndarray, lengths: np.ndarray, depth: int = DEPTH) -> Iterator[np.ndarray]:
+    """The grams of all coded bytes in order, some at a time: ``depth`` bytes before, nearest highest, and the byte lowest."""
+    begin = np.cumsum(lengths + PAD + 1) - (lengths + PAD + 1)
+    coded_at = np.ones(len(line), dtype=bool)
+    coded_at[(begin[:, None] + np.arange(PAD + 1)).ravel()] = False
+    window = np.ndarray(len(line) - PAD, dtype="<u8", buffer=line, strides=(1,))
+    low, byte = np.uint64((1 << 56) - 1), np.uint64(8)
+    for at in range(0, len(window), BLOCK):
+        eight = window[at : at + BLOCK][coded_at[at + PAD : at + PAD + BLOCK]]
+        yield (eight & low) >> np.uint64(8 * (PAD - depth)) << byte | eight >> np.uint64(56)
+
+
+def _parsed(chunk: Chunk, data: np.ndarray) -> tuple[np.ndarray, ...]:
+    starts, ends = word_bounds(chunk)
+    text_of = owners(starts, chunk.offsets).astype(np.int64)
+    return starts, ends, text_of, segment_hashes(data, starts, ends), *coded(data, starts, ends, text_of, chunk.n)
+
+
+#: Spreads a number below 2^24 over 35 bits; the same in NumPy and in SQL.
+_SPREAD = 1540483477
+_NEAR = 8 * (DEPTH + 1 - LOCAL_FROM)
+
+
+def _gram_bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
+    return ((gram >> np.uint64(_NEAR)) * np.uint64(_SPREAD) >> np.uint64(20)) % np.uint64(buckets)
+
+
+def gram_bucket(gram: Column, buckets: int) -> Column:
+    """Bucket of a gram, by its nearest three context bytes."""
+    return F.pmod(F.shiftright(F.shiftrightunsigned(gram, _NEAR) * F.lit(_SPREAD).cast("long"), 20), F.lit(buckets)).cast("int")
+
+
+def _dealt(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by bucket, kept inside each, and where buckets begin in it."""
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=bucket.dtype))
+
+
+class _Piece:
+    """Collects chunks of texts: their bytes, and distinct tokens and grams with their occurrences in training texts."""
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
         self.ids: list[pa.Array] = []
+        self.data: list[bytes] = []
+        self.sizes: list[np.ndarray] = []
         self.held: list[np.ndarray] = []
+        self.hashes: list[np.ndarray] = []
+        self.tokens: list[pa.Array] = []
+        self.trained: list[np.ndarray] = []
+        self.grams: list[tuple[np.ndarray, np.ndarray]] = []
         self.bytes = 0
 
-    def add(self, chunk, ids: pa.Array, held: np.ndarray) -> None:
+    def add(self, chunk: Chunk, ids: pa.Array, held: np.ndarray) -> None:
         data = LOWER[chunk.data]
-        starts, ends = word_bounds(chunk)
-        text_of = owners(starts, chunk.offsets)
-        hashes, first, inverse = np.unique(segment_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        pairs, counts = np.unique(text_of.astype(np.int64) << 32 | inverse, return_counts=True)
-        doc, local = pairs >> 32, pairs & 0xFFFFFFFF
-        train = np.bincount(local[~held[doc]], counts[~held[doc]], len(hashes)) if len(pairs) else np.zeros(0)
+        starts, ends, text_of, word, line, lengths = _parsed(chunk, data)
+        hashes, first, inverse = np.unique(word, return_index=True, return_inverse=True)
         at, size = starts[first], ends[first] - starts[first]
         where = np.arange(int(size.sum())) + np.repeat(at - (np.cumsum(size) - size), size)
-        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        self.tokens.append(pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[where])]))
+        self.tokens.append(_tokens(data[where].tobytes(), size))
         self.hashes.append(hashes)
-        self.train.append(train.astype(np.int64))
-        self.which.append(local + sum(map(len, self.hashes[:-1])))
-        self.counts.append(counts)
-        self.sizes.append(np.bincount(doc, minlength=chunk.n))
-        self.lengths.append(np.bincount(text_of, ends - starts + 1, chunk.n).astype(np.int64))
+        self.trained.append(np.bincount(inverse, ~held[text_of], len(hashes)).astype(np.int64))
+        learned, done = np.repeat(~held, lengths), 0
+        for gram in grams_of(line, lengths):
+            own = learned[done : done + len(gram)]
+            done += len(gram)
+            seen, n = np.unique(gram[own], return_counts=True)
+            other = np.unique(gram[~own])
+            self.grams += [(seen, n), (other, np.zeros(len(other), dtype=np.int64))]
+            if sum(len(x) for x, _ in self.grams[1:]) > MERGE_GRAMS:
+                self.grams = [_merged(self.grams)]
         self.ids.append(ids)
+        self.data.append(data.tobytes())
+        self.sizes.append(np.diff(chunk.offsets))
         self.held.append(held)
         self.bytes += len(data)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
+        """A row with the texts, then one per bucket of tokens and of grams."""
         if not self.ids:
             return
+        piece, held = random.getrandbits(62), np.concatenate(self.held)
+        texts = ["text", 0, pa.concat_arrays(self.ids), _zipped(b"".join(self.data)), _packed(held), _packed(np.concatenate(self.sizes)), int((~held).sum())]
         hashes, first, inverse = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
-        train = np.bincount(inverse, np.concatenate(self.train), len(hashes)).astype(np.int64)
-        which = inverse[np.concatenate(self.which)] if len(inverse) else np.zeros(0, dtype=np.int64)
-        sizes = np.concatenate(self.sizes)
-        # Tokens of a document are in ascending order: steps are small numbers.
-        steps = np.diff(which, prepend=0)
-        first_of = (np.cumsum(sizes) - sizes)[sizes > 0]
-        steps[first_of] = which[first_of]
-        tokens = pa.concat_arrays(self.tokens).take(pa.array(first))
+        trained = np.bincount(inverse, np.concatenate(self.trained), len(hashes)).astype(np.int64)
+        order, bounds = _dealt(hashes % np.uint64(self.buckets), self.buckets)
+        tokens = pa.concat_arrays(self.tokens).take(pa.array(first[order]))
+        sizes = np.asarray(pc.binary_length(tokens)).astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        data = memoryview(tokens.buffers()[2] or b"")
+        rows = [texts]
+        for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
+            if i < j:
+                rows.append(["token", b, None, _zipped(bytes(data[ends[i] : ends[j]])), _packed(trained[order[i:j]]), _packed(sizes[i:j]), 0])
+        gram, n = _merged(self.grams)
+        order, bounds = _dealt(_gram_bucket(gram, self.buckets), self.buckets)
+        for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
+            if i < j:
+                rows.append(["gram", b, None, _packed(np.diff(gram[order[i:j]], prepend=np.uint64(0))), _packed(n[order[i:j]]), None, 0])
+        kinds, buckets, ids, a, n, c, docs = zip(*rows)
+        ends = np.concatenate([[0], np.cumsum([len(x) if x is not None else 0 for x in ids])]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([random.getrandbits(62)]),
-                pa.ListArray.from_arrays([0, sum(map(len, self.ids))], pa.concat_arrays(self.ids)),
-                _packed(np.concatenate(self.held)),
-                _packed(sizes),
-                _packed(np.concatenate(self.lengths)),
-                _packed(steps),
-                _packed(np.concatenate(self.counts)),
-                _packed(train),
-                pa.ListArray.from_arrays([0, len(tokens)], tokens),
-                pa.array([int((~np.concatenate(self.held)).sum())]),
-            ],
-            names=["piece", "ids", "held", "sizes", "lengths", "steps", "counts", "train", "tokens", "train_docs"],
+            [pa.array(kinds), pa.array([piece] * len(rows)), pa.array(buckets, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), ids[0]), pa.array(a, pa.binary()), pa.array(n, pa.binary()), pa.array(c, pa.binary()), pa.array(docs, pa.int64())],
+            names=["kind", "piece", "bucket", "ids", "keys", "train", "sizes", "train_docs"],
         )
 
 
-def bags(docs: DataFrame) -> DataFrame:
-    """One row per piece of ``docs`` (``doc_id``, ``text``, ``held_out``)."""
+def _merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return ct.summed(np.concatenate([x for x, _ in lists]), np.concatenate([n for _, n in lists]))
+
+
+def pieces(docs: DataFrame, buckets: int, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Texts of ``docs`` (``doc_id``, ``text``, ``held_out``) in pieces, and what each asks for, as rows of three kinds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bag = _Bags()
+        piece = _Piece(buckets)
         for batch in batches:
             held = np.asarray(batch.column("held_out").to_pylist(), dtype=bool)
             for chunk in chunks(batch.column("text")):
-                bag.add(chunk, batch.column("doc_id").slice(chunk.first, chunk.n), held[chunk.first : chunk.first + chunk.n])
-                if bag.bytes >= PIECE_BYTES:
-                    yield from bag.rows()
-                    bag = _Bags()
-        yield from bag.rows()
+                piece.add(chunk, batch.column("doc_id").slice(chunk.first, chunk.n), held[chunk.first : chunk.first + chunk.n])
+                if piece.bytes >= piece_bytes:
+                    yield from piece.rows()
+                    piece = _Piece(buckets)
+        yield from piece.rows()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"piece bigint, ids array<{kind}>, held binary, sizes binary, lengths binary, steps binary, counts binary, train binary, tokens array<binary>, train_docs bigint")
+    return docs.mapInArrow(run, f"kind string, piece bigint, bucket int, ids array<{kind}>, keys binary, train binary, sizes binary, train_docs bigint")
 
 
-WORDS = "token binary, n bigint, weight bigint, pieces array<bigint>, places array<int>"
+def _parted(asks: DataFrame, part_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """``asks`` with the ``part`` of its bucket, and ``parts`` of each bucket: as many rows as buckets, at most."""
+    held = F.sum(F.length("keys") + F.length("train") + F.coalesce(F.length("sizes"), F.lit(0)))
+    parts = written(asks.groupBy("bucket").agg(F.ceil(held / part_bytes).cast("int").alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("piece"), F.col("parts")).cast("int").alias("part")
+    return asks.join(F.broadcast(parts), "bucket").select("bucket", part, "piece", "keys", "train", "sizes"), parts
 
 
-def vocabulary(pieces: DataFrame) -> DataFrame:
-    """Every distinct ``token`` of all texts with ``n``, its occurrences in training texts, and where its score is wanted.
+def gram_totals(asks: DataFrame) -> DataFrame:
+    """``gram`` and ``n``: the distinct grams of all texts, with their occurrences in training texts."""
 
-    ``pieces`` and ``places`` say in which pieces, at which of their tokens; a token of very many pieces has several rows.
-    ``weight`` is ``n`` in the first of its rows and 0 in others.
-    """
+    def add(part: pa.Table) -> pa.Table:
+        lists = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
+        for keys, train in zip(part["keys"], part["train"]):
+            lists.append((_keys(keys.as_py()), _unpacked(train.as_py(), np.int64)))
+            if sum(len(x) for x, _ in lists[1:]) > MERGE_GRAMS:
+                lists = [_merged(lists)]
+        gram, n = _merged(lists)
+        return pa.table([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                tokens, train = batch.column("tokens")[row].values, _unpacked(batch.column("train")[row])
-                piece = np.full(len(tokens), batch.column("piece")[row].as_py(), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([tokens, pa.array(train.astype(np.int64)), pa.array(piece), pa.array(np.arange(len(tokens), dtype=np.int32))], names=["token", "n", "piece", "place"])
+    return asks.groupBy("bucket", "part").applyInArrow(add, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
-            starts = _starts(table["token"])
-            if len(starts) > 1:
-                yield from rows(table.slice(0, starts[-1]), starts[:-1])
-                table = table.slice(starts[-1])
-            rest = table
-        if rest is not None and rest.num_rows:
-            yield from rows(rest, _starts(rest["token"]))
-
-    def rows(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        total = np.add.reduceat(np.asarray(table["n"]), starts)
-        ends = np.append(starts[1:], table.num_rows)
-        parts = -(-(ends - starts) // LIST_MOST)
-        of = np.repeat(np.arange(len(starts)), parts)
-        part = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = starts[of] + part * LIST_MOST
-        bounds = pa.array(np.append(begin, table.num_rows).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(bounds, table[c].combine_chunks()) for c in ("piece", "place")]
-        token = table["token"].combine_chunks().take(pa.array(starts[of]))
-        yield pa.RecordBatch.from_arrays([token, pa.array(total[of]), pa.array(np.where(part == 0, total[of], 0)), *lists], names=["token", "n", "weight", "pieces", "places"])
-
-    spread_out = pieces.select("piece", "train", "tokens").mapInArrow(spread, "token binary, n bigint, piece bigint, place int")
-    return spread_out.repartition("token").sortWithinPartitions("token").mapInArrow(gather, WORDS)
-
-
-def _starts(tokens: pa.ChunkedArray) -> np.ndarray:
-    """First row of each run of equal tokens."""
-    tokens = tokens.combine_chunks()
-    same = np.asarray(pc.equal(tokens[1:], tokens[:-1]))
-    return np.flatnonzero(np.r_[True, ~same.astype(bool)])
-
-
-def grams_of(tokens: pa.Array, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of each token's bytes and of the blank after it, and the index of the token of each; the end token is one gram."""
-    raw = tokens.cast(pa.large_binary())
-    offsets = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset : raw.offset + len(raw) + 1]
-    data = np.frombuffer(raw.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-    size = np.diff(offsets)
-    is_end = (size == 1) & (data[np.minimum(offsets[:-1] - offsets[0], max(len(data) - 1, 0))] == END) if len(data) else np.zeros(len(size), dtype=bool)
-    # Each token with a blank on either side, in one row of bytes.
-    line = np.full(len(data) + 2 * len(size), START, dtype=np.uint64)
-    begin = offsets[:-1] - offsets[0] + 2 * np.arange(len(size))
-    place = np.arange(len(data)) + np.repeat(2 * np.arange(len(size)) + 1, size)
-    line[place] = data
-    owner = np.repeat(np.arange(len(size)), size + 2)
-    since = np.arange(len(line)) - begin[owner]
-    keep = np.flatnonzero((since > 0) & ~(is_end[owner] & (since > 1)))
-    since = since[keep]
-    gram = line[keep].copy()
-    for k in range(1, depth + 1):
-        gram |= np.where(since >= k, line[keep - np.minimum(k, since)], np.uint64(0)) << np.uint64(8 * (depth + 1 - k))
-    return gram, owner[keep]
-
-
-def grams(words: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``gram`` and ``n``: the distinct grams of all tokens, with their occurrences in training texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)]
-        fresh: list = []
-        for batch in batches:
-            gram, owner = grams_of(batch.column("token"), depth)
-            fresh.append(ct.summed(gram, np.asarray(batch.column("weight"))[owner]))
-            if sum(len(x) for x, _ in fresh) > 1 << 19:
-                held = ct.summed(np.concatenate([held[0], *(x for x, _ in fresh)]), np.concatenate([held[1], *(n for _, n in fresh)]))
-                fresh = []
-                if len(held[0]) > 1 << 20:
-                    yield out(*held)
-                    held = [np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)]
-        yield out(*ct.summed(np.concatenate([held[0], *(x for x, _ in fresh)]), np.concatenate([held[1], *(n for _, n in fresh)])))
+def token_totals(asks: DataFrame) -> DataFrame:
+    """``bucket``, ``token`` and ``n``: the distinct tokens of all texts, with their occurrences in training texts."""
+
+    def add(part: pa.Table) -> pa.Table:
+        total = pa.table([pa.array([], pa.binary()), pa.array([], pa.int64())], names=["token", "n"])
+        fresh = [total]
+        for k in range(part.num_rows):
+            data, train, sizes = (part[c][k].as_py() for c in ("keys", "train", "sizes"))
+            fresh.append(pa.table([_tokens(_unzipped(data), _unpacked(sizes, np.int32)), pa.array(_unpacked(train, np.int64))], names=["token", "n"]))
+            if k == part.num_rows - 1 or sum(x.num_rows for x in fresh[1:]) > MERGE_GRAMS:
+                total = pa.concat_tables(fresh).group_by("token").aggregate([("n", "sum")]).select(["token", "n_sum"]).rename_columns(["token", "n"])
+                fresh = [total]
+        return total.add_column(0, "bucket", pa.array(np.full(total.num_rows, part["bucket"][0].as_py(), dtype=np.int32)))
+
+    return asks.groupBy("bucket", "part").applyInArrow(add, "bucket int, token binary, n bigint").groupBy("bucket", "token").agg(F.sum("n").alias("n"))
+
+
+ANSWERS = "piece bigint, kind string, bucket int, answer binary"
 
-    def out(gram: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
-    return words.select("token", "weight").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+def _answered(part: pa.Table, kind: str, answers: list[bytes]) -> pa.Table:
+    return pa.table([part["piece"], pa.array([kind] * part.num_rows, pa.string()), part["bucket"], pa.array(answers, pa.binary())], names=["piece", "kind", "bucket", "answer"])
+
+
+def gram_answers(asks: DataFrame, scores: DataFrame) -> DataFrame:
+    """For each list of grams their log probabilities, in its order; ``scores`` has the ``part`` of the lists."""
+
+    def answer(part: pa.Table, known: pa.Table) -> pa.Table:
+        order = np.argsort(np.asarray(known["gram"]).view(np.uint64))
+        gram, log_p = np.asarray(known["gram"]).view(np.uint64)[order], np.asarray(known["log_p"])[order].astype(np.float32)
+        return _answered(part, "gram", [_packed(log_p[np.searchsorted(gram, _keys(x.as_py()))]) for x in part["keys"]])
+
+    return asks.groupBy("bucket", "part").cogroup(scores.groupBy("bucket", "part")).applyInArrow(answer, ANSWERS)
+
+
+def token_answers(asks: DataFrame, totals: DataFrame) -> DataFrame:
+    """For each list of tokens their occurrences in training texts, in its order; ``totals`` has the ``part`` of the lists."""
+
+    def answer(part: pa.Table, known: pa.Table) -> pa.Table:
+        token, n = known["token"].combine_chunks(), np.asarray(known["n"])
+        lists = (_tokens(_unzipped(x.as_py()), _unpacked(sizes.as_py(), np.int32)) for x, sizes in zip(part["keys"], part["sizes"]))
+        return _answered(part, "token", [_packed(n[np.asarray(pc.index_in(x, value_set=token))]) for x in lists])
+
+    return asks.groupBy("bucket", "part").cogroup(totals.groupBy("bucket", "part")).applyInArrow(answer, ANSWERS)
 
 
 NODES = "bucket int, node bigint, zeros bigint, ones bigint, log_p double"
@@ -320,80 +369,87 @@ def gram_scores(table: DataFrame) -> DataFrame:
     return table.groupBy("bucket").cogroup(upper.groupBy("bucket")).applyInArrow(score, "gram bigint, log_p double")
 
 
-def word_scores(words: DataFrame, scored: DataFrame) -> DataFrame:
-    """``piece``, ``place``, ``n`` and ``score`` (log10) of every token where it is wanted, from its grams' probabilities."""
-    blocks = max(1, -(-words.count() // BLOCK_TOKENS))
-    words = words.withColumn("block", F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int"))
-
-    def asked(part: pa.Table) -> pa.Table:
-        gram = np.unique(grams_of(part["token"].combine_chunks())[0])
-        return pa.table([pa.array(np.full(len(gram), part["block"][0].as_py(), dtype=np.int32)), pa.array(gram.view(np.int64))], names=["block", "gram"])
-
-    def add(part: pa.Table, known: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(known["gram"]).view(np.uint64))
-        key, log_p = np.asarray(known["gram"]).view(np.uint64)[order], np.asarray(known["log_p"])[order]
-        gram, owner = grams_of(part["token"].combine_chunks())
-        total = np.bincount(owner, log_p[np.searchsorted(key, gram)], part.num_rows) / ct.LN10
-        pieces, places = part["pieces"].combine_chunks(), part["places"].combine_chunks()
-        row = np.repeat(np.arange(part.num_rows), np.asarray(pieces.value_lengths()))
-        return pa.table([pieces.flatten(), places.flatten(), pa.array(np.asarray(part["n"])[row]), pa.array(total[row])], names=["piece", "place", "n", "score"])
-
-    wanted = words.select("block", "token").groupBy("block").applyInArrow(asked, "block int, gram bigint").join(scored, "gram")
-    return words.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(add, "piece bigint, place int, n bigint, score double")
+def _received(found: pa.Table, kind: str, number) -> np.ndarray:
+    """The answers of one kind, in the order of their buckets."""
+    mine = found.filter(pc.equal(found["kind"], kind)).sort_by("bucket")
+    return np.concatenate([np.zeros(0, dtype=number), *(_unpacked(x.as_py(), number) for x in mine["answer"])])
 
 
-def ctw_scores(docs: DataFrame) -> DataFrame:
-    """Scores of ``docs`` (``doc_id``, ``text``, ``held_out``) under a model of the tokens of those not held out.
+def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Scores of ``docs`` (``doc_id``, ``text``, ``held_out``) under a model of the texts of those not held out.
 
     One row per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score`` and ``bits_per_byte`` (code length of the tokens, with a blank after each and the end, per byte). A null or
     empty text is its end alone; a null ``held_out`` counts as held out; with no training text every estimate is even odds.
     Repeated rows are scored each, and count each as training; an empty table gives no row.
     """
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce("held_out", F.lit(True)).alias("held_out"))
-    pieces = written(bags(docs), "bags")
-    train_docs = int(pieces.agg(F.sum("train_docs")).first()[0] or 0)
-    ends = spark.createDataFrame([(bytearray(END_TOKEN), train_docs, train_docs, [], [])], WORDS)
-    words = written(vocabulary(pieces).unionByName(ends), "tokens")
-    known = words.where("weight > 0").agg(F.sum("weight"), F.count("*")).first()
-    total, distinct = int(known[0] or 0), int(known[1])
-    scored = written(gram_scores(written(grams(words), "grams")), "gram-scores")
-    # The end is one gram: its byte after the start.
-    end_gram = int(grams_of(pa.array([END_TOKEN], pa.binary()))[0].view(np.int64)[0])
-    end_score = float(scored.where(F.col("gram") == end_gram).first()["log_p"]) / ct.LN10
-
-    def settle(bag: pa.Table, found: pa.Table) -> pa.Table:
-        sizes, lengths, steps, counts, held = (_unpacked(bag[c][0]).astype(np.int64) for c in ("sizes", "lengths", "steps", "counts", "held"))
-        place = np.asarray(found["place"])
-        n, log_p = np.zeros(len(place), dtype=np.int64), np.full(len(place), np.nan)
-        n[place], log_p[place] = np.asarray(found["n"]), np.asarray(found["score"])
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        runs = np.cumsum(steps)
-        first_of = np.cumsum(sizes) - sizes
-        which = runs - (runs - steps)[np.minimum(first_of, max(len(steps) - 1, 0))][doc] if len(steps) else steps
-        base = np.log10((n + 1.0) / (total + distinct + 1.0))
-        add = lambda x, last: np.bincount(doc, counts * x[which], len(sizes)) + last
-        score = add(log_p, end_score)
+    size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    buckets = max(1, math.isqrt(size // BUCKET_BYTES))
+    rows = written(pieces(docs, buckets, piece_bytes), "pieces")
+    texts = rows.where("kind = 'text'").select("piece", "ids", "keys", "train", "sizes")
+    train_docs = int(rows.where("kind = 'text'").agg(F.sum("train_docs")).first()[0] or 0)
+    tokens, token_parts = _parted(rows.where("kind = 'token'"), part_bytes)
+    grams, gram_parts = _parted(rows.where("kind = 'gram'"), part_bytes)
+    spread = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+
+    totals = written(token_totals(tokens), "tokens")
+    known = totals.where("n > 0").agg(F.sum("n"), F.count("*")).first()
+    total, distinct = int(known[0] or 0) + train_docs, int(known[1]) + (train_docs > 0)
+    scored = gram_scores(written(gram_totals(grams), "grams")).withColumn("bucket", gram_bucket(F.col("gram"), buckets))
+    answers = gram_answers(grams, scored.join(F.broadcast(gram_parts), "bucket").select("bucket", spread, "gram", "log_p")).unionByName(
+        token_answers(tokens, totals.join(F.broadcast(token_parts), "bucket").select("bucket", spread, "token", "n"))
+    )
+
+    def settle(piece: pa.Table, found: pa.Table) -> pa.Table:
+        data, sizes = _unzipped(piece["keys"][0].as_py()), _unpacked(piece["sizes"][0].as_py(), np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        column = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        words, bytes_ = [], []
+        for chunk in chunks(column):
+            _, _, text_of, word, line, lengths = _parsed(chunk, chunk.data)
+            words.append((*np.unique(word, return_inverse=True), text_of))
+            distinct_here = [np.unique(gram, return_inverse=True) for gram in grams_of(line, lengths)]
+            bytes_.append(([(gram, at.astype(np.int32)) for gram, at in distinct_here], lengths))
+
+        def table(parts: list[np.ndarray], bucket, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            key = np.unique(np.concatenate(parts))
+            out = np.empty(len(key), dtype=values.dtype)
+            out[_dealt(bucket(key), buckets)[0]] = values
+            return key, out
+
+        token, n = table([x for x, _, _ in words], lambda x: x % np.uint64(buckets), _received(found, "token", np.int64))
+        gram, log_p = table([x for each, _ in bytes_ for x, _ in each], lambda x: _gram_bucket(x, buckets), _received(found, "gram", np.float32))
+        base_of = np.log10((n + 1.0) / (total + distinct + 1.0))
+        n_tokens, n_known, base, score, length = [], [], [], [], []
+        for (own, at, text_of), (blocks, lengths) in zip(words, bytes_):
+            which = np.searchsorted(token, own)[at]
+            n_tokens.append(np.bincount(text_of, minlength=len(lengths)) + 1)
+            n_known.append(np.bincount(text_of, n[which] > 0, len(lengths)).astype(np.int64) + int(train_docs > 0))
+            base.append(np.bincount(text_of, base_of[which], len(lengths)) + np.log10((train_docs + 1.0) / (total + distinct + 1.0)))
+            each = np.concatenate([log_p[np.searchsorted(gram, x)][at] for x, at in blocks])
+            score.append(np.add.reduceat(each, np.cumsum(lengths) - lengths, dtype=np.float64) / ct.LN10)
+            length.append(lengths)
+        scores = np.concatenate(score)
+        held = _unpacked(piece["train"][0].as_py(), bool)
         return pa.table(
             [
-                bag["ids"][0].values,
-                pa.array(held.astype(bool)),
-                pa.array(add(np.ones(len(n)), 1).astype(np.int64)),
-                pa.array(add((n > 0).astype(float), int(train_docs > 0)).astype(np.int64)),
-                pa.array(np.full(len(sizes), total, dtype=np.int64)),
-                pa.array(add(base, np.log10((train_docs + 1.0) / (total + distinct + 1.0)))),
-                pa.array(score),
-                pa.array(-score / np.log10(2) / (lengths + 1)),
+                piece["ids"].combine_chunks().flatten(),
+                pa.array(held),
+                pa.array(np.concatenate(n_tokens).astype(np.int64)),
+                pa.array(np.concatenate(n_known)),
+                pa.array(np.full(len(held), total, dtype=np.int64)),
+                pa.array(np.concatenate(base)),
+                pa.array(scores),
+                pa.array(-scores / np.log10(2) / np.concatenate(length)),
             ],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
         )
 
     counts, doubles = ("n_tokens", "n_known", "train_tokens"), ("base_score", "score", "bits_per_byte")
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in counts), *(T.StructField(c, T.DoubleType()) for c in doubles)])
-    bagged = pieces.select("piece", "ids", "held", "sizes", "lengths", "steps", "counts")
-    return bagged.groupBy("piece").cogroup(word_scores(words, scored).groupBy("piece")).applyInArrow(settle, schema)
+    return texts.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(settle, schema)
 
 
 def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from namesieve.llm import contexttree as ct
 from namesieve.llm import scoring
+from namesieve.llm.texts import chunks
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -23,17 +25,17 @@ class Brute:
     def __init__(self, train, depth):
         self.depth, self.counts, self.cache = depth, defaultdict(lambda: [0, 0]), {}
         self.children = defaultdict(set)
-        for token, n in train.items():
-            for context, byte in self.steps(token):
+        for text in train:
+            for context, byte in self.steps(text):
                 for k in range(8):
                     prior, bit = (1 << k) | byte >> (8 - k), byte >> (7 - k) & 1
                     for d in range(depth + 1):
-                        self.counts[context[:d], prior][bit] += n
+                        self.counts[context[:d], prior][bit] += 1
                         if d < depth:
                             self.children[context[:d], prior].add(context[: d + 1])
 
-    def steps(self, token):
-        line = b" " + token + (b"" if token == b"\n" else b" ")
+    def steps(self, text):
+        line = b" " + b" ".join(tokens(text))
         for i in range(1, len(line)):
             yield line[max(0, i - self.depth) : i][::-1].ljust(self.depth, b"\0"), line[i]
 
@@ -60,9 +62,9 @@ class Brute:
         weight = math.exp(self.kt(a, b) - math.log(2) - self.log_p(*key))
         return weight * estimate + (1 - weight) * self.one(context, prior, d + 1)
 
-    def score(self, token):
+    def score(self, text):
         total = 0.0
-        for context, byte in self.steps(token):
+        for context, byte in self.steps(text):
             for k in range(8):
                 p = self.one(context, (1 << k) | byte >> (8 - k))
                 total += math.log(p if byte >> (7 - k) & 1 else 1 - p)
@@ -91,7 +93,7 @@ def test_scores_equal_brute_force(spark):
     rows = [(1, "The cat sat. the CAT", False), (2, "the dog Sat", False), (3, "a cat and a catalogue", True), (4, None, True), (5, "été the", False), (6, "", False), (7, "zzz the", None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
     train = Counter(t for _, text, held in rows if held is False for t in tokens(text))
-    model = Brute(train, scoring.DEPTH)
+    model = Brute([text for _, text, held in rows if held is False], scoring.DEPTH)
     total, distinct = sum(train.values()), len(train)
     found = {r["doc_id"]: r for r in scoring.ctw_scores(docs).collect()}
     for doc_id, text, held in rows:
@@ -99,16 +101,16 @@ def test_scores_equal_brute_force(spark):
         assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held is not False, len(own), total)
         assert r["n_known"] == sum(train[t] > 0 for t in own)
         assert r["base_score"] == pytest.approx(sum(math.log10((train[t] + 1) / (total + distinct + 1)) for t in own))
-        assert r["score"] == pytest.approx(sum(model.score(t) for t in own))
+        assert r["score"] == pytest.approx(model.score(text))
         assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / sum(len(t) + (t != b"\n") for t in own))
 
 
 def test_pieces_and_blocks_do_not_change_scores(spark, folder, monkeypatch):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", (F.col("doc_id") % 3 == 0).alias("held_out"))
     whole = {r["doc_id"]: r for r in scoring.ctw_scores(docs).collect()}
-    monkeypatch.setattr(scoring, "BLOCK_TOKENS", 500)
     monkeypatch.setattr(scoring, "BUCKET_GRAMS", 300)
-    cut = scoring.ctw_scores(docs.repartition(5)).collect()
+    monkeypatch.setattr(scoring, "BUCKET_BYTES", 1 << 12)
+    cut = scoring.ctw_scores(docs.repartition(5), piece_bytes=20_000, part_bytes=2_000).collect()
     assert len(cut) == len(whole)
     for r in cut:
         assert r["score"] == pytest.approx(whole[r["doc_id"]]["score"])
@@ -124,6 +126,25 @@ def test_held_out_text_is_better_coded_than_noise(spark, folder):
     assert own[len(own) // 2] < 3 < bits[-1]
 
 
+def test_order_of_words_matters_and_context_beats_single_tokens(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).alias("held_out"))
+    mixed_up = docs.where("held_out").select((-F.col("doc_id") - 1).alias("doc_id"), F.array_join(F.shuffle(F.split("text", " "), 1), " ").alias("text"), "held_out")
+    found = {r["doc_id"]: r for r in scoring.ctw_scores(docs.unionByName(mixed_up)).where("held_out").collect()}
+    own = [k for k in found if k >= 0 and found[k]["n_tokens"] > 20]
+    assert sum(found[k]["score"] for k in own) > sum(found[-k - 1]["score"] for k in own)
+    assert all(found[k]["base_score"] == pytest.approx(found[-k - 1]["base_score"]) for k in own)
+
+
+def test_grams_hold_the_bytes_before():
+    texts = [b"ab c", b"", b"\xc3\xa9 zz\x00zzzzzzzz"]
+    column = [x.decode() for x in texts]
+    (chunk,) = chunks(pa.array(column))
+    _, _, _, _, line, lengths = scoring._parsed(chunk, chunk.data)
+    want = [int.from_bytes(context + bytes([byte]), "big") for x in column for context, byte in Brute([], 6).steps(x)]
+    assert np.concatenate(list(scoring.grams_of(line, lengths))).tolist() == want
+    assert lengths.tolist() == [6, 1, 16]
+
+
 def test_odd_rows_and_empty_table(spark, odd_docs):
     docs = odd_docs.withColumn("held_out", F.lit(False))
     found = scoring.ctw_scores(docs).collect()
