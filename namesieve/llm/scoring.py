@@ -147,7 +147,7 @@ class _Piece:
             own = learned[done : done + len(gram)]
             done += len(gram)
             seen, n = np.unique(gram[own], return_counts=True)
-            other = np.unique(gram[~own])
+            other = _distinct(gram[~own])
             self.grams += [(seen, n), (other, np.zeros(len(other), dtype=np.int64))]
             if sum(len(x) for x, _ in self.grams[1:]) > MERGE_GRAMS:
                 self.grams = [_merged(self.grams)]
@@ -187,6 +187,11 @@ class _Piece:
         )
 
 
+def _distinct(*lists: np.ndarray) -> np.ndarray:
+    x = np.sort(np.concatenate(lists))
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def _merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return ct.summed(np.concatenate([x for x, _ in lists]), np.concatenate([n for _, n in lists]))
 
@@ -406,30 +411,29 @@ def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int
         data, sizes = _unzipped(piece["keys"][0].as_py()), _unpacked(piece["sizes"][0].as_py(), np.int64)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         column = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-        words, bytes_ = [], []
+        # Twice over the texts: what is distinct in the piece, and then its values, a block at a time.
+        token, gram = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
         for chunk in chunks(column):
-            _, _, text_of, word, line, lengths = _parsed(chunk, chunk.data)
-            words.append((*np.unique(word, return_inverse=True), text_of))
-            distinct_here = [np.unique(gram, return_inverse=True) for gram in grams_of(line, lengths)]
-            bytes_.append(([(gram, at.astype(np.int32)) for gram, at in distinct_here], lengths))
-
-        def table(parts: list[np.ndarray], bucket, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            key = np.unique(np.concatenate(parts))
-            out = np.empty(len(key), dtype=values.dtype)
-            out[_dealt(bucket(key), buckets)[0]] = values
-            return key, out
-
-        token, n = table([x for x, _, _ in words], lambda x: x % np.uint64(buckets), _received(found, "token", np.int64))
-        gram, log_p = table([x for each, _ in bytes_ for x, _ in each], lambda x: _gram_bucket(x, buckets), _received(found, "gram", np.float32))
+            _, _, _, word, line, lengths = _parsed(chunk, chunk.data)
+            token = _distinct(token, word)
+            for some in grams_of(line, lengths):
+                gram = _distinct(gram, some)
+        n, log_p = np.empty(len(token), dtype=np.int64), np.empty(len(gram), dtype=np.float32)
+        n[_dealt(token % np.uint64(buckets), buckets)[0]] = _received(found, "token", np.int64)
+        log_p[_dealt(_gram_bucket(gram, buckets), buckets)[0]] = _received(found, "gram", np.float32)
         base_of = np.log10((n + 1.0) / (total + distinct + 1.0))
         n_tokens, n_known, base, score, length = [], [], [], [], []
-        for (own, at, text_of), (blocks, lengths) in zip(words, bytes_):
-            which = np.searchsorted(token, own)[at]
-            n_tokens.append(np.bincount(text_of, minlength=len(lengths)) + 1)
-            n_known.append(np.bincount(text_of, n[which] > 0, len(lengths)).astype(np.int64) + int(train_docs > 0))
-            base.append(np.bincount(text_of, base_of[which], len(lengths)) + np.log10((train_docs + 1.0) / (total + distinct + 1.0)))
-            each = np.concatenate([log_p[np.searchsorted(gram, x)][at] for x, at in blocks])
-            score.append(np.add.reduceat(each, np.cumsum(lengths) - lengths, dtype=np.float64) / ct.LN10)
+        for chunk in chunks(column):
+            _, _, text_of, word, line, lengths = _parsed(chunk, chunk.data)
+            which = np.searchsorted(token, word)
+            n_tokens.append(np.bincount(text_of, minlength=chunk.n) + 1)
+            n_known.append(np.bincount(text_of, n[which] > 0, chunk.n).astype(np.int64) + int(train_docs > 0))
+            base.append(np.bincount(text_of, base_of[which], chunk.n) + np.log10((train_docs + 1.0) / (total + distinct + 1.0)))
+            each = []
+            for some in grams_of(line, lengths):
+                own, at = np.unique(some, return_inverse=True)
+                each.append(log_p[np.searchsorted(gram, own)][at])
+            score.append(np.add.reduceat(np.concatenate(each), np.cumsum(lengths) - lengths, dtype=np.float64) / ct.LN10)
             length.append(lengths)
         scores = np.concatenate(score)
         held = _unpacked(piece["train"][0].as_py(), bool)
