@@ -30,9 +30,9 @@ from namesieve.plans.storage import written
 
 DEPTH, LOCAL_FROM = 6, 3
 #: Text in a piece, packed lists in a part of a bucket, and text whose square root is the number of buckets.
-PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20, 1 << 18
-BUCKET_GRAMS = 100_000
-BLOCK, MERGE_GRAMS = 1 << 20, 1 << 21
+PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 12 << 20, 32 << 20, 1 << 18
+BUCKET_GRAMS = 40_000
+CHUNK_BYTES, BLOCK, MERGE_GRAMS = 1 << 18, 1 << 18, 1 << 19
 START, END = 0x20, 0x0A
 #: Zero bytes before each text, so that a window of eight bytes ends at each of its bytes.
 PAD = 7
@@ -112,28 +112,26 @@ def gram_bucket(gram: Column, buckets: int) -> Column:
     return F.pmod(F.shiftright(F.shiftrightunsigned(gram, _NEAR) * F.lit(_SPREAD).cast("long"), 20), F.lit(buckets)).cast("int")
 
 
-def _dealt(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order by bucket, kept inside each, and where buckets begin in it."""
+def _dealt(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order by bucket, kept inside each, and the bucket, begin and end of each run in it."""
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=bucket.dtype))
+    at = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=bucket.dtype)).tolist()
+    return order, [(b, i, j) for b, (i, j) in enumerate(zip(at, at[1:])) if i < j]
 
 
 class _Piece:
-    """Collects chunks of texts: their bytes, and distinct tokens and grams with their occurrences in training texts."""
+    """Passes chunks of texts on and collects their distinct tokens and grams, with their occurrences in training texts."""
 
     def __init__(self, buckets: int) -> None:
-        self.buckets = buckets
-        self.ids: list[pa.Array] = []
-        self.data: list[bytes] = []
-        self.sizes: list[np.ndarray] = []
-        self.held: list[np.ndarray] = []
+        self.id, self.buckets, self.chunks = random.getrandbits(62), buckets, 0
         self.hashes: list[np.ndarray] = []
         self.tokens: list[pa.Array] = []
         self.trained: list[np.ndarray] = []
         self.grams: list[tuple[np.ndarray, np.ndarray]] = []
         self.bytes = 0
 
-    def add(self, chunk: Chunk, ids: pa.Array, held: np.ndarray) -> None:
+    def add(self, chunk: Chunk, ids: pa.Array, held: np.ndarray) -> pa.RecordBatch:
+        """Counts a chunk; the row with its texts, numbered in place of a bucket."""
         data = LOWER[chunk.data]
         starts, ends, text_of, word, line, lengths = _parsed(chunk, data)
         hashes, first, inverse = np.unique(word, return_index=True, return_inverse=True)
@@ -151,18 +149,22 @@ class _Piece:
             self.grams += [(seen, n), (other, np.zeros(len(other), dtype=np.int64))]
             if sum(len(x) for x, _ in self.grams[1:]) > MERGE_GRAMS:
                 self.grams = [_merged(self.grams)]
-        self.ids.append(ids)
-        self.data.append(data.tobytes())
-        self.sizes.append(np.diff(chunk.offsets))
-        self.held.append(held)
         self.bytes += len(data)
+        self.chunks += 1
+        return self._batch([("text", self.chunks, _zipped(data.tobytes()), _packed(held), _packed(np.diff(chunk.offsets)), int((~held).sum()))], ids)
+
+    def _batch(self, rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
+        """``rows`` of a kind, the first of them with ``ids``."""
+        kinds, buckets, keys, train, sizes, docs = zip(*rows)
+        lists = pa.ListArray.from_arrays(pa.array([0] + [len(ids)] * len(rows), pa.int32()), ids)
+        cells = (pa.array(x, pa.binary()) for x in (keys, train, sizes))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kinds), pa.array([self.id] * len(rows)), pa.array(buckets, pa.int32()), lists, *cells, pa.array(docs, pa.int64())],
+            names=["kind", "piece", "bucket", "ids", "keys", "train", "sizes", "train_docs"],
+        )
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """A row with the texts, then one per bucket of tokens and of grams."""
-        if not self.ids:
-            return
-        piece, held = random.getrandbits(62), np.concatenate(self.held)
-        texts = ["text", 0, pa.concat_arrays(self.ids), _zipped(b"".join(self.data)), _packed(held), _packed(np.concatenate(self.sizes)), int((~held).sum())]
+    def asks(self, no_ids: pa.Array) -> Iterator[pa.RecordBatch]:
+        """A row per bucket of tokens, then of grams."""
         hashes, first, inverse = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
         trained = np.bincount(inverse, np.concatenate(self.trained), len(hashes)).astype(np.int64)
         order, bounds = _dealt(hashes % np.uint64(self.buckets), self.buckets)
@@ -170,21 +172,13 @@ class _Piece:
         sizes = np.asarray(pc.binary_length(tokens)).astype(np.int32)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         data = memoryview(tokens.buffers()[2] or b"")
-        rows = [texts]
-        for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
-            if i < j:
-                rows.append(["token", b, None, _zipped(bytes(data[ends[i] : ends[j]])), _packed(trained[order[i:j]]), _packed(sizes[i:j]), 0])
+        lists = [("token", b, _zipped(bytes(data[ends[i] : ends[j]])), _packed(trained[order[i:j]]), _packed(sizes[i:j]), 0) for b, i, j in bounds]
+        if lists:
+            yield self._batch(lists, no_ids)
+        self.hashes, self.tokens, self.trained = [], [], []
         gram, n = _merged(self.grams)
         order, bounds = _dealt(_gram_bucket(gram, self.buckets), self.buckets)
-        for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
-            if i < j:
-                rows.append(["gram", b, None, _packed(np.diff(gram[order[i:j]], prepend=np.uint64(0))), _packed(n[order[i:j]]), None, 0])
-        kinds, buckets, ids, a, n, c, docs = zip(*rows)
-        ends = np.concatenate([[0], np.cumsum([len(x) if x is not None else 0 for x in ids])]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds), pa.array([piece] * len(rows)), pa.array(buckets, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), ids[0]), pa.array(a, pa.binary()), pa.array(n, pa.binary()), pa.array(c, pa.binary()), pa.array(docs, pa.int64())],
-            names=["kind", "piece", "bucket", "ids", "keys", "train", "sizes", "train_docs"],
-        )
+        yield self._batch([("gram", b, _packed(np.diff(gram[order[i:j]], prepend=np.uint64(0))), _packed(n[order[i:j]]), None, 0) for b, i, j in bounds], no_ids)
 
 
 def _distinct(*lists: np.ndarray) -> np.ndarray:
@@ -200,15 +194,16 @@ def pieces(docs: DataFrame, buckets: int, piece_bytes: int = PIECE_BYTES) -> Dat
     """Texts of ``docs`` (``doc_id``, ``text``, ``held_out``) in pieces, and what each asks for, as rows of three kinds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = _Piece(buckets)
+        piece, ids = _Piece(buckets), None
         for batch in batches:
-            held = np.asarray(batch.column("held_out").to_pylist(), dtype=bool)
-            for chunk in chunks(batch.column("text")):
-                piece.add(chunk, batch.column("doc_id").slice(chunk.first, chunk.n), held[chunk.first : chunk.first + chunk.n])
+            held, ids = np.asarray(batch.column("held_out").to_pylist(), dtype=bool), batch.column("doc_id")
+            for chunk in chunks(batch.column("text"), CHUNK_BYTES):
+                yield piece.add(chunk, ids.slice(chunk.first, chunk.n), held[chunk.first : chunk.first + chunk.n])
                 if piece.bytes >= piece_bytes:
-                    yield from piece.rows()
+                    yield from piece.asks(ids[:0])
                     piece = _Piece(buckets)
-        yield from piece.rows()
+        if piece.chunks:
+            yield from piece.asks(ids[:0])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"kind string, piece bigint, bucket int, ids array<{kind}>, keys binary, train binary, sizes binary, train_docs bigint")
@@ -408,27 +403,31 @@ def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int
     )
 
     def settle(piece: pa.Table, found: pa.Table) -> pa.Table:
-        data, sizes = _unzipped(piece["keys"][0].as_py()), _unpacked(piece["sizes"][0].as_py(), np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        column = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        def parsed(k: int) -> tuple[np.ndarray, ...]:
+            data, sizes = np.frombuffer(_unzipped(piece["keys"][k].as_py()), dtype=np.uint8), _unpacked(piece["sizes"][k].as_py(), np.int64)
+            return _parsed(Chunk(0, data, np.concatenate([[0], np.cumsum(sizes)])), data)[2:]
+
         # Twice over the texts: what is distinct in the piece, and then its values, a block at a time.
-        token, gram = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-        for chunk in chunks(column):
-            _, _, _, word, line, lengths = _parsed(chunk, chunk.data)
+        token, grams_seen = np.zeros(0, dtype=np.uint64), [np.zeros(0, dtype=np.uint64)]
+        for k in range(piece.num_rows):
+            _, word, line, lengths = parsed(k)
             token = _distinct(token, word)
             for some in grams_of(line, lengths):
-                gram = _distinct(gram, some)
+                grams_seen.append(_distinct(some))
+                if sum(map(len, grams_seen[1:])) > MERGE_GRAMS:
+                    grams_seen = [_distinct(*grams_seen)]
+        gram = _distinct(*grams_seen)
         n, log_p = np.empty(len(token), dtype=np.int64), np.empty(len(gram), dtype=np.float32)
         n[_dealt(token % np.uint64(buckets), buckets)[0]] = _received(found, "token", np.int64)
         log_p[_dealt(_gram_bucket(gram, buckets), buckets)[0]] = _received(found, "gram", np.float32)
         base_of = np.log10((n + 1.0) / (total + distinct + 1.0))
         n_tokens, n_known, base, score, length = [], [], [], [], []
-        for chunk in chunks(column):
-            _, _, text_of, word, line, lengths = _parsed(chunk, chunk.data)
+        for k in range(piece.num_rows):
+            text_of, word, line, lengths = parsed(k)
             which = np.searchsorted(token, word)
-            n_tokens.append(np.bincount(text_of, minlength=chunk.n) + 1)
-            n_known.append(np.bincount(text_of, n[which] > 0, chunk.n).astype(np.int64) + int(train_docs > 0))
-            base.append(np.bincount(text_of, base_of[which], chunk.n) + np.log10((train_docs + 1.0) / (total + distinct + 1.0)))
+            n_tokens.append(np.bincount(text_of, minlength=len(lengths)) + 1)
+            n_known.append(np.bincount(text_of, n[which] > 0, len(lengths)).astype(np.int64) + int(train_docs > 0))
+            base.append(np.bincount(text_of, base_of[which], len(lengths)) + np.log10((train_docs + 1.0) / (total + distinct + 1.0)))
             each = []
             for some in grams_of(line, lengths):
                 own, at = np.unique(some, return_inverse=True)
@@ -436,7 +435,7 @@ def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int
             score.append(np.add.reduceat(np.concatenate(each), np.cumsum(lengths) - lengths, dtype=np.float64) / ct.LN10)
             length.append(lengths)
         scores = np.concatenate(score)
-        held = _unpacked(piece["train"][0].as_py(), bool)
+        held = np.concatenate([_unpacked(x.as_py(), bool) for x in piece["train"]])
         return pa.table(
             [
                 piece["ids"].combine_chunks().flatten(),
