@@ -164,21 +164,30 @@ class _Piece:
         )
 
     def asks(self, no_ids: pa.Array) -> Iterator[pa.RecordBatch]:
-        """A row per bucket of tokens, then of grams."""
+        """A row per bucket of tokens, then of grams; what was collected goes as soon as it is packed."""
+        for lists in (self._token_lists, self._gram_lists):
+            rows = lists()
+            if rows:
+                yield self._batch(rows, no_ids)
+            del rows
+            pa.default_memory_pool().release_unused()
+
+    def _token_lists(self) -> list[tuple]:
         hashes, first, inverse = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
         trained = np.bincount(inverse, np.concatenate(self.trained), len(hashes)).astype(np.int64)
         order, bounds = _dealt(hashes % np.uint64(self.buckets), self.buckets)
         tokens = pa.concat_arrays(self.tokens).take(pa.array(first[order]))
+        self.hashes, self.tokens, self.trained = [], [], []
         sizes = np.asarray(pc.binary_length(tokens)).astype(np.int32)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         data = memoryview(tokens.buffers()[2] or b"")
-        lists = [("token", b, _zipped(bytes(data[ends[i] : ends[j]])), _packed(trained[order[i:j]]), _packed(sizes[i:j]), 0) for b, i, j in bounds]
-        if lists:
-            yield self._batch(lists, no_ids)
-        self.hashes, self.tokens, self.trained = [], [], []
+        return [("token", b, _zipped(bytes(data[ends[i] : ends[j]])), _packed(trained[order[i:j]]), _packed(sizes[i:j]), 0) for b, i, j in bounds]
+
+    def _gram_lists(self) -> list[tuple]:
         gram, n = _merged(self.grams)
+        self.grams = []
         order, bounds = _dealt(_gram_bucket(gram, self.buckets), self.buckets)
-        yield self._batch([("gram", b, _packed(np.diff(gram[order[i:j]], prepend=np.uint64(0))), _packed(n[order[i:j]]), None, 0) for b, i, j in bounds], no_ids)
+        return [("gram", b, _packed(np.diff(gram[order[i:j]], prepend=np.uint64(0))), _packed(n[order[i:j]]), None, 0) for b, i, j in bounds]
 
 
 def _distinct(*lists: np.ndarray) -> np.ndarray:
@@ -417,6 +426,7 @@ def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int
                 if sum(map(len, grams_seen[1:])) > MERGE_GRAMS:
                     grams_seen = [_distinct(*grams_seen)]
         gram = _distinct(*grams_seen)
+        del grams_seen
         n, log_p = np.empty(len(token), dtype=np.int64), np.empty(len(gram), dtype=np.float32)
         n[_dealt(token % np.uint64(buckets), buckets)[0]] = _received(found, "token", np.int64)
         log_p[_dealt(_gram_bucket(gram, buckets), buckets)[0]] = _received(found, "gram", np.float32)
@@ -434,6 +444,8 @@ def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int
                 each.append(log_p[np.searchsorted(gram, own)][at])
             score.append(np.add.reduceat(np.concatenate(each), np.cumsum(lengths) - lengths, dtype=np.float64) / ct.LN10)
             length.append(lengths)
+        del gram, log_p
+        pa.default_memory_pool().release_unused()
         scores = np.concatenate(score)
         held = np.concatenate([_unpacked(x.as_py(), bool) for x in piece["train"]])
         return pa.table(
