@@ -1,6 +1,6 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Token counts of all documents are summed over cells of source, language and topic. Raking scales the cells until their sums
+Token counts of all documents are summed over cells of source, language and topic (topics are learned, see `topics.py`). Raking scales the cells until their sums
 meet the target share of every source, language and topic, within the tokens that there are: no cell can be asked for more
 than it holds. Cell weight over cell tokens is the probability with which each of the cell's documents is drawn, by a hash of
 its id, so the draw is the same wherever and whenever it is made.
@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from namesieve.llm import topics
 from namesieve.plans.storage import written
 
 MARGINS = ("source", "lang", "topic")
@@ -30,18 +31,6 @@ def n_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def topic_of(text: Column, tokens: Column) -> Column:
-    """A coarse topic by what a text shows: the first of these that holds."""
-    return (
-        F.when(text.rlike(r"(?i)licen[sc]e|copyright|all rights reserved"), "legal")
-        .when(text.rlike(r"[A-Za-z0-9]@[A-Za-z0-9]|\+[0-9][ ().0-9-]{7}"), "contact")
-        .when(F.regexp_count(text, F.lit(r"[#*$%&|<>]")) > 0.5 * tokens, "markup")
-        .when(tokens < 50, "note")
-        .when(tokens < 500, "article")
-        .otherwise("long")
-    )
-
-
 def fill(tokens: np.ndarray, weight: np.ndarray, target: float) -> np.ndarray:
     """``weight`` times the one factor with which ``min(tokens, factor * weight)`` sums to ``target``, cut at ``tokens``.
 
@@ -191,16 +180,17 @@ def _rates_there(sums: DataFrame, targets: dict, keep: float, margins: tuple) ->
     return cells.select(*(F.col(m).alias(f"__{m}") for m in margins), rate.alias("rate"))
 
 
-def _weighed(docs: DataFrame) -> DataFrame:
-    tokens = n_tokens(F.col("text"))
-    rows = docs.withColumn("tokens", tokens)
-    return rows.withColumn("topic", topic_of(F.coalesce("text", F.lit("")), F.col("tokens")))
+def weighed(docs: DataFrame) -> DataFrame:
+    """``docs`` without their ``text``, with its ``tokens`` and the ``topic`` learned from all of them; written."""
+    light = docs.withColumns({"tokens": n_tokens(F.col("text")), "profile": topics.profile(F.col("text").cast("string"))})
+    light = written(light.drop("text"), "mix-docs")
+    return light.withColumn("topic", topics.learn(light).name(F.col("profile"))).drop("profile")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability and draw of every document."""
-    docs = _weighed(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", "lang", "topic", "tokens")
-    return mix(written(docs, "mix-docs"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "text")
+    return mix(weighed(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -210,7 +200,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     columns = docs.columns
     rows = docs.withColumn("__node", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    light = written(_weighed(rows.drop("tokens", "topic")).select("doc_id", "__node", "source", "lang", "topic", "tokens"), "mix-docs")
+    light = weighed(rows.select("doc_id", "__node", "source", "lang", "text"))
     ident = ["doc_id", "__node", "source", "lang"]
     drawn = mix(light).where("drawn").select(*(F.col(c).alias(f"__drawn_{c}") for c in ident)).distinct()
     same = [rows[c].eqNullSafe(drawn[f"__drawn_{c}"]) for c in ident]

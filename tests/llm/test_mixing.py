@@ -102,7 +102,8 @@ def test_cells_as_a_table_give_the_same_rates(spark):
 
 
 def test_odd_rows_and_empty_table(spark, odd_docs):
-    weighed = mixing._weighed(odd_docs.drop("tokens", "topic"))
+    weighed = mixing.weighed(odd_docs.drop("tokens", "topic"))
+    assert weighed.where("topic = 'none'").count() == 9
     rows = mixing.mix(weighed).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r["rate"] <= 1 for r in rows)
     assert mixing.mix(weighed.limit(0)).count() == 0
