@@ -16,6 +16,8 @@ CODE_BITS = 21
 #: Characters that are worked on at a time; one longer text is worked on alone.
 CHUNK_CHARS = 1 << 20
 BLANK = 0x20
+#: Modulus and factor of the hash of gram codes; products stay below 2^62, so SQL gives the same numbers.
+PROJECTION = ((1 << 31) - 1, 1_103_515_245)
 
 
 def padded_words(text: str) -> str:
@@ -107,6 +109,21 @@ def weight_batches(texts: int, known: np.ndarray, frequencies: np.ndarray):
     return run
 
 
+def project_batches(size: int):
+    """Function from ``text_key, codes, weights`` to ``text_key, vector``: a gram's weight is added to, or taken from, one of ``size`` components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, row = flat(batch.column("codes"))
+            spread = codes % PROJECTION[0] * PROJECTION[1] % PROJECTION[0]
+            signed = np.where(spread // size % 2 == 0, 1.0, -1.0) * batch.column("weights").flatten().to_numpy()
+            vectors = np.bincount(row * size + spread % size, signed, batch.num_rows * size).astype(float)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * size), pa.array(vectors))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), lists], names=["text_key", "vector"])
+
+    return run
+
+
 def flat_pairs(column: pa.ListArray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """Both fields of all pairs of a list column, and the row of each; null lists are empty."""
     sizes = np.asarray(column.value_lengths().fill_null(0))

@@ -191,14 +191,19 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def score_pairs_dense(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Cosine of ``variant_a, variant_b`` from a table ``variant, vector``; pairs without both are dropped."""
-    unit = vectors.selectExpr("variant", f"{unit_length('vector')} AS unit")
+    """Cosine of ``variant_a, variant_b`` from a table ``variant, vector``; pairs without both are dropped.
+
+    Vectors of long texts may go by ``text_key`` (md5) instead of ``variant``.
+    """
+    by_key = "text_key" in vectors.columns
+    unit = vectors.selectExpr("text_key" if by_key else "variant", f"{unit_length('vector')} AS unit")
     out = pairs
     for side in ("a", "b"):
-        looked_up = unit.selectExpr(f"variant AS variant_{side}", f"unit AS unit_{side}")
-        out = out.join(looked_up, f"variant_{side}")
+        key = F.md5(f"variant_{side}") if by_key else F.col(f"variant_{side}")
+        looked_up = unit.toDF(f"_key_{side}", f"unit_{side}")
+        out = out.withColumn(f"_key_{side}", key).join(looked_up, f"_key_{side}")
     cosine = f"round({dot('unit_a', 'unit_b')}, {DECIMALS})"
-    return out.withColumn("cosine_similarity", F.expr(cosine)).drop("unit_a", "unit_b")
+    return out.withColumn("cosine_similarity", F.expr(cosine)).drop("unit_a", "unit_b", "_key_a", "_key_b")
 
 
 def top_neighbors(index: GramIndex, query: str, texts: DataFrame, k: int = 10) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from namesieve.functions.grams import count_batches, gram_text, padded_words, weight_batches
+from namesieve.functions.grams import count_batches, gram_text, padded_words, project_batches, weight_batches
 from namesieve.operators.ranking import one_row
 from namesieve.plans.storage import written
 
@@ -16,6 +16,8 @@ from namesieve.plans.storage import written
 HELD_GRAMS = 1 << 20
 #: Beyond that a gram counts as frequent with more than this share of all rows (text, gram): there are at most so many.
 FREQUENT_SHARE = 1 / 4096
+#: Components of a dense vector made from a text.
+PROJECTED = 256
 
 
 def vocabulary(variants: DataFrame, text: str = "name_variant") -> DataFrame:
@@ -90,6 +92,15 @@ def tfidf_weights(texts: DataFrame) -> DataFrame:
     return rows.selectExpr("text_key", f"{gram_text('code')} AS gram", "weight")
 
 
+def projected_vectors(texts: DataFrame, size: int = PROJECTED) -> DataFrame:
+    """Dense vectors of the texts themselves: ``text_key, vector``, a signed random projection of the TF-IDF weights.
+
+    Their cosine is that of the weights in expectation, with a deviation of about one by the root of ``size``. The projection
+    is a hash of the grams, so there is no model to send; a text without grams has the zero vector.
+    """
+    return packed_vectors(texts).mapInArrow(project_batches(size), "text_key string, vector array<double>")
+
+
 def tfidf_shape(texts: DataFrame) -> DataFrame:
     """Rows and columns of the text-by-gram matrix, and whether every text has a row."""
     counts = written(gram_counts(texts), "gram-counts")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namesieve.operators import facts, profiling, risk, sampling, similarity, splits
+from namesieve.functions.grams import PROJECTION
+from namesieve.operators import facts, profiling, risk, sampling, similarity, splits, tfidf
 from namesieve.operators.facts import LABEL
 from namesieve.operators.profiling import LEAKING
-from namesieve.operators.ranking import one_row
 from namesieve.registry import views
 from namesieve.registry.resolution import _TFIDF, VAR, _metric_rows
 from namesieve.registry.views import ctes, with_ctes
@@ -484,19 +484,9 @@ def score_labelled_pairs(spark, folder):
     return similarity.score_pairs(pairs).select("position", "variant_a", "variant_b", "same_entity", "cosine_similarity")
 
 
-def stored_vectors(spark: SparkSession, folder: str, texts: DataFrame) -> DataFrame:
-    """A stored dense vector for each text: the embedding whose number is a hash of the text."""
-    vectors = views.dense_vectors(spark, folder)
-    total = one_row(vectors.agg(F.expr("count(*) AS n")))
-    numbered = texts.withColumn("_all", total).selectExpr(
-        "variant", "CAST(conv(substr(md5(variant), 1, 8), 16, 10) AS BIGINT) % _all.n AS vec_id"
-    )
-    return numbered.join(vectors, "vec_id").select("variant", "vector")
-
-
 def _comparison(spark: SparkSession, folder: str) -> DataFrame:
     pairs = tables.written(sampling.validation_pairs(views.variants(spark, folder)), "validation-pairs")
-    texts = pairs.selectExpr("explode(array(variant_a, variant_b)) AS variant").distinct()
+    texts = tfidf.vocabulary(pairs.selectExpr("explode(array(variant_a, variant_b)) AS name_variant"))
 
     def missing(_: DataFrame) -> DataFrame:
         raise RuntimeError("no vectors stored")
@@ -505,21 +495,29 @@ def _comparison(spark: SparkSession, folder: str) -> DataFrame:
         pairs,
         {
             "tfidf": similarity.score_pairs,
-            "dense": lambda p: similarity.score_pairs_dense(p, stored_vectors(spark, folder, texts)),
+            "dense": lambda p: similarity.score_pairs_dense(p, tables.written(tfidf.projected_vectors(texts), "projected-vectors")),
             "remote": missing,
         },
     )
 
 
-_DOT = "list_dot_product({0}.embedding::DOUBLE[], {1}.embedding::DOUBLE[])"
+_CODE = " + ".join(
+    f"(CASE WHEN length(gram) > {i} THEN unicode(substr(gram, {i + 1}, 1))::BIGINT ELSE 0 END) * {1 << 21 * (2 - i)}" for i in range(3)
+)
 _COMPARED = [
     *_LABELLED_COSINE,
-    ("stored", "SELECT variant, embedding FROM texts JOIN embeddings ON vec_id = CAST('0x' || substr(md5(variant), 1, 8) AS BIGINT) % (SELECT count(*) FROM embeddings)"),
+    ("spread", f"SELECT variant, weight, ({_CODE}) % {PROJECTION[0]} * {PROJECTION[1]} % {PROJECTION[0]} AS h FROM vec"),
+    (
+        "projected",
+        f"SELECT variant, h % {tfidf.PROJECTED} AS i, sum(CASE WHEN h // {tfidf.PROJECTED} % 2 = 0 THEN weight ELSE -weight END) AS x "
+        "FROM spread GROUP BY ALL",
+    ),
+    ("dense", "SELECT variant, i, x / sqrt(sum(x * x) OVER (PARTITION BY variant)) AS x FROM projected"),
     (
         "every",
         "SELECT 'tfidf' AS backend, same_entity AS y, cosine_similarity AS s FROM sparse UNION ALL SELECT 'dense', same_entity, "
-        f"round({_DOT.format('a', 'b')} / (sqrt({_DOT.format('a', 'a')}) * sqrt({_DOT.format('b', 'b')})), 6) "
-        "FROM valid JOIN stored a ON a.variant = variant_a JOIN stored b ON b.variant = variant_b",
+        "round(coalesce(s, 0), 6) FROM valid LEFT JOIN (SELECT position, sum(a.x * b.x) AS s FROM valid JOIN dense a ON a.variant = variant_a "
+        "JOIN dense b ON b.variant = variant_b AND a.i = b.i GROUP BY position) USING (position)",
     ),
     (
         "auc",

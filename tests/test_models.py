@@ -222,6 +222,47 @@ def test_learning_curve_and_comparison(mixed):
         assert abs(accuracy - right / len(held)) < 1e-4
 
 
+def test_complexity_variants_equal_their_fits(mixed):
+    _, data = models.prepared_rows(mixed, ["a"], ["kind"])
+    data = data.cache()
+    got = {r["model"]: r for r in models.complexity_check(data).collect()}
+    assert set(got) == set(models.VARIANTS)
+    for name, (kind, params) in models.VARIANTS.items():
+        predict, _ = models.fit_model(kind, data.where("split = 'train'"), params)
+        f1 = {}
+        for split in ("train", "validation"):
+            rows = predict(data.where(f"split = '{split}'")).collect()
+            hits = sum(r["y_pred"] and r[LABEL] for r in rows)
+            marked, real = sum(r["y_pred"] for r in rows), sum(r[LABEL] for r in rows)
+            f1[split] = 2 * hits / (marked + real) if marked + real else 0.0
+        assert got[name]["train_f1"] == pytest.approx(f1["train"], abs=1e-4)
+        assert got[name]["val_f1"] == pytest.approx(f1["validation"], abs=1e-4)
+        assert got[name]["f1_gap_train_val"] == pytest.approx(f1["train"] - f1["validation"], abs=2e-4)
+
+
+def test_fitted_importances_agree_on_what_counts(spark):
+    """One column decides the label, one is noise, one is constant: votes and irrelevance follow."""
+    rng = random.Random(8)
+    rows = [(i, i % 2, ("train", "train", "validation")[i % 3], float(i % 2) * 2 + rng.gauss(0, 0.1), rng.gauss(0, 1), 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, f"entity_id long, {LABEL} int, split string, deciding double, noise double, constant double").cache()
+    columns = ["deciding", "noise", "constant"]
+    steps, data = models.prepared_rows(df, columns, [])
+    train = data.where("split = 'train'").cache()
+    predict, linear = models.fit_model("baseline_1_logreg", train)
+    _, tree = models.fit_model("baseline_2_tree", train)
+    names = feature_names(data)
+    by_coef = importance.importance_table(spark, names, [abs(x) for x in linear.coefficients], "abs_coef")
+    by_tree = importance.importance_table(spark, names, tree.featureImportances.toArray(), "tree_importance")
+    permuted = importance.permutation_importance(df.where("split = 'validation'"), columns, lambda d: predict(steps.transform(d)), LABEL, "entity_id", repeats=3)
+    assert by_coef.first()["feature"] == by_tree.first()["feature"] == "num__deciding" and permuted.first()["feature"] == "deciding"
+    assert {r["feature"]: r["tree_importance"] for r in by_tree.collect()} == {"num__deciding": 1.0, "num__noise": 0.0, "num__constant": 0.0}
+    votes = {r["feature"]: r["votes"] for r in importance.importance_consensus(by_coef, by_tree, permuted, top=1).collect()}
+    assert votes == {"deciding": 3}
+    short = importance.base_feature_name("feature", short=True)
+    plain = [t.selectExpr(f"{short} AS feature", c) for t, c in ((by_coef, "abs_coef"), (by_tree, "tree_importance"))]
+    assert "constant" in {r["feature"] for r in importance.irrelevant_features(*plain, permuted).collect()} <= {"noise", "constant"}
+
+
 def test_review_queue_of_ten_million_items(spark):
     runs = spark.sql("SELECT 1L AS entity_id, array(named_struct('priority', 'high', 'n', 3L), named_struct('priority', 'medium', 'n', 10000000L)) AS runs "
                      "UNION ALL SELECT 2L, CAST(array() AS array<struct<priority string, n bigint>>)")
