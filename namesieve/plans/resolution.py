@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namesieve.operators import decisions, naming, sampling, similarity, tfidf
+from namesieve.operators import decisions, naming, sampling, similarity
 from namesieve.operators.catalog import entity_catalog
 from namesieve.sources import tables
 
@@ -35,15 +35,11 @@ def resolve(entities: DataFrame) -> Resolution:
 
 
 def compare_backends(variants: DataFrame, dense_vectors: DataFrame | None = None) -> DataFrame:
-    """Rank the sparse and the dense representation on labelled pairs.
-
-    ``dense_vectors`` (``variant, vector``) are those of an encoder; without them the dense ones are projected from the texts.
-    """
+    """Rank the sparse and, if given as ``variant, vector`` or ``text_key, vector``, the dense representation on labelled pairs."""
     pairs = tables.written(sampling.validation_pairs(variants), "validation-pairs")
-    if dense_vectors is None:
-        texts = tfidf.vocabulary(pairs.selectExpr("explode(array(variant_a, variant_b)) AS name_variant"))
-        dense_vectors = tables.written(tfidf.projected_vectors(texts), "projected-vectors")
-    backends = {"tfidf": similarity.score_pairs, "dense": lambda p: similarity.score_pairs_dense(p, dense_vectors)}
+    backends = {"tfidf": similarity.score_pairs}
+    if dense_vectors is not None:
+        backends["dense"] = lambda p: similarity.score_pairs_dense(p, dense_vectors)
     return sampling.backend_ranking(sampling.backend_comparison(pairs, backends))
 
 
