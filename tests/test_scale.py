@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namesieve.functions.names import strip_accents
-from namesieve.operators import profiling, similarity
+from namesieve.operators import blocking, profiling, similarity
 from namesieve.sources import tables
 
 
@@ -81,3 +81,29 @@ def test_places_follow_the_lines(spark, tmp_path):
     read = tables.read_csv(spark, str(tmp_path / "c"), "id long, text string", multi_line=True, position="p")
     assert [r["id"] for r in read.orderBy("p").collect()] == list(range(50))
     assert read.where(F.col("text").isNull()).count() == 0
+
+
+def test_near_cells_meet_by_bands_of_length(spark):
+    """Two thousand lengths in one block: every row meets three bands of the gap's width, not all the others."""
+    rows = [(i, "FISICA", "MX", "a " + "b" * (7 * i + 1), "base_canonical") for i in range(2000)]
+    schema = "entity_id long, entity_type string, country_code string, name_variant string, variant_rule string"
+    variants = spark.createDataFrame(rows, schema)
+    cells = blocking.cells(blocking.blocking_features(variants), blocking.block_columns())
+    keyed = blocking.near_join(cells, blocking.block_columns(), (2, 15))
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert "_band" in plan.split("Join Inner", 1)[1].split("\n")[0]
+    near = sum(min(i + 2, 1999) - max(i - 2, 0) for i in range(2000)) // 2  # 7 characters apart: two on either side
+    summary = {r["metric"]: r["value"] for r in blocking.blocking_summary(variants, unique=True).collect()}
+    assert summary["blocked_pairs_strict"] == near
+    counts = blocking.rule_pair_distribution(variants, unique=True).collect()
+    assert [tuple(r) for r in counts] == [("base_canonical", "base_canonical", near)]
+
+
+def test_only_differing_digits_of_ids_are_levels(spark):
+    rows = [(i, "FISICA", "MX", "ana bo", "base_canonical") for i in (-(1 << 62), -1, 0, 5, 1 << 62, 1 << 62)]
+    schema = "entity_id long, entity_type string, country_code string, name_variant string, variant_rule string"
+    for some in (rows, rows[2:4], rows[:1]):
+        ids = [r[0] for r in some]
+        wanted = sum(a < b for a in ids for b in ids)
+        found = blocking.rule_pair_distribution(spark.createDataFrame(some, schema), unique=True).collect()
+        assert [r["count"] for r in found] == ([wanted] if wanted else [])
