@@ -13,7 +13,7 @@ from namesieve.sources import tables
 
 @dataclass(frozen=True)
 class Resolution:
-    """Tables of one run. ``text_scores`` is written; the others follow from it lazily."""
+    """Tables of one run. ``text_scores`` counts the pairs of each score; it and the thresholds are written, the others follow lazily."""
 
     normalized: DataFrame
     variants: DataFrame
@@ -28,10 +28,11 @@ def resolve(entities: DataFrame) -> Resolution:
     normalized = naming.normalize_names(entities)
     variants = tables.written(naming.name_variants(normalized), "variants")
     table = similarity.similarity_table(variants)
-    thresholds = tables.written(decisions.similarity_thresholds(table.scores), "thresholds")
+    counts = tables.written(table.counts, "score-counts")
+    thresholds = tables.written(decisions.similarity_thresholds(counts), "thresholds")
     classified = similarity.named_pairs(decisions.classify(similarity.entity_pairs(table), thresholds), table)
     queue = decisions.review_queue(classified, thresholds)
-    return Resolution(normalized, variants, table.scores, thresholds, classified, queue)
+    return Resolution(normalized, variants, counts, thresholds, classified, queue)
 
 
 def compare_backends(variants: DataFrame, dense_vectors: DataFrame | None = None) -> DataFrame:
