@@ -117,8 +117,10 @@ def tfidf_shape(texts: DataFrame) -> DataFrame:
 class GramIndex:
     """Written tables for lookups of single texts.
 
-    ``vectors`` (``text_key, codes, weights``) is sorted by key and ``postings`` (``code, text_key, weight``) by gram code, so
-    a filter on either reads only the pages that can have it.
+    Both are made of segments, one per task: the texts of a task in the order of their keys (``vectors``: ``text_key, codes,
+    weights``) and their grams in the order of the codes (``postings``: ``code, text_key, weight``). A filter on either
+    reads only the pages of each segment that can have it. Nothing is shuffled for them, and a segment's file names each
+    of its texts once, in its dictionary.
     """
 
     vectors: DataFrame
@@ -127,9 +129,7 @@ class GramIndex:
 
 def gram_index(texts: DataFrame) -> GramIndex:
     """The index of all ``texts``, made once for any number of lookups."""
-    vectors = packed_vectors(texts).repartitionByRange("text_key").sortWithinPartitions("text_key")
-    vectors = written(vectors, "text-vectors")
+    vectors = written(packed_vectors(texts).sortWithinPartitions("text_key"), "text-vectors")
     rows = vectors.selectExpr("inline(arrays_zip(codes, weights)) AS (code, weight)", "text_key").select("code", "text_key", "weight")
-    # By text as well: a frequent gram's postings are many, and many tasks.
-    postings = rows.repartitionByRange("code", "text_key").sortWithinPartitions("code", "text_key")
-    return GramIndex(vectors, written(postings, "postings"))
+    # A frequent gram's postings are in every segment, and so many tasks.
+    return GramIndex(vectors, written(rows.sortWithinPartitions("code", "text_key"), "postings"))
