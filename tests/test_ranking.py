@@ -79,3 +79,31 @@ def test_profile_counts_nan_as_missing(spark):
     got = {r["column"]: r for r in profiling.profile_columns(df).collect()}
     assert (got["a"]["null_count"], got["a"]["n_unique"], got["a"]["is_constant"]) == (1, 2, False)
     assert (got["b"]["null_count"], got["b"]["n_unique"], got["b"]["is_constant"]) == (3, 0, True)
+
+
+def test_neighbours_in_many_parts_few_points_and_none(spark, monkeypatch):
+    monkeypatch.setattr(knn, "TILE_QUERIES", 7)
+    monkeypatch.setattr(knn, "LEAF_POINTS", 2)  # most leaves have fewer than k points
+    rng = np.random.default_rng(5)
+    train = np.hstack([rng.integers(0, 4, (60, 2)), np.eye(4)[rng.integers(0, 4, 60)]]).astype(float)
+    asked = np.vstack([train[:20], np.repeat(train[:1], 30, axis=0), rng.integers(-9, 9, (10, 6))])
+    schemas = "id string, label int, vector array<double>", "query_id int, vector array<double>"
+    t = spark.createDataFrame([(f"n{i}", i % 2, v.tolist()) for i, v in enumerate(train)], schemas[0])
+    q = spark.createDataFrame([(i if i else None, v.tolist()) for i, v in enumerate(asked)], schemas[1])
+    got = {(r["query_id"], r["rank"]): r["id"] for r in knn.neighbours(t, q, 5).collect()}
+    assert len(got) == 5 * (len(asked) - 1)
+    for i, v in list(enumerate(asked))[1:]:
+        d = np.round(np.sqrt(((train - v) ** 2).sum(axis=1)), 9)
+        order = sorted(range(len(train)), key=lambda j: (d[j], f"n{j}"))[:5]
+        assert [got[i, k] for k in range(1, 6)] == [f"n{j}" for j in order]
+    assert knn.neighbours(t.limit(0), q, 5).count() == 0
+    assert knn.neighbours(t.limit(2), q, 5).count() == 2 * (len(asked) - 1)
+
+
+def test_cuts_deal_points_into_small_leaves():
+    """Points of two categories never share a leaf's box, and no query needs the distance to a reference point of each cell."""
+    rng = np.random.default_rng(6)
+    rows = np.hstack([rng.normal(size=(4000, 2)), 9 * np.eye(3)[rng.integers(0, 3, 4000)]])
+    leaf = knn.leaf_of(rows, knn.cuts(rows[:512], 64))
+    assert len(np.unique(leaf)) > 48 and np.bincount(leaf).max() < 400
+    assert all(len(np.unique(rows[leaf == x, 2:], axis=0)) == 1 for x in np.unique(leaf))
