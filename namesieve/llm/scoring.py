@@ -32,7 +32,7 @@ DEPTH, LOCAL_FROM = 6, 3
 #: Text in a piece, packed lists in a part of a bucket, and text whose square root is the number of buckets.
 PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 12 << 20, 32 << 20, 1 << 18
 BUCKET_GRAMS = 40_000
-CHUNK_BYTES, BLOCK, MERGE_GRAMS = 1 << 18, 1 << 18, 1 << 19
+CHUNK_BYTES, BLOCK, MERGE_GRAMS = 1 << 18, 1 << 19, 1 << 19
 START, END = 0x20, 0x0A
 #: Zero bytes before each text, so that a window of eight bytes ends at each of its bytes.
 PAD = 7
@@ -191,7 +191,8 @@ class _Piece:
 
 
 def _distinct(*lists: np.ndarray) -> np.ndarray:
-    x = np.sort(np.concatenate(lists))
+    # Several lists are sorted ones: a stable sort merges their runs.
+    x = np.sort(lists[0]) if len(lists) == 1 else np.sort(np.concatenate(lists), kind="stable")
     return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
 
 
@@ -273,6 +274,7 @@ def gram_answers(asks: DataFrame, scores: DataFrame) -> DataFrame:
         gram, log_p = np.asarray(known["gram"]).view(np.uint64)[order], np.asarray(known["log_p"])[order].astype(np.float32)
         return _answered(part, "gram", [_packed(log_p[np.searchsorted(gram, _keys(x.as_py()))]) for x in part["keys"]])
 
+    asks = asks.select("bucket", "part", "piece", "keys")
     return asks.groupBy("bucket", "part").cogroup(scores.groupBy("bucket", "part")).applyInArrow(answer, ANSWERS)
 
 
@@ -284,12 +286,20 @@ def token_answers(asks: DataFrame, totals: DataFrame) -> DataFrame:
         lists = (_tokens(_unzipped(x.as_py()), _unpacked(sizes.as_py(), np.int32)) for x, sizes in zip(part["keys"], part["sizes"]))
         return _answered(part, "token", [_packed(n[np.asarray(pc.index_in(x, value_set=token))]) for x in lists])
 
+    asks = asks.select("bucket", "part", "piece", "keys", "sizes")
     return asks.groupBy("bucket", "part").cogroup(totals.groupBy("bucket", "part")).applyInArrow(answer, ANSWERS)
 
 
 NODES = "bucket int, node bigint, zeros bigint, ones bigint, log_p double"
 
 
+def _ascending(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Grams in their order, so that sorts of their nodes find runs and searches for them go forward, and their counts."""
+    gram = np.asarray(part["gram"]).view(np.uint64)
+    order = np.argsort(gram)
+    return gram[order], np.asarray(part["n"])[order]
+
+
 def _wanted(gram: np.ndarray, tree: ct.Level, drop: int) -> tuple[np.ndarray, ...]:
     """All nodes that grams ask for at the tree's top level, with zero counts where training texts have none."""
     nodes = np.unique(ct.decisions(gram, drop)[0])
@@ -330,7 +340,7 @@ def gram_scores(table: DataFrame) -> DataFrame:
     table = table.withColumn("bucket", F.pmod(F.xxhash64(near), F.lit(buckets)).cast("int"))
 
     def trees(part: pa.Table) -> pa.Table:
-        gram, n = np.asarray(part["gram"]).view(np.uint64), np.asarray(part["n"])
+        gram, n = _ascending(part)
         found = _wanted(gram, _deep(gram, n)[-1], DEPTH - LOCAL_FROM)
         return pa.table([pa.array(np.full(len(found[0]), part["bucket"][0].as_py(), dtype=np.int32)), pa.array(found[0].view(np.int64)), *map(pa.array, found[1:])], names=["bucket", "node", "zeros", "ones", "log_p"])
 
@@ -367,17 +377,52 @@ def gram_scores(table: DataFrame) -> DataFrame:
     upper = third.select("bucket", "node", parent.alias("parent")).join(opened, "parent").select("bucket", "node", "above", "rest", "held")
 
     def score(part: pa.Table, top: pa.Table) -> pa.Table:
-        gram, n = np.asarray(part["gram"]).view(np.uint64), np.asarray(part["n"])
+        gram, n = _ascending(part)
         order = np.argsort(np.asarray(top["node"]).view(np.uint64))
         node = np.asarray(top["node"]).view(np.uint64)[order]
         at = np.searchsorted(node, ct.decisions(gram, DEPTH - LOCAL_FROM)[0])
         above, rest, held = (np.asarray(top[c])[order][at] for c in ("above", "rest", "held"))
         log_p = ct.log_probability(gram, _deep(gram, n), above, rest, held)
-        return pa.table([part["gram"], pa.array(log_p)], names=["gram", "log_p"])
+        return pa.table([pa.array(gram.view(np.int64)), pa.array(log_p)], names=["gram", "log_p"])
 
     return table.groupBy("bucket").cogroup(upper.groupBy("bucket")).applyInArrow(score, "gram bigint, log_p double")
 
 
+def _ranks(line: np.ndarray) -> tuple[tuple[np.ndarray, int], tuple[np.ndarray, int]]:
+    """Ranks of the pairs of neighbouring bytes and of the bytes that a line has, as tables, and the bits that hold them."""
+    tables = []
+    for size, seen in ((1 << 16, line[1:].astype(np.uint16) << 8 | line[:-1]), (1 << 8, line)):
+        present = np.zeros(size, dtype=bool)
+        present[seen] = True
+        tables.append((np.cumsum(present, dtype=np.uint64) - np.uint64(1), int(present.sum()).bit_length()))
+    return tables[0], tables[1]
+
+
+def values_of(some: np.ndarray, gram: np.ndarray, log_p: np.ndarray, ranks: tuple) -> np.ndarray:
+    """The ``log_p`` of the grams ``some``, each of which is in the ascending ``gram``; ``ranks`` of the line that they are from.
+
+    A gram's bytes as ranks leave room for its place in the same number, so one plain sort, much faster than one of places,
+    brings equal grams together. Where they do not, places are sorted.
+    """
+    (pair, pair_bits), (byte, byte_bits) = ranks
+    place = len(some).bit_length()
+    if DEPTH // 2 * pair_bits + byte_bits + place > 64:
+        own, at = np.unique(some, return_inverse=True)
+        return log_p[np.searchsorted(gram, own)][at]
+    code = np.zeros(len(some), dtype=np.uint64)
+    for shift in range(8 * DEPTH - 8, 0, -16):
+        code <<= np.uint64(pair_bits)
+        code |= pair[(some >> np.uint64(shift)).astype(np.uint16)]
+    code = (code << np.uint64(byte_bits) | byte[some.astype(np.uint8)]) << np.uint64(place) | np.arange(len(some), dtype=np.uint64)
+    code.sort()
+    at = (code & np.uint64((1 << place) - 1)).astype(np.int64)
+    code >>= np.uint64(place)
+    first = np.r_[True, code[1:] != code[:-1]][: len(code)]
+    out = np.empty(len(some), dtype=log_p.dtype)
+    out[at] = log_p[np.searchsorted(gram, some[at[first]])][np.cumsum(first) - 1]
+    return out
+
+
 def _received(found: pa.Table, kind: str, number) -> np.ndarray:
     """The answers of one kind, in the order of their buckets."""
     mine = found.filter(pc.equal(found["kind"], kind)).sort_by("bucket")
@@ -416,32 +461,32 @@ def ctw_scores(docs: DataFrame, piece_bytes: int = PIECE_BYTES, part_bytes: int
             data, sizes = np.frombuffer(_unzipped(piece["keys"][k].as_py()), dtype=np.uint8), _unpacked(piece["sizes"][k].as_py(), np.int64)
             return _parsed(Chunk(0, data, np.concatenate([[0], np.cumsum(sizes)])), data)[2:]
 
-        # Twice over the texts: what is distinct in the piece, and then its values, a block at a time.
-        token, grams_seen = np.zeros(0, dtype=np.uint64), [np.zeros(0, dtype=np.uint64)]
+        # The texts are parsed once; their grams are made twice, first for what is distinct in the piece, then for its values.
+        texts, words, grams_seen = [], [], [np.zeros(0, dtype=np.uint64)]
         for k in range(piece.num_rows):
-            _, word, line, lengths = parsed(k)
-            token = _distinct(token, word)
+            text_of, word, line, lengths = parsed(k)
+            texts.append((text_of.astype(np.int32), word, line, lengths))
+            words.append(_distinct(word))
             for some in grams_of(line, lengths):
                 grams_seen.append(_distinct(some))
                 if sum(map(len, grams_seen[1:])) > MERGE_GRAMS:
                     grams_seen = [_distinct(*grams_seen)]
-        gram = _distinct(*grams_seen)
-        del grams_seen
+        token, gram = _distinct(np.zeros(0, dtype=np.uint64), *words), _distinct(*grams_seen)
+        del words, grams_seen
         n, log_p = np.empty(len(token), dtype=np.int64), np.empty(len(gram), dtype=np.float32)
         n[_dealt(token % np.uint64(buckets), buckets)[0]] = _received(found, "token", np.int64)
         log_p[_dealt(_gram_bucket(gram, buckets), buckets)[0]] = _received(found, "gram", np.float32)
         base_of = np.log10((n + 1.0) / (total + distinct + 1.0))
         n_tokens, n_known, base, score, length = [], [], [], [], []
         for k in range(piece.num_rows):
-            text_of, word, line, lengths = parsed(k)
+            text_of, word, line, lengths = texts[k]
+            texts[k] = None
             which = np.searchsorted(token, word)
             n_tokens.append(np.bincount(text_of, minlength=len(lengths)) + 1)
             n_known.append(np.bincount(text_of, n[which] > 0, len(lengths)).astype(np.int64) + int(train_docs > 0))
             base.append(np.bincount(text_of, base_of[which], len(lengths)) + np.log10((train_docs + 1.0) / (total + distinct + 1.0)))
-            each = []
-            for some in grams_of(line, lengths):
-                own, at = np.unique(some, return_inverse=True)
-                each.append(log_p[np.searchsorted(gram, own)][at])
+            ranks = _ranks(line)
+            each = [values_of(some, gram, log_p, ranks) for some in grams_of(line, lengths)]
             score.append(np.add.reduceat(np.concatenate(each), np.cumsum(lengths) - lengths, dtype=np.float64) / ct.LN10)
             length.append(lengths)
         del gram, log_p

@@ -167,3 +167,18 @@ def test_query_agrees_with_recomputed_base(spark, folder):
         r = found[d["doc_id"]]
         assert r["held_out"] == held[d["doc_id"]] and r["n_known"] == sum(train[t] > 0 for t in tokens(d["text"]))
         assert r["base_score"] == pytest.approx(sum(math.log10((train[t] + 1) / (total + distinct + 1)) for t in tokens(d["text"])))
+
+
+@pytest.mark.parametrize("symbols", [3, 40, 256])
+def test_values_of_grams_by_ranks_and_by_places(symbols):
+    rng = np.random.default_rng(symbols)
+    data = rng.integers(0, symbols, 30_000).astype(np.uint8)
+    offsets = np.sort(np.r_[0, rng.integers(0, len(data), 50), len(data)])
+    _, _, _, _, line, lengths = scoring._parsed(scoring.Chunk(0, data, offsets), data)
+    (_, pair_bits), (_, byte_bits) = ranks = scoring._ranks(line)
+    gram = scoring._distinct(*[scoring._distinct(g) for g in scoring.grams_of(line, lengths)])
+    log_p = rng.random(len(gram)).astype(np.float32)
+    for some in scoring.grams_of(line, lengths):
+        assert (3 * pair_bits + byte_bits + len(some).bit_length() > 64) == (symbols == 256)
+        assert (scoring.values_of(some, gram, log_p, ranks) == log_p[np.searchsorted(gram, some)]).all()
+        assert len(scoring.values_of(some[:0], gram, log_p, ranks)) == 0
