@@ -19,6 +19,8 @@ CHUNK_CHARS = 1 << 20
 BLANK = 0x20
 #: Bits of a character in a packed gram if all are ASCII; bytes from which a packed row is deflated.
 ASCII_BITS, DEFLATED = 7, 128
+#: Postings that are sorted at a time, and handed on at a time.
+RUN_GRAMS, OUT_ROWS = 1 << 22, 1 << 16
 #: Modulus and factor of the hash of gram codes; products stay below 2^62, so SQL gives the same numbers.
 PROJECTION = ((1 << 31) - 1, 1_103_515_245)
 
@@ -241,6 +243,45 @@ def weight_batches(texts: int, known: np.ndarray, frequencies: np.ndarray):
     return run
 
 
+def norm_batches(texts: int, known: np.ndarray, frequencies: np.ndarray):
+    """Function from ``text_key, codes, counts`` to ``text_key, norm``, the length of the weights of ``weight_batches``; ``known`` has all codes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, row = flat(batch.column("codes"))
+            weight = np.zeros(0)
+            if len(codes):
+                weight = batch.column("counts").flatten().to_numpy() * (np.log((1 + texts) / (1 + frequencies[np.searchsorted(known, codes)])) + 1)
+            norm = np.sqrt(np.bincount(row, weight * weight, batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(norm)], names=["text_key", "norm"])
+
+    return run
+
+
+def posting_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``text_key, codes, counts`` to ``code, text_key, tf``: runs of about ``RUN_GRAMS`` rows in the order of code and text."""
+    names = ["code", "text_key", "tf"]
+
+    def run(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = pa.Table.from_batches(held).sort_by("text_key").combine_chunks()
+        keys, tf = texts["text_key"].combine_chunks(), texts["counts"].combine_chunks().flatten()
+        codes, row = flat(texts["codes"].combine_chunks())
+        order = np.argsort(codes, kind="stable")
+        for first in range(0, len(order), OUT_ROWS):
+            some = order[first : first + OUT_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(codes[some], pa.int64()), keys.take(pa.array(row[some])), tf.take(pa.array(some))], names=names)
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch.column("codes").flatten())
+        if size >= RUN_GRAMS:
+            yield from run(held)
+            held, size = [], 0
+    if held:
+        yield from run(held)
+
+
 def project_batches(size: int):
     """Function from ``text_key, codes, weights`` to ``text_key, vector``: a gram's weight is added to, or taken from, one of ``size`` components."""
 

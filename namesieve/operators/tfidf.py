@@ -17,9 +17,11 @@ from namesieve.functions.grams import (
     gram_text,
     list_batches,
     listed_vectors,
+    norm_batches,
     pack_batches,
     packed_vectors_of,
     padded_words,
+    posting_batches,
     project_batches,
     weight_batches,
 )
@@ -183,19 +185,33 @@ def tfidf_shape(texts: DataFrame) -> DataFrame:
 class GramIndex:
     """Written tables for lookups of single texts.
 
-    Both are made of segments, one per task: the texts of a task in the order of their keys (``vectors``: ``text_key, codes,
-    weights``) and their grams in the order of the codes (``postings``: ``code, text_key, weight``). A filter on either
-    reads only the pages of each segment that can have it. Nothing is shuffled for them, and a segment's file names each
-    of its texts once, in its dictionary.
+    ``counts`` (``text_key, codes, counts``), ``frequencies`` (``code, df``) of ``total`` texts, ``norms`` (``text_key, norm``: the length of a text's
+    weights) and ``postings`` (``code, text_key, tf``), made of segments, one or a few per task, each in the order of code and text.
+    A weight is ``tf`` times a number that depends on the code only, divided by the norm, so that no weights are kept. A filter on codes
+    reads only the pages of each segment that can have it. Nothing is shuffled for the index, and a file names each of its texts in its dictionary.
     """
 
-    vectors: DataFrame
+    counts: DataFrame
+    frequencies: DataFrame
+    total: int
+    norms: DataFrame
     postings: DataFrame
 
 
-def gram_index(texts: DataFrame) -> GramIndex:
+def gram_index(texts: DataFrame, held: int | None = None) -> GramIndex:
     """The index of all ``texts``, made once for any number of lookups."""
-    vectors = written(packed_vectors(texts).sortWithinPartitions("text_key"), "text-vectors")
-    rows = vectors.selectExpr("inline(arrays_zip(codes, weights)) AS (code, weight)", "text_key").select("code", "text_key", "weight")
+    held = HELD_GRAMS if held is None else held
+    counts = written(gram_counts(texts), "gram-counts")
+    total = counts.count()
+    frequencies = written(code_frequencies(counts), "document-frequencies")
+    if frequencies.count() <= held:
+        norms = counts.mapInArrow(norm_batches(total, *_at_hand(frequencies)), "text_key string, norm double")
+    else:
+        # A text's first weight times its norm is what it was before.
+        vectors = _joined_weights(counts, frequencies, total).selectExpr("text_key", "get(codes, 0) AS code", "get(weights, 0) AS weight")
+        first = vectors.join(counts.selectExpr("text_key", "get(counts, 0) AS tf"), "text_key").join(frequencies, "code", "left")
+        norms = first.selectExpr("text_key", f"coalesce(tf * (ln({1 + total}D / (1 + df)) + 1) / weight, 0D) AS norm")
+    norms = written(norms, "text-vectors")
     # A frequent gram's postings are in every segment, and so many tasks.
-    return GramIndex(vectors, written(rows.sortWithinPartitions("code", "text_key"), "postings"))
+    postings = counts.mapInArrow(posting_batches, "code bigint, text_key string, tf int")
+    return GramIndex(counts, frequencies, total, norms, written(postings, "postings"))

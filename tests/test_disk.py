@@ -85,3 +85,29 @@ def test_a_written_table_drops_its_shuffles(spark):
         time.sleep(0.1)
     assert not more
     assert out.count() == 1000 and spark.conf.get(storage.CLEANUP) == before
+
+
+def test_an_index_keeps_counts_and_norms_instead_of_weights(spark, monkeypatch):
+    texts = tfidf.vocabulary(spark.createDataFrame([(r[3],) for r in wordy_variants()] + [(" ",)], "name_variant string"))
+    weights = {(r["text_key"], c): w for r in tfidf.packed_vectors(texts).collect() for c, w in zip(r["codes"], r["weights"])}
+    monkeypatch.setattr(grams, "RUN_GRAMS", 50)
+    for held in (1 << 20, 0):
+        index = tfidf.gram_index(texts, held)
+        assert not any("double" in kind for df in (index.counts, index.frequencies, index.postings) for _, kind in df.dtypes)
+        norms = {r["text_key"]: r["norm"] for r in index.norms.collect()}
+        df = {r["code"]: r["df"] for r in index.frequencies.collect()}
+        got = {(r["text_key"], r["code"]): r["tf"] * (np.log((1 + index.total) / (1 + df[r["code"]])) + 1) / norms[r["text_key"]] for r in index.postings.collect()}
+        assert got.keys() == weights.keys() and all(got[k] == pytest.approx(weights[k], rel=1e-12) for k in got)
+        assert len(norms) == texts.count()
+
+
+def test_only_texts_that_are_named_are_shuffled(spark, monkeypatch):
+    tables = {}
+    monkeypatch.setattr(similarity, "written", lambda df, name: tables.setdefault(name, storage.written(df, name)))
+    rows = wordy_variants() + [(900 + i, "MORAL", "MX", f"{chr(97 + i)}{'xyzw'[i % 4] * (40 + 20 * i)}", "base_canonical") for i in range(20)]
+    for bits in (1 << 24, 64):  # of few places, most are taken
+        monkeypatch.setattr(similarity, "ASKED_BITS", bits)
+        tables.clear()
+        found = similarity.top_matches(similarity.similarity_table(spark.createDataFrame(rows, SCHEMA))).collect()
+        named = {t for r in found for t in (r["variant_a"], r["variant_b"])}
+        assert {r["variant"] for r in tables["texts"].collect()} == named and len(named) < len({r[3] for r in rows})
