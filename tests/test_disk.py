@@ -106,8 +106,22 @@ def test_only_texts_that_are_named_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(similarity, "written", lambda df, name: tables.setdefault(name, storage.written(df, name)))
     rows = wordy_variants() + [(900 + i, "MORAL", "MX", f"{chr(97 + i)}{'xyzw'[i % 4] * (40 + 20 * i)}", "base_canonical") for i in range(20)]
     for bits in (1 << 24, 64):  # of few places, most are taken
-        monkeypatch.setattr(similarity, "ASKED_BITS", bits)
+        monkeypatch.setattr(blocking, "HASHED_BITS", bits)
         tables.clear()
         found = similarity.top_matches(similarity.similarity_table(spark.createDataFrame(rows, SCHEMA))).collect()
         named = {t for r in found for t in (r["variant_a"], r["variant_b"])}
         assert {r["variant"] for r in tables["texts"].collect()} == named and len(named) < len({r[3] for r in rows})
+
+
+@pytest.mark.parametrize("bits", [1 << 24, 64])
+def test_candidates_shuffle_only_texts_that_are_near_another(spark, monkeypatch, bits):
+    monkeypatch.setattr(blocking, "HASHED_BITS", bits)
+    sent = []
+    whole = blocking.place_tiles
+    monkeypatch.setattr(blocking, "place_tiles", lambda placed, *rest: sent.append(placed) or whole(placed, *rest))
+    rows = [(i, "MORAL", None, "ab " + "c" * (20 * i), "base_canonical") for i in range(200)] + [(900 + i, "MORAL", None, f"ab {i}", "base_canonical") for i in range(9)]
+    pairs = blocking.candidate_pairs(spark.createDataFrame(rows, SCHEMA), unique=True)
+    got = {(r["entity_id_a"], r["entity_id_b"]) for r in pairs.collect()}
+    near = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and abs(len(a[3].split()) - len(b[3].split())) <= 2 and abs(len(a[3].replace(" ", "")) - len(b[3].replace(" ", ""))) <= 15}
+    assert got == near
+    assert bits == 64 or sent[0].count() < 20
